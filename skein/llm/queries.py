@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import curriculum, decontaminate, storage, token_records
+from skein.llm import covering_dedup, curriculum, decontaminate, storage, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,11 @@ FROM placed
 """
 
 
+def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covering_dedup.fingerprint_components(_table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     counted = found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"))
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_records": op1_token_records,
         "op2_curriculum_mix": op2_curriculum_mix,
+        "op6_covering_simhash": op6_covering_simhash,
         "op8_decontaminate": op8_decontaminate,
     }
 
