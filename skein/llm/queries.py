@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import covering_dedup, curriculum, decontaminate, storage, token_records
+from skein.llm import covering_dedup, curriculum, decontaminate, storage, token_records, weighted_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ FROM placed
 """
 
 
+def op4_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprints.compare_with_next(_table(spark, sf_dir, "documents"), part=3)
+
+
 def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering_dedup.fingerprint_components(_table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_records": op1_token_records,
         "op2_curriculum_mix": op2_curriculum_mix,
+        "op4_weighted_fingerprints": op4_weighted_fingerprints,
         "op6_covering_simhash": op6_covering_simhash,
         "op8_decontaminate": op8_decontaminate,
     }
