@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import covering_dedup, curriculum, decontaminate, storage, token_records, weighted_fingerprints
+from skein.llm import covering_dedup, curriculum, decontaminate, storage, substring_dedup, token_records, weighted_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_earlier_passages(_table(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_records": op1_token_records,
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_weighted_fingerprints": op4_weighted_fingerprints,
         "op6_covering_simhash": op6_covering_simhash,
         "op8_decontaminate": op8_decontaminate,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
