@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import covering_dedup, curriculum, decontaminate, storage, substring_dedup, token_records, weighted_fingerprints
+from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, storage, substring_dedup, token_records, weighted_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,18 @@ FROM placed
 """
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints.compare_with_next(_table(spark, sf_dir, "documents"), part=3)
 
@@ -80,6 +92,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_records": op1_token_records,
         "op2_curriculum_mix": op2_curriculum_mix,
+        "op3_html_text": op3_html_text,
+        "op5_language_id": op5_language_id,
         "op4_weighted_fingerprints": op4_weighted_fingerprints,
         "op6_covering_simhash": op6_covering_simhash,
         "op8_decontaminate": op8_decontaminate,
