@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, storage, substring_dedup, token_records, weighted_fingerprints
+from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, license_scan, storage, substring_dedup, surrogates, token_records, weighted_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,12 +77,24 @@ def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"), key=b"key of the registered query")
+    types = F.transform("entities", lambda e: e["type"])
+    return replaced.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.concat_ws(",", F.array_sort(F.array_distinct(types))).alias("types"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     counted = found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"))
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    return found.select("doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), F.concat_ws(",", names).alias("licenses"), F.to_json("matches").alias("matches"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_earlier_passages(_table(spark, sf_dir, "documents"), window=20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -96,7 +108,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op4_weighted_fingerprints": op4_weighted_fingerprints,
         "op6_covering_simhash": op6_covering_simhash,
+        "op7_surrogates": op7_surrogates,
         "op8_decontaminate": op8_decontaminate,
+        "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
