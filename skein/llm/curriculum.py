@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.llm.storage import staged
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,14 +65,22 @@ def demand_inverse(fraction: Column, schedule: Sequence[tuple[float, float]]) ->
     return out
 
 
+def turn(doc_id: Column) -> Column:
+    """The key that orders a source's stream."""
+    return F.coalesce(F.md5(doc_id.cast("string").cast("binary")), F.lit(""))
+
+
+def word_count(text: Column) -> Column:
+    return F.when(text.isNull(), F.lit(0)).otherwise(F.regexp_count(text, F.lit(WORD))).cast("long")
+
+
 def plan_mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
     cap: int = 3,
     schedules: Sequence[Sequence[tuple[float, float]]] = (((0.0, 1.0), (1.0, 1.0)),),
     whole: bool = False,
-    buckets: int = 64,
-    extra: Sequence[str] = (),
+    buckets: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -83,17 +93,14 @@ def plan_mix(
     `passes` counts the readings that take something; `position` is the training position in 0..1 of the first one,
     null where nothing is taken. `schedules` are dealt to the sources in turn, like the weights.
     A null text has size 0; a null source is a source of its own, last in order. Rows of one id are ordered by size.
-    Columns named in `extra` are carried along as they are, under the prefix "of_"; others are not read.
-    A source may hold most of the rows: its running sums are made in `buckets` parts of each source, and added up.
+    Other columns are not read, and an empty table gives an empty plan.
+    A source may hold most of the rows: its running sums are made in `buckets` parts of each source (four for each
+    shuffle partition, if None), and added up.
     """
-    size = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(text_col), F.lit(WORD))).cast("long")
-    kept = [F.col(c).alias(f"of_{c}") for c in extra]
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), F.md5(F.col(id_col).cast("string").cast("binary")).alias("turn"), *kept)
-    if not extra:
-        from skein.llm.storage import staged
-
-        sized = staged(sized, "mix-sizes")
-    sized = sized.withColumn("turn", F.coalesce("turn", F.lit("")))
+    size = word_count(F.col(text_col))
+    spark = docs.sparkSession
+    buckets = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), turn(F.col(id_col)).alias("turn")), "mix-sizes")
     # Buckets must follow the stream's order, so they are cut from the leading hex digits of its key.
     sized = sized.withColumn("bucket", F.when(F.col("turn") == "", F.lit(-1)).otherwise(F.floor(F.conv(F.substring("turn", 1, 6), 16, 10).cast("long") * buckets / (1 << 24))).cast("int"))
     parts = sized.groupBy("source", "bucket").agg(F.sum("size").alias("part_size"))
@@ -119,7 +126,7 @@ def plan_mix(
         position = F.when(F.col("rank") % len(schedules) == i, demand_inverse(fraction, schedule)).otherwise(position)
     position = F.when(F.col("taken") > 0, position)
     out = joined.withColumn("place", place).withColumn("taken", taken).withColumn("passes", (full + (rest > 0).cast("long")).cast("int")).withColumn("passes", F.when(F.col("taken") > 0, F.col("passes")).otherwise(F.lit(0))).withColumn("position", position)
-    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position", "place", "rank", *[f"of_{c}" for c in extra])
+    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position", "place", "rank", "turn")
 
 
 def training_order(plan: DataFrame, schedules: Sequence[Sequence[tuple[float, float]]] = (((0.0, 1.0), (1.0, 1.0)),)) -> DataFrame:
@@ -130,3 +137,24 @@ def training_order(plan: DataFrame, schedules: Sequence[Sequence[tuple[float, fl
     for i, schedule in enumerate(schedules):
         position = F.when(F.col("rank") % len(schedules) == i, demand_inverse(fraction, schedule)).otherwise(position)
     return each.withColumn("position", position).orderBy("position", "rank", "doc_id")
+
+
+def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs, all columns, each as often as the mix reads it: whole documents up to the targets of their sources.
+
+    Which documents are read once more than the others follows from one place in each source's stream. So the plan comes down
+    to a row per source, and texts are not shuffled. Rows of one id and size are read equally often, ties included.
+    """
+    plan = plan_mix(docs, weights, cap, whole=True, id_col=id_col, text_col=text_col, source_col=source_col)
+    most = F.when(F.col("source_size") > 0, F.floor(F.round("target").cast("long") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+    ends = plan.withColumn("full", most).groupBy("source").agg(F.max("full").alias("full"), F.max(F.when(F.col("passes") > F.col("full"), F.struct("turn", "size"))).alias("end"))
+    names, added = {c.lower() for c in docs.columns}, []
+    for c in ("source", "full", "end", "readings"):
+        added.append(next(f"{c}_{i}" for i in range(len(names) + 1) if f"{c}_{i}" not in names))
+    source, full, end, readings = added
+    ends = ends.select(F.col("source").alias(source), F.col("full").alias(full), F.col("end").alias(end))
+    joined = docs.join(ends, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
+    place = F.struct(turn(F.col(id_col)).alias("turn"), word_count(F.col(text_col)).alias("size"))
+    once_more = F.coalesce((place <= F.col(end)) & (word_count(F.col(text_col)) > 0), F.lit(False)).cast("int")
+    again = joined.withColumn(readings, F.when(word_count(F.col(text_col)) > 0, F.col(full)).otherwise(F.lit(0)) + once_more).filter(F.col(readings) > 0)
+    return again.withColumn(readings, F.explode(F.sequence(F.lit(1), F.col(readings)))).select(*[F.col(f"`{c}`") for c in docs.columns])

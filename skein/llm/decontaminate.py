@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,3 +163,17 @@ def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
         out.append(raw[at : block.starts[a]])
         at = int(block.ends[b - 1])
     return (b"".join([*out, raw[at:]])).decode()
+
+
+def contaminated(share: int = 20):
+    """Whether at least one word in `share` is hit, as an expression over hit_spans and n_words."""
+    return (n_hit() > 0) & (share * n_hit() >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """The rows of docs, all columns, that are not contaminated."""
+    names = [f"k{i}" for i in range(len(docs.columns))]
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    low = [c.lower() for c in docs.columns]
+    found = find_contamination(renamed, benchmark, window, names[low.index(id_col.lower())], names[low.index(text_col.lower())], item_col, tuple(names))
+    return found.filter(~contaminated()).select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
