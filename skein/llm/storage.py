@@ -1,42 +1,5 @@
 """Tables cut from their lineage, written to the folder that the whole cluster shares."""
 
-from __future__ import annotations
+from skein.sources.stage import discard, fresh_path, shared_dir, staged
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_LOCAL: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset, a temporary folder for a local master, else the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-        if "dir" not in _LOCAL:
-            _LOCAL["dir"] = "file://" + tempfile.mkdtemp(prefix="skein-")
-        return _LOCAL["dir"]
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_skein_stage"
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it again: later work starts from files that outlive executors."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(spark: SparkSession, *paths: str) -> None:
-    """Deletes written folders that no later plan reads."""
-    jvm = spark._jvm
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+__all__ = ["discard", "fresh_path", "shared_dir", "staged"]
