@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.storage import staged
-from skein.llm.words import SPACED, Block, blocks, window_hashes
+from skein.llm.words import SPACED, Block, blocks, mix, span_hashes, window_hashes
 
 ANCHOR_WORDS = 10
 #: Fragments of one anchor that one task streams; anchors with more are judged window by window.
@@ -195,12 +195,23 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
                 row, anchor, start, bounds, symbols = fragments(block, window)
                 if not len(row):
                     continue
+                # Equal fragments of one block: all but the first go at once, so that a frequent passage costs a row a block.
+                same = mix(span_hashes(mix(symbols.view(np.uint64)), bounds[:-1], bounds[1:]) ^ anchor.view(np.uint64))
+                order = np.lexsort((start, rid[block.row + row], same))
+                first = np.ones(len(row), bool)
+                first[order[1:]] = same[order[1:]] != same[order[:-1]]
                 # 5 bytes a window: the anchor's offset, and 32 bits of the window's hash
+                sizes = np.diff(bounds)
                 packed = np.empty((len(symbols), 5), np.uint8)
                 packed[:, 0] = symbols >> 32
                 packed[:, 1:] = (symbols & 0xFFFFFFFF).astype("<u4").view(np.uint8).reshape(-1, 4)
-                blob = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer((5 * bounds).astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(rid[block.row + row]), pa.array(start.astype(np.int32)), blob], ["anchor", "rid", "start", "windows"])
+                packed = packed[np.repeat(first, sizes)]
+                at = np.concatenate([[0], np.cumsum(5 * np.where(first, sizes, 0))]).astype(np.int32)
+                blob = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(packed.tobytes())])
+                own = rid[block.row + row]
+                key = np.where(first, anchor, mix(own.view(np.uint64)).view(np.int64))
+                end = pa.array((start + sizes).astype(np.int32), mask=first)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(start.astype(np.int32)), end, blob], ["anchor", "rid", "start", "end", "windows"])
 
     def unpack(blob: bytes) -> list[int]:
         raw = np.frombuffer(blob, np.uint8).reshape(-1, 5)
@@ -209,11 +220,11 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
     schema = "rid long, start int, end int, anchor long, windows binary"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Input sorted by anchor, rid, start. Gives (rid, start, end) of removed windows; fragments of large anchors go on as they are."""
+        """Input sorted by anchor, rid, start. Gives (rid, start, end) of removed windows; those given already pass, and distinct fragments of large anchors go on as they are."""
         arrow = pa.schema([("rid", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("anchor", pa.int64()), ("windows", pa.binary())])
         out: list[tuple] = []
         group: list[tuple[int, int, bytes]] = []
-        current, large = None, False
+        current, large, seen = None, False, set()
 
         def stream(group) -> Iterator[tuple]:
             automaton, known = SuffixAutomaton(), set()
@@ -235,6 +246,11 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
             return batch
 
         for batch in batches:
+            done = batch.column(3).is_valid()
+            if done.true_count:
+                gone = batch.filter(done)
+                yield pa.RecordBatch.from_arrays([gone.column(1), gone.column(2), gone.column(3), pa.nulls(len(gone), pa.int64()), pa.nulls(len(gone), pa.binary())], schema=arrow)
+                batch = batch.filter(batch.column(3).is_null())
             anchors = batch.column(0).to_numpy()
             if not len(anchors):
                 continue
@@ -243,18 +259,24 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
             sizes = np.diff(edges)
             look = np.flatnonzero(sizes > 1)
             look = np.unique(np.concatenate([[0], look, [len(sizes) - 1]]))
-            rid, start, blobs = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3)
+            rid, start, blobs = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(4)
             for k in look.tolist():
                 a, b = int(edges[k]), int(edges[k + 1])
                 if anchors[a] != current:
                     if len(group) > 1:
                         out.extend(stream(group))
-                    group, current, large = [], anchors[a], False
+                    group, current, large, seen = [], anchors[a], False, set()
                 rows = list(zip(rid[a:b].tolist(), start[a:b].tolist(), blobs.slice(a, b - a).to_pylist(), strict=True))
                 group.extend(rows)
                 if large or len(group) > shard_fragments:
                     large = True
-                    out.extend((r, s, None, int(current), w) for r, s, w in group)
+                    for r, s, w in group:
+                        if w in seen:  # an equal fragment came before
+                            out.append((r, s, s + len(w) // 5, None, None))
+                            continue
+                        if len(seen) < shard_fragments:
+                            seen.add(w)
+                        out.append((r, s, None, int(current), w))
                     group = []
                 if len(out) > 20_000:
                     yield flush()
@@ -262,7 +284,7 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
             out.extend(stream(group))
         yield flush()
 
-    pieces = rows.select("rid", "text").mapInArrow(cut, "anchor long, rid long, start int, windows binary")
+    pieces = rows.select("rid", "text").mapInArrow(cut, "anchor long, rid long, start int, end int, windows binary")
     judged = staged(pieces.repartition("anchor").sortWithinPartitions("anchor", "rid", "start").mapInArrow(judge, schema), "repeated")
     removed = judged.filter("end IS NOT NULL").select("rid", "start", "end")
     large = judged.filter("end IS NULL")
