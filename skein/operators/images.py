@@ -90,7 +90,7 @@ def gate_log(results: DataFrame) -> DataFrame:
         return rows.groupBy(key.alias("k")).agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(name))
 
     rejected = results.filter("NOT passed AND reject_reason IS NOT NULL AND reject_reason != ''")
-    totals = results.agg(F.count("*").alias("total_images"), F.count_if(F.col("passed")).alias("passed_images"), F.count_if(~F.col("passed")).alias("rejected_images"))
+    totals = results.agg(F.count("*").alias("total_images"), F.count_if(F.col("passed")).alias("passed"), F.count_if(~F.col("passed")).alias("rejected"))
     one_row = totals.crossJoin(counts(results, F.col("image_type"), "image_type_breakdown"))  # one row by one row
     one_row = one_row.crossJoin(counts(rejected, F.col("reject_reason"), "rejection_breakdown"))
     return one_row.crossJoin(counts(rejected, F.split_part("reject_reason", F.lit(":"), F.lit(1)), "rejection_kinds"))

@@ -120,8 +120,8 @@ def breakdown(rows: DataFrame, column: str, default: str = "unknown") -> DataFra
 
 def annotation_log(log: DataFrame) -> DataFrame:
     """One row: totals by run status and the three breakdowns as maps. Reject reasons count for rejected images only."""
-    totals = log.agg(F.count("*").alias("total"), *[F.count_if(F.col("run_status") == s).alias(s) for s in ("annotated", "skipped", "error")])
-    for name, column, rows in (("curation_breakdown", "Curation_Status", log), ("category_breakdown", "Image_Category", log), ("reject_breakdown", "Reject_Reason", log.filter("Curation_Status = 'reject'"))):
+    totals = log.agg(F.count("*").alias("total_candidates"), *[F.count_if(F.col("run_status") == s).alias(n) for s, n in (("annotated", "annotated_count"), ("skipped", "skipped_existing"), ("error", "error_count"))])
+    for name, column, rows in (("curation_status_breakdown", "Curation_Status", log), ("image_category_breakdown", "Image_Category", log), ("reject_reason_breakdown", "Reject_Reason", log.filter("Curation_Status = 'reject'"))):
         totals = totals.crossJoin(breakdown(rows, column).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias(name)))  # one row by one row
     return totals
 
