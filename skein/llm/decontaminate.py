@@ -111,12 +111,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     spark: SparkSession = docs.sparkSession
     parts = benchmark_items(benchmark, item_col, "text")
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"c_{i}") for i, c in enumerate(carry)])
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"c_{i}") for i, c in enumerate(carry) if c != text_col])
     if len(parts) > 1:
         from skein.llm.storage import staged
 
         chosen = staged(chosen.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    keep = [f for f in chosen.schema.fields if f.name != "text"]
+    keep = [f for f in chosen.schema.fields if f.name != "text" or text_col in carry]
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [RESULT])
 
     def one_pass(part: list[tuple[str, list[bytes]]]) -> DataFrame:
@@ -125,7 +125,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             grams = shared.value
             spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            for batch in batches:
+            for batch in (b.slice(a, 1000) for b in batches for a in range(0, len(b), 1000)):
                 found = list(scan(batch.column("text"), grams))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(f.name) for f in keep), pa.array([n for _, n, _, _ in found], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in s] for _, _, s, _ in found], spans_type), pa.array([sorted(i) for _, _, _, i in found], pa.list_(pa.string()))],
@@ -145,9 +145,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             lambda acc, x: F.when((F.size(acc) > 0) & (x["start"] <= F.element_at(acc, -1)["end"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))),
         )
         done = done.withColumn("hit_spans", merged).withColumn("items", F.array_sort(F.array_union("items", F.coalesce("i", F.array().cast("array<string>"))))).drop("r", "s", "i")
-    for i, c in enumerate(carry):
-        done = done.withColumnRenamed(f"c_{i}", c)
-    return done.drop("row")
+    own = {c: "text" if c == text_col else f"c_{i}" for i, c in enumerate(carry)}
+    return done.select("doc_id", *[F.col(n).alias(c) for c, n in own.items()], "n_words", "hit_spans", "items")
 
 
 def n_hit():

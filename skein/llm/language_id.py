@@ -8,6 +8,7 @@ temperature, found on a part of the sample that the fit did not see, calibrates
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +44,7 @@ def letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def features(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def features(texts: pa.Array, most: int = 300_000) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """By block of rows: first row, hashed features one after another, their rows, and whether a row has a letter."""
     data, offsets = text_bytes(texts)
     for a, b in row_blocks(offsets, most):
@@ -93,7 +94,7 @@ class Model:
         return softmax((SCALE * sums / np.maximum(counts, 1)[:, None] + self.bias) / self.temperature)
 
     def predict(self, texts: pa.Array) -> Iterator[tuple[list[str], np.ndarray]]:
-        for _, feats, of, lettered in features(texts, max(100_000, 8_000_000 // max(8, len(self.labels)))):
+        for _, feats, of, lettered in features(texts, max(20_000, 2_400_000 // max(8, len(self.labels)))):
             p = self.probabilities(feats, of, len(lettered)) if self.labels else np.zeros((len(lettered), 1))
             best = p.argmax(axis=1)
             known = lettered & bool(self.labels)
@@ -185,11 +186,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     index = {lang: k for k, lang in enumerate(names)}
     fit, check = [], []
     bound = 2 * fit_rows * len(names) + 100
-    for r in sorted(chosen.mapInArrow(vectors, "lang string, h long, ids binary, tf binary").limit(bound).collect(), key=lambda r: (r.h, r.lang)):
+    got = sorted(chosen.mapInArrow(vectors, "lang string, h long, ids binary, tf binary").limit(bound).collect(), key=lambda r: (r.h, r.lang))
+    sampled = Counter(r.lang for r in got)
+    for r in got:
         at = np.frombuffer(r.ids, np.uint16).astype(np.int64)
         if len(at):
             row = at, SCALE * np.frombuffer(r.tf, np.float32) * idf[at], index[r.lang]
-            (check if (r.h >> 32) % 5 == 0 else fit).append(row)
+            (check if (r.h >> 32) % 5 == 0 and sampled[r.lang] >= 20 else fit).append(row)
     weights, bias = fit_ftrl(fit, 1 << BITS, len(names))
     logits = np.array([x @ weights[at] + bias for at, x, _ in check]).reshape(-1, len(names))
     return Model(names, (weights * idf[:, None]).astype(np.float32), bias, fit_temperature(logits, np.array([k for *_, k in check], int)))
@@ -202,20 +205,21 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
     read, and no other column. Output names that docs has already are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())]
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = [], [np.empty(0)]
-            for lang, score in shared.value.predict(batch.column(len(kept)).cast(pa.string())):
-                names += lang
-                scores.append(score)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), pa.array(names, pa.string()), pa.array(np.concatenate(scores))], [*(f"c{k}" for k in range(len(kept))), "l", "s"])
-
-    read = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)], F.col(text_col).cast("string").alias("t"))
-    ddl = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(read.schema.fields[:-1]))
-    out = read.mapInArrow(run, f"{ddl}{', ' if kept else ''}l string, s double")
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)], F.col("l").alias(lang_out), F.col("s").alias(score_out))
+            done = 0
+            for lang, score in shared.value.predict(batch.column(at).cast(pa.string())):
+                part = batch.slice(done, len(lang))
+                done += len(lang)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score)], [*part.schema.names, "l", "s"])
+
+    read = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    ddl = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(read.schema.fields))
+    out = read.mapInArrow(run, f"{ddl}, l string, s double")
+    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns) if c in kept], F.col("l").alias(lang_out), F.col("s").alias(score_out))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is taken whole, alone.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
+#: Rows that are worked on at once.
+BLOCK_ROWS = 4_000
 
 _BYTES = np.arange(256)
 SPACED = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
@@ -104,10 +106,10 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 
 
 def row_blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most so many bytes each, or of one row."""
+    """Row ranges of at most BLOCK_ROWS rows and so many bytes each, or of one row."""
     a, n = 0, len(offsets) - 1
     while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
+        b = min(max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1), a + BLOCK_ROWS)
         yield a, b
         a = b
 
