@@ -70,7 +70,9 @@ def covering_masks(free: int, radius: int = RADIUS) -> list[int]:
     """The masks over the set bits of `free`."""
     size = (1 << (radius + 1)) - 1
     positions = [i for i in range(64) if free >> i & 1]
-    vector = {p: i % size + 1 for i, p in enumerate(positions)}
+    # Single bits come first: from radius + 1 positions on, they alone leave no mask empty.
+    vectors = sorted(range(1, size + 1), key=lambda v: (v.bit_count(), v))
+    vector = {p: vectors[i % size] for i, p in enumerate(positions)}
     return [sum(1 << p for p in positions if (vector[p] & v).bit_count() % 2) for v in range(1, size + 1)]
 
 
@@ -125,7 +127,7 @@ def covering_links(items: DataFrame, most: int, radius: int = RADIUS, bucket_row
     items: id long (distinct), fps array<long> (every fingerprint has tables of its own), sketch array<long>. Where the
     sketch is the only fingerprint and most = radius, the links connect exactly the pairs within the radius.
     """
-    spark = items.sparkSession
+    bucket_rows = max(bucket_rows, 1 << (radius + 1))  # smaller buckets have at most radius + 1 free bits
 
     def level_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = [0, *covering_masks((1 << 64) - 1, radius)]
