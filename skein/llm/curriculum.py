@@ -149,12 +149,12 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: in
     most = F.when(F.col("source_size") > 0, F.floor(F.round("target").cast("long") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
     ends = plan.withColumn("full", most).groupBy("source").agg(F.max("full").alias("full"), F.max(F.when(F.col("passes") > F.col("full"), F.struct("turn", "size"))).alias("end"))
     names, added = {c.lower() for c in docs.columns}, []
-    for c in ("source", "full", "end", "readings"):
+    for c in ("source", "full", "end", "readings", "words"):
         added.append(next(f"{c}_{i}" for i in range(len(names) + 1) if f"{c}_{i}" not in names))
-    source, full, end, readings = added
-    ends = ends.select(F.col("source").alias(source), F.col("full").alias(full), F.col("end").alias(end))
-    joined = docs.join(ends, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
-    place = F.struct(turn(F.col(id_col)).alias("turn"), word_count(F.col(text_col)).alias("size"))
-    once_more = F.coalesce((place <= F.col(end)) & (word_count(F.col(text_col)) > 0), F.lit(False)).cast("int")
-    again = joined.withColumn(readings, F.when(word_count(F.col(text_col)) > 0, F.col(full)).otherwise(F.lit(0)) + once_more).filter(F.col(readings) > 0)
+    source, full, end, readings, words = added
+    # A row per source, written first: its size is then known, and a small one is broadcast instead of moving the texts.
+    ends = staged(ends.select(F.col("source").alias(source), F.col("full").alias(full), F.col("end").alias(end)), "mix-ends")
+    joined = docs.withColumn(words, word_count(F.col(text_col))).join(ends, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
+    once_more = F.coalesce(F.struct(turn(F.col(id_col)).alias("turn"), F.col(words).alias("size")) <= F.col(end), F.lit(False)).cast("int")
+    again = joined.withColumn(readings, F.when(F.col(words) > 0, F.col(full) + once_more).otherwise(F.lit(0))).filter(F.col(readings) > 0)
     return again.withColumn(readings, F.explode(F.sequence(F.lit(1), F.col(readings)))).select(*[F.col(f"`{c}`") for c in docs.columns])
