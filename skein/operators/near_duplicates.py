@@ -18,12 +18,17 @@ PLAIN_ROWS = 20_000
 MIN_BAND = 6
 
 
+def _low_bits(n: int) -> int:
+    """The mask of n low bits, as a signed number."""
+    return -1 if n == 64 else (1 << n) - 1
+
+
 def bands(h: Column, n: int) -> Column:
     """The hash in n bands of bits: array of (band, value). Hashes within n - 1 bits agree in some band."""
     out = []
     for i in range(n):
         a, b = 64 * i // n, 64 * (i + 1) // n
-        out.append(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(h, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value")))
+        out.append(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(h, a).bitwiseAND(F.lit(_low_bits(b - a))).alias("value")))
     return F.array(*out)
 
 
@@ -39,7 +44,7 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
     if 64 // n >= MIN_BAND:
         dealt = x.select("p", "h", F.inline(bands(F.col("h"), n)))
         left, right = dealt.select(F.col("p").alias("a"), F.col("h").alias("ha"), "band", "value"), dealt.select(F.col("p").alias("b"), F.col("h").alias("hb"), "band", "value")
-        agree = [F.when(F.shiftrightunsigned(F.col("ha").bitwiseXOR(F.col("hb")), 64 * i // n).bitwiseAND(F.lit((1 << (64 * (i + 1) // n - 64 * i // n)) - 1)) == 0, F.lit(i)) for i in range(n)]
+        agree = [F.when(F.shiftrightunsigned(F.col("ha").bitwiseXOR(F.col("hb")), 64 * i // n).bitwiseAND(F.lit(_low_bits(64 * (i + 1) // n - 64 * i // n))) == 0, F.lit(i)) for i in range(n)]
         return left.join(right, ["band", "value"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance) & (F.coalesce(*agree) == F.col("band"))).select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
     if x.limit(PLAIN_ROWS + 1).count() > PLAIN_ROWS:
         raise ValueError(f"a distance of {distance} leaves no selective bands; at most {PLAIN_ROWS} hashes can be compared")

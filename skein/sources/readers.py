@@ -123,8 +123,8 @@ def unify_videos(danmaku: DataFrame, comments: DataFrame, prefix: str = PREFIX)
 def unified_records(spark: SparkSession, paths: Mapping[str, str], prefix: str = PREFIX) -> DataFrame:
     """The master table alone if it exists, else all of notes, reviews and videos that exist; nothing is an error. Adds src_ord, the place in that order."""
     if paths.get("master") and exists(spark, paths["master"]):
-        rows = read_csv(spark, paths["master"])
-        return unify_master(rows, F.monotonically_increasing_id(), prefix).withColumn("src_ord", F.lit(0))
+        rows = read_csv(spark, paths["master"]).withColumn("_pos", F.monotonically_increasing_id())  # a column of its own, so that every row counts
+        return unify_master(rows, F.col("_pos"), prefix).withColumn("src_ord", F.lit(0))
     found = []
     for k, name in enumerate(("notes", "reviews", "videos")):
         if paths.get(name) and exists(spark, paths[name]):
