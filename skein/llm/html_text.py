@@ -32,9 +32,11 @@ MARKS = frozenset(
 )
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 STOP_AT = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
+#: Elements nested deeper share the path of the last one.
+DEEPEST = 200
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -122,12 +124,13 @@ def runs(html: str) -> list[Run]:
             break
         text(html[at : m.start()])
         at = m.end()
-        if not m[2]:
+        slash, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])  # the latter where quotes don't close
+        if not tag:
             if m[0].startswith("<![CDATA["):
                 text(m[0][9:].removesuffix("]]>"))
             continue
-        tag = m[2].lower()
-        if m[1]:
+        tag = tag.lower()
+        if slash:
             if tag == "br":
                 text("\n")
                 continue
@@ -138,7 +141,7 @@ def runs(html: str) -> list[Run]:
                 if stack[k].tag in ("table", "td", "th") and tag not in BLOCK:
                     break
             continue
-        attributes = _attributes(m[3])
+        attributes = _attributes(rest)
         if tag == "br":
             text("\n")
             continue
@@ -161,7 +164,7 @@ def runs(html: str) -> list[Run]:
         elif tag == "option":
             if stack[-1].tag == "option":
                 close(len(stack) - 1)
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCK and tag not in RAW and tag != "a":
+        if tag in VOID or rest.endswith("/") and tag not in BLOCK and tag not in RAW and tag != "a":
             if tag == "hr":
                 start_run()
             continue
@@ -169,10 +172,11 @@ def runs(html: str) -> list[Run]:
         e = Element(tag, around.path, around.container)
         if tag in BLOCK:
             named = attributes.get("class", "").split()
-            e.path = f"{around.path}/{tag}{'.' + named[0] if named else ''}"
+            if around.path.count("/") < DEEPEST:
+                e.path = f"{around.path}/{tag}{'.' + named[0] if named else ''}"
             if tag in CONTAINER:
                 e.container = e.path
-        e.inside = [*around.inside, e] if _unwanted(tag, attributes) else around.inside
+        e.inside = [*around.inside, e] if _unwanted(tag, attributes) and len(around.inside) < DEEPEST else around.inside
         stack.append(e)
         links += tag == "a"
         if tag in BLOCK:
