@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skein.llm.words import ALNUM, blocks, window_hashes
 
 #: Words of benchmark items in one broadcast; a larger benchmark is scanned in several passes.
-BROADCAST_WORDS = 2_000_000
+BROADCAST_WORDS = 100_000
 WINDOW = 13
 
 
@@ -128,7 +128,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             for batch in (b.slice(a, 1000) for b in batches for a in range(0, len(b), 1000)):
                 found = list(scan(batch.column("text"), grams))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(f.name) for f in keep), pa.array([n for _, n, _, _ in found], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in s] for _, _, s, _ in found], spans_type), pa.array([sorted(i) for _, _, _, i in found], pa.list_(pa.string()))],
+                    [*(batch.column(f.name) for f in keep), pa.array([n for _, n, _, _ in found], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in s] for _, _, s, _ in found], spans_type), pa.array([sorted(set(i)) for _, _, _, i in found], pa.list_(pa.string()))],
                     [*(f.name for f in keep), "n_words", "hit_spans", "items"],
                 )
 

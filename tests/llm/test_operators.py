@@ -203,7 +203,7 @@ PAGES = [
     ("<body><div class='site-header'>Logo</div><div id=main><div class=story><p>Some text, that is long enough.</p><p>More\n\n text   here, with <b>bold</b> <a href=x>link</a>.</p><div class='share-buttons'>Tweet</div></div><div class=sidebar><p>Other, text, with, marks, and so on.</p></div><div id=comments><p>I disagree, strongly!</p></div></div></body>", ["Some text, that is long enough.", "More text here, with bold link."]),
     ("<p>only a paragraph<script>if (a<b) x('</p>')</script> goes on<br>and on", ["only a paragraph goes on and on"]),
     ("<body><article><p>One, two.</p><form><p>Name</p><input></form><aside>ad</aside><div style='display:none'>hid</div><table><tr><td>c1<td>c2</table><!-- no --></article>", ["One, two.", "c1", "c2"]),
-    (None, []), ("", []), ("plain text < 5 & more", ["plain text < 5 & more"]), ("<nav>never closed <p>the text of it all, that must stay.", ["never closed", "the text of it all, that must stay."]),
+    (None, []), ("", []), ("plain text < 5 & more", ["plain text < 5 & more"]), ('<p title="open>Said, and done.</p><p>More of it, too.</p>', ["Said, and done.", "More of it, too."]), ("<nav>never closed <p>the text of it all, that must stay.", ["never closed", "the text of it all, that must stay."]),
 ]
 
 
@@ -508,11 +508,11 @@ def brute_contamination(texts, items, window=13):
 @pytest.fixture(scope="module")
 def items(spark, texts):
     some = [t for t in texts.values() if len(ALNUM.findall(t)) > 60][:3]
-    rows = [("q1", " ".join(ALNUM.findall(some[0])[5:40])), ("q2", " ".join(ALNUM.findall(some[1])[3:9]).upper()), ("q3", None), ("q4", ""), ("q5", "cat sat"), ("q5b", "cat sat"), ("q6", " ".join(ALNUM.findall(some[2])[:13]))]
+    rows = [("q1", " ".join(ALNUM.findall(some[0])[5:40])), ("q2", " ".join(ALNUM.findall(some[1])[3:9]).upper()), ("q3", None), ("q4", ""), ("q5", "cat sat"), ("q5b", "cat sat"), ("q5b", "cat sat"), ("q6", " ".join(ALNUM.findall(some[2])[:13]))]
     return spark.createDataFrame(rows, "item_id string, text string")
 
 
-@pytest.mark.parametrize("broadcast_words", [2_000_000, 10])
+@pytest.mark.parametrize("broadcast_words", [100_000, 10])
 def test_contamination(spark, docs, odd, items, texts, monkeypatch, broadcast_words):
     parts = decontaminate.benchmark_items
     monkeypatch.setattr(decontaminate, "benchmark_items", lambda b, i, t: parts(b, i, t, broadcast_words))
