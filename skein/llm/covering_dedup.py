@@ -28,7 +28,7 @@ BUCKET_ROWS = 20_000
 #: Independent fingerprints of a text's set of words; each has its own covering tables.
 WORD_SEEDS = 6
 #: 64-bit parts of the fingerprint of five-word shingles by which likeness is judged.
-SKETCH_PARTS = 4
+SKETCH_PARTS = 8
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").astype(np.int64)
 

@@ -39,7 +39,8 @@ PATTERN = regex.compile(
     rf"""
     (?P<email>(?<![\w.+%-])[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.\p{{L}}{{2,}}(?![\w-]))
   | (?P<secret>(?<![\w])(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!\w) | (?<!\w)(?:gh[pousr]_|sk-|xox[abprs]-|glpat-)[A-Za-z0-9_-]{{16,}}
-      | (?<!\w)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?(?P<value>[^\s"',;]{{6,}}))
+      | (?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?(?P<value>[^\s"',;]{{6,}})
+      | (?<!\w)(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}})(?!\w))
   | (?P<ipv6>(?<![\w:.])(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}(?![\w:]))
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
   | (?P<iban>(?<!\w)[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{3,7}}(?:[ ]?[A-Z0-9]{{1,3}})?(?!\w))
