@@ -332,6 +332,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     names = {c.lower() for c in docs.columns}
     mark = next(f"keep_{i}" for i in range(len(names) + 1) if f"keep_{i}" not in names)
     stay = stay.withColumnRenamed("keep_id", mark)
-    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col(mark)), "left_semi") if not stay.filter(F.col(mark).isNull()).isEmpty() else docs.join(stay, F.col(id_col) == F.col(mark), "left_semi")
+    # Always by shuffle: the ids that stay are most of the rows and never a small side.
+    same = F.col(id_col).eqNullSafe(F.col(mark)) if not stay.filter(F.col(mark).isNull()).isEmpty() else F.col(id_col) == F.col(mark)
+    kept = docs.join(stay.hint("merge"), same, "left_semi")
     repeated = not members.groupBy("doc_id").count().filter("count > 1").isEmpty()
     return kept.dropDuplicates([id_col]) if repeated else kept
