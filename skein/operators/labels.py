@@ -126,7 +126,7 @@ def annotation_log(log: DataFrame) -> DataFrame:
     return totals
 
 
-def annotate(images: DataFrame, client: Callable[[], Callable[[str], str]], path_col: str = "image_path", batch_rows: int = 16) -> DataFrame:
+def annotate(images: DataFrame, client: Callable[[], Callable[[str], str]], path_col: str = "image_path") -> DataFrame:
     """images with raw_model_output, error_type and error_message. `client` makes, once per task, the function from an image's path to the model's JSON text.
 
     One image's failure is that row's error and never the job's. Text that is no JSON object is an error too.

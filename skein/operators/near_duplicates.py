@@ -35,7 +35,7 @@ def bands(h: Column, n: int) -> Column:
 def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str = "hash") -> DataFrame:
     """(a, b, distance) of all pairs of positions a < b within the distance.
 
-    Equal hashes are compared once, through their classes. Pairs must agree in one of distance + 1 bands, an equi-join; a
+    Meant for distinct hashes: of equal ones every pair is a row. Pairs must agree in one of distance + 1 bands, an equi-join; a
     pair found in several bands counts once, where it first agrees. Distances that leave bands of under MIN_BAND bits
     are for sets of up to PLAIN_ROWS hashes, which are checked, and compared all with all.
     """
@@ -53,8 +53,10 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
 
 
 def gate(items: DataFrame, distance: int = 4, pos: str = "pos", hash_col: str = "hash") -> DataFrame:
-    """items with `accepted` and `duplicate_of` (a position, null if accepted)."""
-    links = staged(near_pairs(items, distance, pos, hash_col).select("a", "b"), "links")
+    """items with `accepted` and `duplicate_of` (a position, null if accepted). Items without a hash are accepted."""
+    # Equal hashes share a verdict: the first of them stands for all, and where it is accepted the others are its duplicates.
+    firsts = staged(items.filter(F.col(hash_col).isNotNull()).groupBy(hash_col).agg(F.min(pos).alias("first")), "distinct")
+    links = staged(near_pairs(firsts, distance, "first", hash_col).select("a", "b"), "links")
     state = staged(links.select(F.col("b").alias("p")).distinct().withColumn("accepted", F.lit(None).cast("boolean")), "state")
     # Items without an earlier neighbour are accepted from the start and are not in `state`.
     while not state.filter("accepted IS NULL").isEmpty():
@@ -65,4 +67,7 @@ def gate(items: DataFrame, distance: int = 4, pos: str = "pos", hash_col: str =
     duplicates = state.filter("NOT accepted").select(F.col("p").alias("dup"))
     anchors = links.join(duplicates, links["a"] == duplicates["dup"], "left_anti").groupBy("b").agg(F.min("a").alias("duplicate_of"))
     found = duplicates.join(anchors, duplicates["dup"] == anchors["b"]).select("dup", "duplicate_of")
-    return items.join(found, items[pos] == found["dup"], "left").withColumn("accepted", F.col("dup").isNull()).drop("dup")
+    judged = firsts.join(found, firsts["first"] == found["dup"], "left").select(F.col(hash_col).alias("of_hash"), "first", "duplicate_of")
+    joined = items.join(judged, items[hash_col] == judged["of_hash"], "left")
+    accepted = F.col("duplicate_of").isNull() & F.coalesce(F.col("first") == F.col(pos), F.lit(True))
+    return joined.withColumn("accepted", accepted).withColumn("duplicate_of", F.when(~accepted, F.coalesce("duplicate_of", "first"))).drop("of_hash", "first")
