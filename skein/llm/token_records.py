@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.llm.words import mix, span_hashes, text_bytes
+from skein.llm.words import mix, span_hashes
 
 #: Records a file holds at most, which bounds what a reader takes into memory.
 RECORDS_A_FILE = 20_000
