@@ -32,7 +32,7 @@ RECORDS_A_FILE = 20_000
 #: Code points encoded at once.
 BLOCK_CHARS = 1_000_000
 #: Pieces that a worker remembers before it starts anew.
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 1_200_000
 
 INDEX_SCHEMA = "file string, part long, doc_id long, record long, offset long, length long, n_tokens long, ids_crc32 long, start_in_file long"
 
@@ -88,7 +88,7 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         """Known pieces: sorted hashes, and where each one's ids lie in one flat array."""
-        self.keys, self.base, self.sizes, self.flat = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.keys, self.base, self.sizes, self.flat = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.uint32)
 
     @classmethod
     def classes(cls) -> np.ndarray:
@@ -105,8 +105,8 @@ class PieceEncoder:
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         ids = [self._merge(p) for p in pieces]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        base = len(self.flat) + np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        base = (len(self.flat) + np.cumsum(sizes) - sizes).astype(np.int32)
         self.flat = np.concatenate([self.flat, np.fromiter((i for p in ids for i in p), np.uint32, int(sizes.sum()))])
         at = np.searchsorted(self.keys, keys)
         self.keys, self.base, self.sizes = np.insert(self.keys, at, keys), np.insert(self.base, at, base), np.insert(self.sizes, at, sizes)
@@ -159,8 +159,8 @@ class PieceEncoder:
         if new.any():
             self._learn(distinct[new], [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)])
             at = np.searchsorted(self.keys, distinct)
-        base, flat = self.base[at], self.flat
-        each = self.sizes[at][of]
+        base, flat = self.base[at].astype(np.int64), self.flat
+        each = self.sizes[at][of].astype(np.int64)
         upto = np.concatenate([[0], np.cumsum(each)])
         out = flat[np.arange(upto[-1]) + np.repeat(base[of] - upto[:-1], each)]
         cuts = upto[np.searchsorted(starts, rows)]
