@@ -418,6 +418,35 @@ def test_near_copies_go_and_others_stay(spark):
     assert set(original.values()) <= kept and len(kept - set(original.values())) <= 1
 
 
+def edited_copies(rng, n):
+    """Texts and copies of similarity 0.8 to 0.95 that are cut, continued or rewritten at their end."""
+    for i in range(n):
+        base = [f"w{rng.randrange(30_000)}" for _ in range(rng.randrange(60, 600))]
+        share = rng.uniform(0.03, 0.1)
+        k = int(len(base) * share)
+        fresh = [f"x{rng.randrange(30_000)}" for _ in range(2 * k)]
+        yield base, [base[: len(base) - 2 * k], base + fresh, base[: len(base) - k] + fresh[:k]][i % 3]
+
+
+def test_near_copies_cut_continued_or_rewritten_share_a_band():
+    pairs = []
+    for a, b in edited_copies(random.Random(2), 900):
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        if len(x & y) >= 0.8 * len(x | y):
+            pairs += [" ".join(a), " ".join(b)]
+    bands = np.concatenate([b for _, _, b, _ in covering_dedup.near_duplicate_sketches(pa.array(pairs))])
+    shared = (bands[::2] == bands[1::2]).any(axis=1)
+    assert len(pairs) > 1000 and shared.all()
+
+
+def test_near_copies_cut_continued_or_rewritten_go(spark):
+    texts = [" ".join(w) for pair in edited_copies(random.Random(3), 150) for w in pair]
+    kept = {r.doc_id for r in covering_dedup.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    alike = [i for i in range(0, len(texts), 2) if len(sets[i] & sets[i + 1]) >= 0.82 * len(sets[i] | sets[i + 1])]
+    assert len(alike) > 70 and set(range(0, len(texts), 2)) <= kept and not any(i + 1 in kept for i in alike)
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     kept = covering_dedup.drop_near_duplicates(odd)
     assert kept.columns == odd.columns
