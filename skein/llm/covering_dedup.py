@@ -198,7 +198,8 @@ def _search(most: int):
 def covering_links(items: DataFrame, most: int, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links (a, b) that connect whatever pairs connect which share a covering bucket and differ in at most `most` bits of their sketches.
 
-    items: id long (distinct), fps array<long> (every fingerprint has tables of its own), sketch array<long>. Where the
+    items: id long (distinct), fps array<long> (every fingerprint has tables of its own, and its values are distinct: a large bucket
+    of equal ones never splits, see banded_links), sketch array<long>. Where the
     sketch is the only fingerprint and most = radius, the links connect exactly the pairs within the radius.
     """
     bucket_rows = max(bucket_rows, 1 << (radius + 1))  # smaller buckets have at most radius + 1 free bits

@@ -447,6 +447,36 @@ def test_near_copies_cut_continued_or_rewritten_go(spark):
     assert len(alike) > 70 and set(range(0, len(texts), 2)) <= kept and not any(i + 1 in kept for i in alike)
 
 
+@pytest.mark.parametrize("bucket_rows", [20_000, 60, 2])
+def test_items_of_equal_bands_are_taken_apart(spark, bucket_rows):
+    rng = random.Random(bucket_rows)
+
+    def moved(sketch, bits):
+        for b in rng.sample(range(128), bits):
+            sketch = sketch ^ 1 << b
+        return sketch
+
+    values = []
+    for size in (150, 40, 10):  # a crowd that near pairs connect over several steps, and two smaller ones
+        own = [rng.getrandbits(128)]
+        while len(own) < size:
+            own.append(moved(rng.choice(own), rng.randrange(1, 9)))
+        values += own
+    values += [rng.getrandbits(128) for _ in range(40)]
+    signed = [[int.from_bytes(v.to_bytes(16, "little")[k : k + 8], "little", signed=True) for k in (0, 8)] for v in values]
+    items = spark.createDataFrame([(i, [7, i + 100], s) for i, s in enumerate(signed)], "id long, bands array<long>, sketch array<long>")
+    links = covering_dedup.banded_links(items, 6, bucket_rows=bucket_rows).collect()
+    assert all((values[r.a] ^ values[r.b]).bit_count() <= 6 for r in links)
+    root = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = list(range(len(values)))
+    for i in range(len(values)):
+        for j in range(i):
+            if (values[i] ^ values[j]).bit_count() <= 6 and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+    assert [root.get(i, i) for i in range(len(values))] == want
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     kept = covering_dedup.drop_near_duplicates(odd)
     assert kept.columns == odd.columns
