@@ -66,7 +66,7 @@ def unpack_records(content: bytes) -> Iterator[tuple[int, int, int | None, np.nd
 
 class PieceEncoder:
     """Byte-level BPE of whole blocks of text: cuts them into the pieces that the tokenizer's own rule cuts, has the
-    tokenizers library merge each distinct piece once, and puts the ids together. Strings of special tokens are ordinary text."""
+    tokenizers library merge each distinct piece once, and puts the ids together. Texts that hold a string of the tokenizer's added tokens go through the library whole."""
 
     LETTER, NUMBER, OTHER, SPACE = range(4)
     _classes: np.ndarray | None = None
@@ -76,7 +76,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or self.tokenizer.normalizer is not None:
             raise ValueError("a byte-level tokenizer without normalizer is needed")
         self.model = self.tokenizer.model
@@ -140,6 +140,18 @@ class PieceEncoder:
         return np.flatnonzero(starts)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        marked = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not marked:
+            return self._encode(texts)
+        plain = list(texts)
+        for i in marked:
+            plain[i] = ""
+        out = self._encode(plain)
+        for i in marked:
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+        return out
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         raw = "".join(texts).encode("utf-32-le")
         points = np.frombuffer(raw, np.uint32)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))

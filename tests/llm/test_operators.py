@@ -91,6 +91,13 @@ def test_cache_may_overflow(monkeypatch):
         assert enc.encode([text])[0].tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_the_tokenizers_own():
+    enc, own = token_records.PieceEncoder(BPE), Tokenizer.from_file(BPE)
+    rows = ["one <|endoftext|> two", "plain text", "", "<|endoftext|><|endoftext|>", "it's<|endoftext|>it's  ", "<|endoftext", "é <|endoftext|>\n\n x"]
+    got = [x.tolist() for x in enc.encode(rows)]
+    assert got == [own.encode(t, add_special_tokens=False).ids for t in rows] and got[0] == [505, 220, 50256, 734]
+
+
 def test_records_round_trip_and_damage():
     ids = np.array([5, 70000, 0], np.uint32)
     data = token_records.pack_record(7, ids, 4) + token_records.pack_record(None, ids[:0], 2)
