@@ -156,7 +156,7 @@ def _split(text: str) -> list[str]:
 
 
 def fragments(block: Block, window: int) -> tuple[np.ndarray, ...]:
-    """Of each fragment: row, anchor hash, place of its first window in the row, bounds in the last array: (offset of the anchor << 32 | low hash) of each window."""
+    """Of each fragment: row, anchor hash, place of its first window in the row, bounds in the last array: the 64-bit hash of each window."""
     h, doc = block.hashes(), block.doc_of()
     grams = window_hashes(h, min(ANCHOR_WORDS, window))
     whole = window_hashes(h, window)
@@ -167,7 +167,7 @@ def fragments(block: Block, window: int) -> tuple[np.ndarray, ...]:
     offset = np.lib.stride_tricks.sliding_window_view(grams, choices).argmin(axis=1)
     at = np.flatnonzero(doc[:n] == doc[window - 1 :])
     anchor = at + offset[at]
-    symbols = (offset[at] << 32) | (whole[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    symbols = whole[at].view(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)])) if len(at) else np.empty(0, np.int64)
     row = doc[at[starts]]
     return row, grams[anchor[starts]].view(np.int64), at[starts] - block.first[row], np.append(starts, len(at)), symbols
@@ -200,13 +200,10 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
                 order = np.lexsort((start, rid[block.row + row], same))
                 first = np.ones(len(row), bool)
                 first[order[1:]] = same[order[1:]] != same[order[:-1]]
-                # 5 bytes a window: the anchor's offset, and 32 bits of the window's hash
+                # 8 bytes a window: in a hot anchor only they tell windows apart
                 sizes = np.diff(bounds)
-                packed = np.empty((len(symbols), 5), np.uint8)
-                packed[:, 0] = symbols >> 32
-                packed[:, 1:] = (symbols & 0xFFFFFFFF).astype("<u4").view(np.uint8).reshape(-1, 4)
-                packed = packed[np.repeat(first, sizes)]
-                at = np.concatenate([[0], np.cumsum(5 * np.where(first, sizes, 0))]).astype(np.int32)
+                packed = symbols.astype("<i8")[np.repeat(first, sizes)]
+                at = np.concatenate([[0], np.cumsum(8 * np.where(first, sizes, 0))]).astype(np.int32)
                 blob = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(packed.tobytes())])
                 own = rid[block.row + row]
                 key = np.where(first, anchor, mix(own.view(np.uint64)).view(np.int64))
@@ -214,8 +211,7 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(start.astype(np.int32)), end, blob], ["anchor", "rid", "start", "end", "windows"])
 
     def unpack(blob: bytes) -> list[int]:
-        raw = np.frombuffer(blob, np.uint8).reshape(-1, 5)
-        return ((raw[:, 0].astype(np.int64) << 32) | raw[:, 1:].copy().view("<u4")[:, 0]).tolist()
+        return np.frombuffer(blob, "<i8").tolist()
 
     schema = "rid long, start int, end int, anchor long, windows binary"
 
@@ -230,7 +226,7 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
             automaton, known = SuffixAutomaton(), set()
             for rid, start, blob in group:
                 if blob in known:
-                    yield rid, start, start + len(blob) // 5, None, None
+                    yield rid, start, start + len(blob) // 8, None, None
                     continue
                 known.add(blob)
                 symbols = unpack(blob)
@@ -272,7 +268,7 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
                     large = True
                     for r, s, w in group:
                         if w in seen:  # an equal fragment came before
-                            out.append((r, s, s + len(w) // 5, None, None))
+                            out.append((r, s, s + len(w) // 8, None, None))
                             continue
                         if len(seen) < shard_fragments:
                             seen.add(w)
@@ -289,7 +285,7 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
     removed = judged.filter("end IS NOT NULL").select("rid", "start", "end")
     large = judged.filter("end IS NULL")
     if not large.isEmpty():
-        single = large.selectExpr("rid", "anchor", "start AS first", "explode(sequence(0, CAST(length(windows) / 5 AS INT) - 1)) AS k", "windows").selectExpr("anchor", "rid", "first + k AS start", "substring(windows, 5 * k + 1, 5) AS symbol")
+        single = large.selectExpr("rid", "anchor", "start AS first", "explode(sequence(0, CAST(length(windows) / 8 AS INT) - 1)) AS k", "windows").selectExpr("anchor", "rid", "first + k AS start", "substring(windows, 8 * k + 1, 8) AS symbol")
         earliest = single.groupBy("anchor", "symbol").agg(F.min(F.struct("rid", "start")).alias("least")).withColumnsRenamed({"anchor": "a", "symbol": "s"})
         later = single.join(earliest, (F.col("anchor") == F.col("a")) & (F.col("symbol") == F.col("s"))).filter(F.struct("rid", "start") > F.col("least"))
         removed = removed.union(later.selectExpr("rid", "start", "start + 1 AS end"))

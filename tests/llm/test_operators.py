@@ -695,3 +695,12 @@ def test_reference_passages_go(spark, odd):
         got = {r.doc_id: r for r in substring_dedup.remove_reference_passages(table, [reference, "unrelated words", None], window=5, shard_words=shard).collect()}
         assert got[1].kept_text == "a b c d" and got[2].kept_text == "" and got[3].kept_text == "" and got[4].kept_text == "far away from here"
     assert substring_dedup.remove_reference_passages(odd, [reference]).count() == odd.count()
+
+
+# --- findings of round 1 ------------------------------------------------------------------------------------------------
+
+
+def test_windows_of_one_anchor_are_told_apart_by_64_bits():
+    block = next(words.blocks(pa.array([" ".join(f"w{i}" for i in range(60))]), words.SPACED))
+    _, _, _, bounds, symbols = substring_dedup.fragments(block, 20)
+    assert symbols.tolist() == words.window_hashes(block.hashes(), 20).view(np.int64).tolist() and bounds[-1] == 41
