@@ -41,7 +41,7 @@ PATTERN = regex.compile(
   | (?P<secret>(?<![\w])(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!\w) | (?<!\w)(?:gh[pousr]_|sk-|xox[abprs]-|glpat-)[A-Za-z0-9_-]{{16,}}
       | (?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?(?P<value>[^\s"',;]{{6,}})
       | (?<!\w)(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}})(?!\w))
-  | (?P<ipv6>(?<![\w:.])(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}(?![\w:]))
+  | (?P<ipv6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}} | (?=:{{0,2}}[0-9A-Fa-f])(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{0,6}})?::(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{0,6}})?)(?![\w:]))
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
   | (?P<iban>(?<!\w)[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{3,7}}(?:[ ]?[A-Z0-9]{{1,3}})?(?!\w))
   | (?P<card>(?<![\w.-])(?:\d[ -]?){{12,18}}\d(?![\w-]|\.\d))
@@ -59,9 +59,24 @@ NO_PHONE = regex.compile(r"\d{4}[ .-]\d{4}|\d{4}[ .-]\d{1,2}[ .-]\d{1,2}|\d{1,2}
 REACH = 80
 _NUMERIC = re.compile(r"[0-9@][0-9@ ().+-]*")
 _KEYWORDS = ("akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "glpat-", "passw", "pwd", "secret", "token", "api", "access", ":")
-_SIGNS = re.compile(r"akia|asia|gh[pousr]_|sk-|xox|glpat-|passw|pwd|secret|token|api[_-]?key|access[_-]?key|[0-9a-f]:[0-9a-f]")
+_SIGNS = re.compile(r"akia|asia|gh[pousr]_|sk-|xox|glpat-|passw|pwd|secret|token|api[_-]?key|access[_-]?key|[0-9a-f]:[0-9a-f]|[0-9a-f]::|::[0-9a-f]")
 _WORDS = frozenset(n for names in GIVEN.values() for n in names) | frozenset(t + dot for ts in TITLES.values() for t in ts for dot in ("", "."))
-_EDGES = str.maketrans(dict.fromkeys("\n\t\r\"'(«»“”„[¿¡—–,;:", " "))
+_WORD = regex.compile(r"\w", regex.V1)
+#: The listed names and titles by their first run of word characters.
+_BY_START: dict[str, list[str]] = {}
+for _word in sorted(_WORDS):
+    _BY_START.setdefault(regex.findall(r"\w+", _word)[0], []).append(_word)
+
+
+class _Edges(dict):
+    """Blanks for the characters at which PATTERN may begin a name, all that are not of words."""
+
+    def __missing__(self, c: int) -> int:
+        self[c] = c if _WORD.match(chr(c)) else 32
+        return self[c]
+
+
+_EDGES = _Edges()
 
 
 def windows(text: str) -> list[tuple[int, int]]:
@@ -72,7 +87,7 @@ def windows(text: str) -> list[tuple[int, int]]:
         spots += [m.span() for m in _SIGNS.finditer(low)]
     elif len(low) != len(text):
         return [(0, len(text))]
-    for word in _WORDS.intersection(text.translate(_EDGES).split(" ")):
+    for word in [w for start in _BY_START.keys() & set(text.translate(_EDGES).split(" ")) for w in _BY_START[start]]:
         at = text.find(word)
         while at >= 0:
             spots.append((at, at + len(word)))

@@ -704,3 +704,11 @@ def test_windows_of_one_anchor_are_told_apart_by_64_bits():
     block = next(words.blocks(pa.array([" ".join(f"w{i}" for i in range(60))]), words.SPACED))
     _, _, _, bounds, symbols = substring_dedup.fragments(block, 20)
     assert symbols.tolist() == words.window_hashes(block.hashes(), 20).view(np.int64).tolist() and bounds[-1] == 41
+
+
+def test_names_after_any_mark_and_short_ipv6_are_searched():
+    marked = [f"text {m}Maria Lopez{n} ends" for m, n in (("<b>", "</b>"), ("author=", ""), ("*", "*"), ("|", ""), ("`", "`"), ("{", "}"), ("‘", "’"), ("…", ""), ("\u00a0", ""), ("/", ""), ("²", ""))]
+    for text in [*marked, "see *Dr Weber* there", "see >Г-жа Иванова there", "at fe80::1 now", "at 2001:db8::8a2e:370:7334 now", "at fe::ab now"]:
+        found = surrogates.PATTERN.search(text)
+        assert found and any(a <= found.start() and found.end() <= b for a, b in surrogates.windows(text)), text
+    assert surrogates.PATTERN.search("at fe80::1 now").lastgroup == "ipv6"
