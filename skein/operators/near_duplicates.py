@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skein.operators.images import hamming
 from skein.sources.stage import staged
 
-#: Items that are compared all with all where bands would not select; beyond it the distance must leave bands of MIN_BAND bits.
+#: Items that are compared all with all at once where bands would not select; more are compared block by block.
 PLAIN_ROWS = 20_000
 MIN_BAND = 6
 
@@ -37,7 +37,7 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
 
     Meant for distinct hashes: of equal ones every pair is a row. Pairs must agree in one of distance + 1 bands, an equi-join; a
     pair found in several bands counts once, where it first agrees. Distances that leave bands of under MIN_BAND bits
-    are for sets of up to PLAIN_ROWS hashes, which are checked, and compared all with all.
+    are compared all with all, beyond PLAIN_ROWS hashes in blocks of so many, which costs the square of the number.
     """
     x = items.select(F.col(pos).cast("long").alias("p"), F.col(hash_col).cast("long").alias("h"))
     n = distance + 1
@@ -47,7 +47,11 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
         agree = [F.when(F.shiftrightunsigned(F.col("ha").bitwiseXOR(F.col("hb")), 64 * i // n).bitwiseAND(F.lit(_low_bits(64 * (i + 1) // n - 64 * i // n))) == 0, F.lit(i)) for i in range(n)]
         return left.join(right, ["band", "value"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance) & (F.coalesce(*agree) == F.col("band"))).select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
     if x.limit(PLAIN_ROWS + 1).count() > PLAIN_ROWS:
-        raise ValueError(f"a distance of {distance} leaves no selective bands; at most {PLAIN_ROWS} hashes can be compared")
+        k = -(-x.count() // PLAIN_ROWS)
+        own, other = F.pmod(F.xxhash64("p"), F.lit(k)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+        left = x.select(F.col("p").alias("a"), F.col("h").alias("ha"), own.alias("i"), other.alias("j"))
+        right = x.select(F.col("p").alias("b"), F.col("h").alias("hb"), own.alias("j"), other.alias("i"))
+        return left.hint("merge").join(right, ["i", "j"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance)).select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
     left, right = x.select(F.col("p").alias("a"), F.col("h").alias("ha")), x.select(F.col("p").alias("b"), F.col("h").alias("hb"))
     return left.join(F.broadcast(right), (F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance)).select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
 

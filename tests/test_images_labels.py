@@ -151,3 +151,14 @@ def test_annotation_run(spark):
 def test_base64_has_no_breaks(spark):
     got = spark.createDataFrame([(b"x" * 300,)], "c binary").select(images.base64_text(F.col("c")).alias("b")).first().b
     assert len(got) == 400 and "\n" not in got
+
+
+def test_far_pairs_beyond_one_block(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [rng.getrandbits(63) for _ in range(60)]
+    values = sorted({b ^ sum(1 << i for i in rng.sample(range(63), rng.randrange(12))) for b in base for _ in range(3)})
+    monkeypatch.setattr(near_duplicates, "PLAIN_ROWS", 50)
+    items = spark.createDataFrame(list(enumerate(values)), "pos long, hash long")
+    got = sorted(tuple(r) for r in near_duplicates.near_pairs(items, 16).collect())
+    want = [(i, j, (values[i] ^ values[j]).bit_count()) for i in range(len(values)) for j in range(i + 1, len(values)) if (values[i] ^ values[j]).bit_count() <= 16]
+    assert len(values) > 50 and got == want
