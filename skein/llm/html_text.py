@@ -227,15 +227,25 @@ def main_text(html: str | None) -> str:
             inside[key] = inside.get(key, 0.0) + mass[r_path]
     center = max((c for c, m in inside.items() if m >= 0.6 * total), key=lambda c: (c.count("/"), inside[c]), default="")
     threshold = max(0.0, min(np.median(smooth), smooth.mean() - smooth.std() / 2))
-    kept = []
-    for r in wanted:
+    kept = np.zeros(len(wanted), bool)
+    for i, r in enumerate(wanted):
         k = order[r.path]
         within = r.container == center or r.container.startswith(center + "/") or not center
         links = linked[k] / chars[k]
         lists = re.fullmatch(r"(/(ul|ol|dl|table|tbody|tr|td|figure|details)(\.[^/]*)?)*", r.container[len(center) :]) if within else None
         if within and (lists is not None or smooth[k] >= threshold) and links < 0.6 or not within and links < 0.3 and smooth[k] >= max(threshold, smooth.max() / 2):
-            kept.append(r.text)
-    return "\n\n".join(kept)
+            kept[i] = True
+    # The article around the center, and what stands between its kept blocks: headings and short paragraphs stay with their text.
+    parts = center.split("/")
+    named = [i for i, part in enumerate(parts) if part.split(".")[0] in ("article", "main")]
+    scope = "/".join(parts[: named[-1] + 1]) if named else center
+    inner = np.array([r.container == scope or r.container.startswith(scope + "/") or not scope for r in wanted])
+    low = np.array([linked[order[r.path]] < 0.6 * chars[order[r.path]] for r in wanted])
+    kept |= low & np.array([r.container == scope for r in wanted])
+    at = np.flatnonzero(kept & inner)
+    if len(at):
+        kept[at[0] : at[-1] + 1] |= (low & inner)[at[0] : at[-1] + 1]
+    return "\n\n".join(r.text for r, k in zip(wanted, kept, strict=True) if k)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -712,3 +712,12 @@ def test_names_after_any_mark_and_short_ipv6_are_searched():
         found = surrogates.PATTERN.search(text)
         assert found and any(a <= found.start() and found.end() <= b for a, b in surrogates.windows(text)), text
     assert surrogates.PATTERN.search("at fe80::1 now").lastgroup == "ipv6"
+
+
+def test_headings_of_wrapped_and_divided_articles_stay():
+    p = "<p>" + "This is a sentence of the article, with several words and a comma. " * 4 + "</p>"
+    nav = "<nav><a href=x>Home</a></nav><div class=links><a href=y>More of this</a></div>"
+    wrapped = html_text.main_text(f"<html><body>{nav}<article><h1>The title</h1><div class=body>{p * 3}<h2>A part</h2>{p * 3}<h2>Next</h2>{p}</div></article></body></html>")
+    divided = html_text.main_text(f"<html><body>{nav}<article><h1>The title</h1>{p * 4}<section><h2>A part</h2>{p * 2}</section></article></body></html>")
+    for text, blocks in ((wrapped, 10), (divided, 8)):
+        assert text.split("\n\n")[0] == "The title" and "A part" in text and len(text.split("\n\n")) == blocks and "More" not in text
