@@ -10,6 +10,7 @@ which loses no pair and ends, as a bucket of distinct fingerprints that agree in
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,12 @@ BUCKET_ROWS = 20_000
 BANDS, BAND_ROWS = 20, 4
 #: Members of a bucket that is too large for one task which are tried as its star.
 STARS = 8
+#: Shingles up to which a text may be such a star while shorter ones are there.
+STAR_VALUES = 100_000
+#: Shingles of a group of candidates that one task compares.
+SET_VALUES = 4_000_000
+#: Similarities are compared with this allowance for rounding.
+SLACK = 1e-9
 #: 64-bit parts of the fingerprint of five-word shingles by which likeness is judged.
 SKETCH_PARTS = 8
 
@@ -254,29 +261,40 @@ def covering_links(items: DataFrame, most: int, radius: int = RADIUS, bucket_row
     return links
 
 
-def _apart(a, b):
+def _bits_apart(a, b):
     """Differing bits of two sketches."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
-def _stars(members: DataFrame, most: int, bucket_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Takes members (bucket, id, sketch) of large buckets apart: links, smaller buckets to search (bucket, id, sketch), and what is dealt anew (bucket, path, id).
+def _sets_apart(a, b):
+    """Jaccard distance of two sets, 0 for two empty ones."""
+    common = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - common
+    return F.when(union == 0, F.lit(0.0)).otherwise(1 - common / union)
 
+
+def _stars(members: DataFrame, apart, most: float, values: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Takes members (bucket, id, sketch) of large buckets apart: links, smaller buckets to search, and buckets that are dealt anew, both (bucket, id, sketch).
+
+    `apart` is a metric of sketches, and buckets are measured by the values in their sketches, of which a task may hold `values`.
     The best of STARS members is linked with all that lie within `most` of it. Of the others, only those within 2 * most of the
     star can lie within `most` of one of its neighbours, so just these meet the neighbours, in blocks; and the others
     are a bucket of their own, smaller by the neighbours. Where no tried member has a quarter of its bucket for
     neighbours, all blocks of the bucket meet in pairs. No pair within `most` is lost, and each round leaves 3/4 at most.
+    Members meet stars by plain joins, which Spark broadcasts where the stars are few and splits where a bucket is hot.
     """
-    half = max(1, bucket_rows // 2)
-    tried = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(STARS)).alias("lot")).agg(F.min(F.struct("id", "sketch")).alias("star"))
+    half = max(1, values // 2)
+    lot = F.pmod(F.xxhash64("id"), F.lit(STARS))
+    star = F.min(F.struct((F.size("sketch") > STAR_VALUES).alias("long"), "id", "sketch"))  # a long text is no star if others are there
+    tried = members.groupBy("bucket", lot.alias("lot")).agg(star.alias("star"))
     tried = staged(tried.select(F.col("bucket").alias("of"), F.col("star.id").alias("star"), F.col("star.sketch").alias("middle")), "stars")
-    d = _apart(F.col("sketch"), F.col("middle"))
-    met = members.join(F.broadcast(tried), F.col("bucket") == F.col("of")).select("of", "star", d.alias("d"))
-    near, far = F.count_if(F.col("d") <= most), F.count_if((F.col("d") > most) & (F.col("d") <= 2 * most))
-    counts = met.groupBy("of", "star").agg(near.alias("near"), far.alias("fringe"), F.count("*").alias("n"))
+    d, weight = apart(F.col("sketch"), F.col("middle")), F.greatest(F.size("sketch"), F.lit(1)).cast("long")
+    met = members.join(tried, F.col("bucket") == F.col("of")).select("of", "star", d.alias("d"), weight.alias("w"))
+    near, far = F.sum(F.when(F.col("d") <= most, F.col("w")).otherwise(0)), F.sum(F.when((F.col("d") > most) & (F.col("d") <= 2 * most), F.col("w")).otherwise(0))
+    counts = met.groupBy("of", "star").agg(near.alias("near"), far.alias("fringe"), F.sum("w").alias("n"))
     best = counts.groupBy(F.col("of").alias("b")).agg(F.max(F.struct("near", "star", "fringe", "n")).alias("best")).select("b", "best.*").withColumnRenamed("star", "s")
     best = staged(best.join(tried, (F.col("b") == F.col("of")) & (F.col("s") == F.col("star"))).select("of", "star", "middle", "near", "fringe", "n"), "best-stars")
-    placed = staged(members.join(F.broadcast(best), F.col("bucket") == F.col("of")).select("bucket", "id", "sketch", "star", "near", "fringe", "n", d.alias("d")), "placed")
+    placed = staged(members.join(best, F.col("bucket") == F.col("of")).select("bucket", "id", "sketch", "star", "near", "fringe", "n", d.alias("d")), "placed")
 
     def block(count):
         return F.pmod(F.xxhash64("id", F.lit(1)), count)
@@ -287,7 +305,7 @@ def _stars(members: DataFrame, most: int, bucket_rows: int) -> tuple[DataFrame,
     crowd, k, m = F.col("near") * 4 >= F.col("n"), F.ceil(F.col("fringe") / half), F.ceil(F.col("near") / half)
     star = placed.filter(crowd)
     links = star.filter((F.col("d") <= most) & (F.col("id") != F.col("star"))).select(F.col("star").alias("a"), F.col("id").alias("b"))
-    rest = star.filter(F.col("d") > most).select(F.xxhash64("bucket", F.lit("rest")).alias("bucket"), F.lit(0).cast("long").alias("path"), "id")
+    rest = star.filter(F.col("d") > most).select(F.xxhash64("bucket", F.lit("rest")).alias("bucket"), "id", "sketch")
     inner = star.filter((F.col("d") <= most) & (F.col("fringe") > 0)).select("bucket", "id", "sketch", every(k).alias("i"), block(m).alias("j"))
     outer = star.filter((F.col("d") > most) & (F.col("d") <= 2 * most)).select("bucket", "id", "sketch", block(k).alias("i"), every(m).alias("j"))
     parts = F.ceil(F.col("n") / half)
@@ -297,6 +315,25 @@ def _stars(members: DataFrame, most: int, bucket_rows: int) -> tuple[DataFrame,
     return links, pairs, rest
 
 
+def _grouped_links(members: DataFrame, apart, most: float, search, values: int) -> DataFrame:
+    """Links (a, b) that connect whatever pairs connect which share a bucket and lie within `most`. members: bucket long, id long, sketch array<long>."""
+
+    def searched(some: DataFrame) -> DataFrame:
+        return some.select("bucket", "id", "sketch").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(search, "a long, b long")
+
+    found: list[DataFrame] = []
+    while True:
+        sizes = members.groupBy(F.col("bucket").alias("of")).agg(F.sum(F.greatest(F.size("sketch"), F.lit(1))).alias("n"))
+        large = staged(sizes.filter(F.col("n") > values).select("of"), "large")
+        if large.isEmpty():
+            return functools.reduce(DataFrame.union, found, searched(members))
+        found.append(searched(members.join(large, F.col("bucket") == F.col("of"), "left_anti")))
+        held = staged(members.join(large, F.col("bucket") == F.col("of"), "left_semi"), "large-buckets")
+        links, pairs, rest = _stars(held, apart, most, values)
+        found += [links, searched(pairs)]
+        members = staged(rest, "rest")
+
+
 def banded_links(items: DataFrame, most: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links (a, b) that connect whatever pairs connect which share a band and differ in at most `most` bits of their sketches.
 
@@ -306,24 +343,74 @@ def banded_links(items: DataFrame, most: int, bucket_rows: int = BUCKET_ROWS) ->
     bucket_rows = max(bucket_rows, 2)
     sketches = items.select(F.col("id").alias("of"), "sketch")
     placed = items.select(F.explode("bands").alias("bucket"), F.lit(0).cast("long").alias("path"), "id")
+    together = staged(placed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(bucket_rows), "bucket long, path long, id long, large boolean"), "buckets")
+    joined = together.join(sketches, F.col("id") == F.col("of")).select("bucket", "id", "sketch", "large")
+    small = joined.filter("not large").drop("large").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_search(most), "a long, b long")
+    if together.filter("large").isEmpty():
+        return small
+    held = staged(joined.filter("large").drop("large"), "large-buckets")
+    return small.union(_grouped_links(held, _bits_apart, most, _search(most), bucket_rows * SKETCH_PARTS))
+
+
+def _set_forest(ids: np.ndarray, values: np.ndarray, first: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Links that connect all rows which a Jaccard similarity of at least that much connects; row i's set is values[first[i]:first[i + 1]], sorted."""
+    sizes = np.diff(first)
+    rest, queue = np.arange(1, len(ids)), [0]
+    while len(rest):
+        if not queue:
+            queue, rest = [int(rest[0])], rest[1:]
+            continue
+        at = queue.pop()
+        own = values[first[at] : first[at + 1]]
+        # Sets of too different sizes can't be that similar.
+        fits = np.minimum(sizes[rest], len(own)) >= similarity * np.maximum(sizes[rest], len(own)) - SLACK
+        near = np.zeros(len(rest), bool)
+        for k in np.flatnonzero(fits).tolist():
+            other = values[first[rest[k]] : first[rest[k] + 1]]
+            if len(own) and len(other):
+                spot = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                common = int((own[spot] == other).sum())
+                near[k] = common >= similarity * (len(own) + len(other) - common) - SLACK
+            else:
+                near[k] = len(own) == len(other)
+        for found in rest[near].tolist():
+            yield int(ids[at]), int(ids[found])
+            queue.append(found)
+        rest = rest[~near]
 
-    def searched(members: DataFrame) -> DataFrame:
-        return members.select("bucket", "id", "sketch").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_search(most), "a long, b long")
 
-    found: list[DataFrame] = []
-    while True:
-        together = staged(placed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared(bucket_rows), "bucket long, path long, id long, large boolean"), "buckets")
-        found.append(searched(together.filter("not large").join(sketches, F.col("id") == F.col("of"))))
-        large = together.filter("large")
-        if large.isEmpty():
-            break
-        members = staged(large.join(sketches, F.col("id") == F.col("of")).select("bucket", "id", "sketch"), "large-buckets")
-        links, pairs, placed = _stars(members, most, bucket_rows)
-        found += [links, searched(pairs)]
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
-    return links
+def _search_sets(similarity: float):
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of rows (bucket, id, sorted set), sorted by bucket."""
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def links(bucket, ids, sizes, values) -> Iterator[pa.RecordBatch]:
+            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+            first = np.concatenate([[0], np.cumsum(sizes)])
+            pairs: list[tuple[int, int]] = []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if b - a > 1:
+                    pairs.extend(_set_forest(ids[a:b], values, first[a : b + 1], similarity))
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(2)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), sizes, lists.flatten().to_numpy()))
+            if held[0][0][0] == held[-1][0][-1]:
+                continue  # all of one bucket so far
+            bucket, ids, sizes, values = (np.concatenate(x) for x in zip(*held, strict=True))
+            last = int(np.flatnonzero(bucket != bucket[-1])[-1]) + 1
+            cut = int(sizes[:last].sum())
+            yield from links(bucket[:last], ids[:last], sizes[:last], values[:cut])
+            held = [(bucket[last:], ids[last:], sizes[last:], values[cut:])]
+        if held:
+            yield from links(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return search
 
 
 def _rooted(members: DataFrame, items: DataFrame, links: DataFrame) -> DataFrame:
@@ -355,7 +442,7 @@ def fingerprint_components(docs: DataFrame, words: int = 3, radius: int = RADIUS
     return _rooted(members, items, links).select("doc_id", F.col("id").alias("fp"), "component_id")
 
 
-def likeness_bits(similarity: float, parts: int = SKETCH_PARTS, deviations: float = 2.6) -> int:
+def likeness_bits(similarity: float, parts: int = SKETCH_PARTS, deviations: float = 3.3) -> int:
     """Differing bits of shingle sketches up to which texts of at least this Jaccard similarity stay, with a margin of that many standard deviations."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     n = 64 * parts
@@ -375,57 +462,86 @@ def band_keys(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _shingles(block, words: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The distinct shingles of a block's rows, sorted in each row, where each row's begin, and two hashes of each word sequence."""
+    h, first = block.hashes(), block.first
+    doc = block.doc_of()
+    whole = span_hashes(h, first[:-1], first[1:]), span_hashes(mix(h), first[:-1], first[1:])
+    grams = window_hashes(h, words)
+    own = doc[: len(grams)] == doc[words - 1 :] if len(grams) else np.empty(0, bool)
+    short = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < words))
+    shingles = np.concatenate([grams[own], whole[0][short]])
+    of = np.concatenate([doc[: len(grams)][own], short])
+    order = np.lexsort((shingles, of))
+    shingles, of = shingles[order], of[order]
+    fresh = np.ones(len(of), bool)  # a shingle counts once
+    fresh[1:] = (shingles[1:] != shingles[:-1]) | (of[1:] != of[:-1])
+    return shingles[fresh], np.searchsorted(of[fresh], np.arange(len(block) + 1)), whole
+
+
 def near_duplicate_sketches(texts: pa.Array, words: int = 5, parts: int = SKETCH_PARTS) -> Iterator[tuple[np.ndarray, ...]]:
     """By block: two hashes of the word sequence, (n, BANDS) keys of minima over the set of shingles, (n, parts) fingerprints of it."""
     for block in blocks(texts, SPACED, lower=True):
-        h, first = block.hashes(), block.first
-        doc = block.doc_of()
-        whole = span_hashes(h, first[:-1], first[1:]), span_hashes(mix(h), first[:-1], first[1:])
-        grams = window_hashes(h, words)
-        own = doc[: len(grams)] == doc[words - 1 :] if len(grams) else np.empty(0, bool)
-        short = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < words))
-        shingles = np.concatenate([grams[own], whole[0][short]])
-        of = np.concatenate([doc[: len(grams)][own], short])
-        # a shingle counts once
-        order = np.lexsort((shingles, of))
-        shingles, of = shingles[order], of[order]
-        fresh = np.ones(len(of), bool)
-        fresh[1:] = (shingles[1:] != shingles[:-1]) | (of[1:] != of[:-1])
-        shingles, gram_first = shingles[fresh], np.searchsorted(of[fresh], np.arange(len(block) + 1))
-        sketch = np.stack([simhash(mix(shingles ^ mix(np.array([s + 101], np.uint64))), gram_first) for s in range(parts)], axis=1)
-        yield *whole, band_keys(shingles, gram_first), sketch
-
-
-def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+        shingles, first, whole = _shingles(block, words)
+        sketch = np.stack([simhash(mix(shingles ^ mix(np.array([s + 101], np.uint64))), first) for s in range(parts)], axis=1)
+        yield *whole, band_keys(shingles, first), sketch
+
+
+def shingle_sets(texts: pa.Array, words: int = 5) -> Iterator[pa.Array]:
+    """By block: the sorted set of shingle hashes of each text, signed."""
+    for block in blocks(texts, SPACED, lower=True):
+        shingles, first, _ = _shingles(block, words)
+        signed = shingles.view(np.int64)
+        order = np.lexsort((signed, np.repeat(np.arange(len(block)), np.diff(first))))
+        yield pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(signed[order]))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS, values: int = SET_VALUES) -> DataFrame:
     """The rows of docs, all columns, of which one stays for each group of near copies: the one with the smallest id.
 
     Candidates are texts that share one of BANDS bands of minima over their shingles, which misses one in about 40,000
-    pairs at a similarity of 0.8 and fewer above, wherever the texts differ; a link needs shingle sketches as close as texts of the given Jaccard similarity have
-    them (see likeness_bits), and groups are the components of links. Texts with the same words are one node.
-    Texts without words, null among them, are copies of one another. A row with a null id stays only if its group has
-    no other. Of repeated ids within what stays, one row stays. An empty table stays empty.
+    pairs at a similarity of 0.8 and fewer above, wherever the texts differ, and whose SimHashes are as close as those of texts of the
+    given similarity (see likeness_bits). Texts that candidates connect are then compared by their whole sets of shingles:
+    a link needs that Jaccard similarity exactly, and groups are the components of links. Texts with the same words are
+    one node; texts without words, null among them, are copies of one another. A row with a null id stays only
+    if its group has no other. Different texts under one id are rows of their own; of rows equal in id and text one stays.
+    An empty table stays empty.
     """
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    names = {c.lower() for c in docs.columns}
+    key, mark, mark_id = (next(f"{c}_{i}" for i in range(len(names) + 1) if f"{c}_{i}" not in names) for c in ("near_key", "near_mark", "near_id"))
+    text_key = F.xxhash64(F.col(text_col).cast("string"))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key.alias("key"), F.col(text_col).cast("string").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for h1, h2, bands, sketch in near_duplicate_sketches(batch.column(1), words):
+            for h1, h2, bands, sketch in near_duplicate_sketches(batch.column(2), words):
                 lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), x.shape[1]).cast(pa.list_(pa.int64())) for x in (bands, sketch)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(h1)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *lists], ["doc_id", "h1", "h2", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(h1)), batch.column(1).slice(at, len(h1)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *lists], ["doc_id", "key", "h1", "h2", "bands", "sketch"])
                 at += len(h1)
 
-    members = staged(ids.mapInArrow(run, "doc_id long, h1 long, h2 long, bands array<long>, sketch array<long>"), "sketches")
-    copies = members.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    items = staged(copies.withColumn("id", F.coalesce("doc_id", F.lit(-1))), "distinct-texts")
-    links = banded_links(items.select("id", "bands", "sketch"), likeness_bits(similarity), bucket_rows)
-    roots = connected_components(links).filter("node != root").select("node")
-    stay = staged(items.join(roots, items["id"] == roots["node"], "left_anti").select(F.col("doc_id").alias("keep_id")), "stay")
-    names = {c.lower() for c in docs.columns}
-    mark = next(f"keep_{i}" for i in range(len(names) + 1) if f"keep_{i}" not in names)
-    stay = stay.withColumnRenamed("keep_id", mark)
-    # Always by shuffle: the ids that stay are most of the rows and never a small side.
-    same = F.col(id_col).eqNullSafe(F.col(mark)) if not stay.filter(F.col(mark).isNull()).isEmpty() else F.col(id_col) == F.col(mark)
-    kept = docs.join(stay.hint("merge"), same, "left_semi")
-    repeated = not members.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return kept.dropDuplicates([id_col]) if repeated else kept
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for sets in shingle_sets(batch.column(2), words):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), batch.column(1).slice(at, len(sets)), sets], ["bucket", "id", "sketch"])
+                at += len(sets)
+
+    members = staged(read.mapInArrow(sketched, "doc_id long, key long, h1 long, h2 long, bands array<long>, sketch array<long>"), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
+    copies = members.groupBy("h1", "h2").agg(first, F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    items = staged(copies.select(F.monotonically_increasing_id().alias("id"), "first", "bands", "sketch"), "distinct-texts")
+    rough = connected_components(banded_links(items.select("id", "bands", "sketch"), likeness_bits(similarity), bucket_rows))
+    # Each text that has candidates travels once, to the others that they connect it with.
+    named = rough.join(items.select("id", "first"), F.col("node") == F.col("id")).select(F.col("root").alias("bucket"), "id", F.col("first.doc_id").alias("of"), F.col("first.key").alias("of_key"))
+    texts = read.join(named, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))).select("bucket", "id", "text")
+    sets = staged(texts.mapInArrow(shingled, "bucket long, id long, sketch array<long>"), "shingle-sets")
+    links = _grouped_links(sets, _sets_apart, 1 - similarity + SLACK, _search_sets(similarity), values)
+    rooted = staged(connected_components(links).join(items.select("id", "first"), F.col("node") == F.col("id")).select("id", "root", "first"), "rooted")
+    best = rooted.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("best"))
+    gone = rooted.join(best, F.col("root") == F.col("of")).filter("first != best").select(F.col("id").alias("gone"))
+    stay = staged(items.select("id", "first").join(gone, F.col("id") == F.col("gone"), "left_anti").select(F.col("first.doc_id").alias(mark_id), F.col("first.key").alias(mark)), "stay")
+    # Always by shuffle: what stays is most of the rows and never a small side.
+    kept = docs.withColumn(key, text_key).join(stay.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col(mark_id)) & (F.col(key) == F.col(mark)), "left_semi")
+    repeated = not members.groupBy("doc_id", "key").count().filter("count > 1").isEmpty()
+    return (kept.dropDuplicates([id_col, key]) if repeated else kept).drop(key)

@@ -484,6 +484,47 @@ def test_items_of_equal_bands_are_taken_apart(spark, bucket_rows):
     assert [root.get(i, i) for i in range(len(values))] == want
 
 
+@pytest.mark.parametrize("values", [4_000_000, 3_000, 200])
+def test_links_of_sets_are_exact(spark, values):
+    rng = random.Random(values)
+    sets = []
+    for size in (120, 25, 6):  # crowds around one set, not all of which are near one another
+        own = [rng.sample(range(10**6), 60)]
+        while len(own) < size:
+            base = rng.choice(own[:3])
+            own.append(base[rng.randrange(8) :] + [rng.randrange(10**6) for _ in range(rng.randrange(8))])
+        sets += [set(s) for s in own]
+    sets += [set(rng.sample(range(10**6), rng.randrange(1, 80))) for _ in range(40)] + [set(), set()]
+    members = spark.createDataFrame([(7, i, sorted(s)) for i, s in enumerate(sets)], "bucket long, id long, sketch array<long>")
+    links = covering_dedup._grouped_links(members, covering_dedup._sets_apart, 0.2 + 1e-9, covering_dedup._search_sets(0.8), values).collect()
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    assert all(near(sets[r.a], sets[r.b]) for r in links)
+    root = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if near(sets[i], sets[j]) and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+    assert [root.get(i, i) for i in range(len(sets))] == want
+
+
+def test_near_duplicates_with_repeated_and_null_ids(spark):
+    words = [f"w{i}" for i in range(300)]
+    a, b, c = " ".join(words[:100]), " ".join(words[100:200]), " ".join(words[200:])
+    near_a = " ".join([*words[:99], "other"])
+    rows = [(1, a), (1, b), (1, b), (-1, c), (None, c), (None, near_a), (None, "alone in this table it is"), (None, None), (7, ""), (8, a.upper())]
+    kept = covering_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([(1, a), (1, b), (-1, c), (None, "alone in this table it is"), (7, "")])
+
+
+def test_permuted_texts_are_taken_apart(spark):
+    rng, words = random.Random(5), [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.sample(words, 40))) for i in range(40)]
+    kept = covering_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bucket_rows=16, values=100)
+    assert kept.count() == 40
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     kept = covering_dedup.drop_near_duplicates(odd)
     assert kept.columns == odd.columns
