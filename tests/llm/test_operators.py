@@ -663,15 +663,55 @@ def test_licenses_in_texts(spark):
     assert [(m.license, m.start_word) for m in got[7].matches] == [("CC-BY-NC-4.0/notice", 0), ("CC-BY-NC-4.0/notice", 8)]
 
 
+def brute_common(a, b):
+    """Longest common subsequence, and the fewest first words of b that hold it."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            best[i + 1][j + 1] = max(best[i][j] + (a[i] == b[j]), best[i][j + 1], best[i + 1][j])
+    return best[-1][-1], best[-1].index(best[-1][-1])
+
+
 def test_alignment_is_the_longest_common_subsequence():
     rng = random.Random(9)
-    for _ in range(200):
-        a, b = ([rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randrange(1, 9))] for _ in range(2))
-        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i in range(len(a)):
-            for j in range(len(b)):
-                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
-        assert license_scan.align(a, b, 0)[0] == best[-1][-1]
+    for _ in range(300):
+        a, b = (np.array([rng.choice([1, 2, 3]) for _ in range(rng.randrange(1, 9))], np.uint64) for _ in range(2))
+        assert license_scan.align(a, b, 20) == brute_common(a.tolist(), b.tolist())
+
+
+def test_licenses_are_found_as_often_as_they_stand(spark):
+    notice, mit = "Released under the MIT License.", re.sub(r"\s+", " ", license_scan.TEMPLATES["MIT/text"])
+    texts = [f"{notice} {notice} {notice}", f"{mit} {mit}", f"{mit} {notice} {mit}", f"{notice} x {notice}", re.sub(r"\s+", " ", license_scan.TEMPLATES["BSD-2-Clause/text"])]
+    got = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    n = len(ALNUM.findall(lower(mit)))
+    assert [[(m.license, m.start_word, m.coverage) for m in r.matches] for r in got] == [
+        [("MIT/notice", 0, 1.0), ("MIT/notice", 5, 1.0), ("MIT/notice", 10, 1.0)],
+        [("MIT/text", 0, 1.0), ("MIT/text", n, 1.0)],
+        [("MIT/text", 0, 1.0), ("MIT/notice", n, 1.0), ("MIT/text", n + 5, 1.0)],
+        [("MIT/notice", 0, 1.0), ("MIT/notice", 6, 1.0)],
+        [("BSD-2-Clause/text", 0, 1.0)],
+    ]
+
+
+def test_coverage_and_spans_equal_unbanded_alignment():
+    """Edited copies between other words: each is found, and its coverage and span are those of an alignment without a band."""
+    rng, index = random.Random(12), license_scan.Index.build(license_scan.TEMPLATES)
+    for _ in range(120):
+        name = rng.choice(sorted(license_scan.TEMPLATES))
+        want = ALNUM.findall(lower(license_scan.TEMPLATES[name]))
+        copy = list(want)
+        for _ in range(len(want) // 12):
+            k = rng.randrange(len(copy))
+            copy[k : k + 1] = rng.choice([[], [f"new{rng.randrange(99)}"], [copy[k], f"more{rng.randrange(99)}"]])
+        before, after = ([f"v{rng.randrange(999)}" for _ in range(rng.randrange(40))] for _ in range(2))
+        text = " ".join([*before, *copy, *after])
+        found = license_scan.find(license_scan._hashes(text), index)
+        assert len(found) == 1
+        kind, coverage, a, b = found[0]
+        words, own = text.split(), ALNUM.findall(lower(license_scan.TEMPLATES[kind]))
+        matched, end = brute_common(own, words)
+        assert coverage == matched / len(own) and b == end and a == len(words) - brute_common(own[::-1], words[::-1])[1]
+        assert kind == name or matched >= brute_common(want, words)[0] - 6
 
 
 def test_licenses_by_registered_query(spark, sf, odd, empty, texts):
