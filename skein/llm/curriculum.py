@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from skein.llm.storage import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: (time, weight) from 0 to 1, linear between.
+type Schedule = Sequence[tuple[float, float]]
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: int = 3, budget: int | None = None) -> DataFrame:
@@ -42,7 +44,7 @@ def source_targets(sources: DataFrame, weights: Sequence[float] = (5, 2, 1), cap
     return found.withColumn("target", F.when(F.col("share").isNull() | (share > capped), capped).otherwise(share)).drop("level", "share")
 
 
-def demand_inverse(fraction: Column, schedule: Sequence[tuple[float, float]]) -> Column:
+def demand_inverse(fraction: Column, schedule: Schedule) -> Column:
     """The time at which a schedule has used up the given fraction of its whole integral."""
     pieces = []
     total = sum((t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in zip(schedule, schedule[1:], strict=False))
@@ -65,20 +67,72 @@ def demand_inverse(fraction: Column, schedule: Sequence[tuple[float, float]]) ->
     return out
 
 
-def turn(doc_id: Column) -> Column:
-    """The key that orders a source's stream."""
-    return F.coalesce(F.md5(doc_id.cast("string").cast("binary")), F.lit(""))
+#: One weight all the time.
+STEADY: Schedule = ((0.0, 1.0), (1.0, 1.0))
+
+
+def turn(doc_id: Column, text: Column) -> Column:
+    """The key that orders a source's stream; rows without an id are spread over it by their text."""
+    return F.coalesce(F.md5(doc_id.cast("string").cast("binary")), F.md5(F.concat(F.lit("null:"), F.coalesce(text, F.lit(""))).cast("binary")))
 
 
 def word_count(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(0)).otherwise(F.regexp_count(text, F.lit(WORD))).cast("long")
 
 
+def _bucket(key: Column, buckets: int) -> Column:
+    """Buckets follow the stream's order, so they are cut from the leading hex digits of its key."""
+    return F.floor(F.conv(F.substring(key, 1, 6), 16, 10).cast("long") * buckets / (1 << 24)).cast("int")
+
+
+def _lookup(sized: DataFrame, weights: Sequence[float], cap: int) -> DataFrame:
+    """A row per source and bucket: own_key, bucket, part_start (words of the source before the bucket), source_size, target, rank."""
+    parts = sized.groupBy("source", "source_key", "bucket").agg(F.sum("size").alias("part_size"))
+    in_source = Window.partitionBy("source_key").orderBy("bucket")
+    whole_source = in_source.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = parts.withColumn("part_start", F.sum("part_size").over(in_source) - F.col("part_size")).withColumn("source_size", F.sum("part_size").over(whole_source))
+    targets = source_targets(parts.groupBy("source", "source_key").agg(F.max("source_size").alias("source_size")), weights, cap)
+    right = targets.select(F.col("source_key").alias("own_key"), "source_size", "target", "rank")
+    return parts.drop("source_size").join(right, F.col("source_key") == F.col("own_key")).select("own_key", F.col("bucket").alias("own_bucket"), "part_start", "source_size", "target", "rank")
+
+
+def _planned(rows: DataFrame, lookup: DataFrame, whole: bool) -> DataFrame:
+    """rows (source_key, bucket, turn, size, tie, ...) with source_size, target, rank, place, taken and passes. What a window and a join need is dealt out once, by source and bucket."""
+    in_part = Window.partitionBy("source_key", "bucket").orderBy("turn", "size", "tie")
+    placed = rows.withColumn("within", F.sum("size").over(in_part.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    joined = placed.join(lookup, (F.col("source_key") == F.col("own_key")) & (F.col("bucket") == F.col("own_bucket")))
+    wanted = F.round("target").cast("long")
+    full = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    place = F.col("part_start") + F.col("within")
+    rest = F.least(F.greatest(wanted - full * F.col("source_size") - place, F.lit(0)), F.col("size"))
+    if whole:
+        rest = F.when(2 * rest >= F.col("size"), F.col("size")).otherwise(F.lit(0))
+    taken = (full * F.col("size") + rest).cast("long")
+    passes = F.when(taken > 0, full + (rest > 0).cast("long")).otherwise(F.lit(0)).cast("int")
+    return joined.withColumns({"place": place, "taken": taken, "passes": passes}).drop("own_key", "own_bucket", "within", "part_start")
+
+
+def _position(schedules: Sequence[Schedule], place: Column) -> Column:
+    """Training position of a place in a source's stream."""
+    fraction, position = F.least(place / F.col("target"), F.lit(1.0)), F.lit(None).cast("double")
+    for i, schedule in enumerate(schedules):
+        position = F.when(F.col("rank") % len(schedules) == i, demand_inverse(fraction, schedule)).otherwise(position)
+    return position
+
+
+def _with_keys(docs: DataFrame, buckets: int | None, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """The columns that place a document in its source's stream."""
+    buckets = buckets or max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    text, source = F.col(text_col).cast("string"), F.col(source_col).cast("string")
+    key = turn(F.col(id_col), text)
+    return {"size": word_count(text), "source_key": F.coalesce(F.concat(F.lit("="), source), F.lit("")), "turn": key, "bucket": _bucket(key, buckets), "tie": F.xxhash64(text)}
+
+
 def plan_mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
     cap: int = 3,
-    schedules: Sequence[Sequence[tuple[float, float]]] = (((0.0, 1.0), (1.0, 1.0)),),
+    schedules: Sequence[Schedule] = (STEADY,),
     whole: bool = False,
     buckets: int | None = None,
     id_col: str = "doc_id",
@@ -92,69 +146,39 @@ def plan_mix(
     the last document is cut at the target or, with whole=True, taken as a whole if at least half of it is wanted.
     `passes` counts the readings that take something; `position` is the training position in 0..1 of the first one,
     null where nothing is taken. `schedules` are dealt to the sources in turn, like the weights.
-    A null text has size 0; a null source is a source of its own, last in order. Rows of one id are ordered by size.
-    Other columns are not read, and an empty table gives an empty plan.
+    A null text has size 0; a null source is a source of its own, last in order. Rows without an id are placed by a hash of
+    their text, rows of one id ordered by size and text. Other columns are not read, and an empty table gives an empty plan.
     A source may hold most of the rows: its running sums are made in `buckets` parts of each source (four for each
     shuffle partition, if None), and added up.
     """
-    size = word_count(F.col(text_col))
-    spark = docs.sparkSession
-    buckets = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), turn(F.col(id_col)).alias("turn")), "mix-sizes")
-    # Buckets must follow the stream's order, so they are cut from the leading hex digits of its key.
-    sized = sized.withColumn("bucket", F.when(F.col("turn") == "", F.lit(-1)).otherwise(F.floor(F.conv(F.substring("turn", 1, 6), 16, 10).cast("long") * buckets / (1 << 24))).cast("int"))
-    parts = sized.groupBy("source", "bucket").agg(F.sum("size").alias("part_size"))
-    in_source = Window.partitionBy("source").orderBy("bucket")
-    whole_source = in_source.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parts = parts.withColumn("part_start", F.sum("part_size").over(in_source) - F.col("part_size")).withColumn("source_size", F.sum("part_size").over(whole_source))
-    targets = source_targets(parts.groupBy("source").agg(F.max("source_size").alias("source_size")), weights, cap)
-    looked_up = parts.drop("source_size").join(targets, parts["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    in_part = Window.partitionBy("source", "bucket").orderBy("turn", "size")
-    placed = sized.withColumn("within", F.sum("size").over(in_part.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    right = looked_up.select(F.col("source").alias("r_source"), F.col("bucket").alias("r_bucket"), "part_start", "source_size", "target", "rank")
-    joined = placed.join(right, placed["source"].eqNullSafe(F.col("r_source")) & (F.col("bucket") == F.col("r_bucket")))
-    wanted = F.round("target").cast("long")
-    full = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    place = F.col("part_start") + F.col("within")
-    rest = F.least(F.greatest(wanted - full * F.col("source_size") - place, F.lit(0)), F.col("size"))
-    if whole:
-        rest = F.when(2 * rest >= F.col("size"), F.col("size")).otherwise(F.lit(0))
-    taken = (full * F.col("size") + rest).cast("long")
-    fraction = F.least(place / F.col("target"), F.lit(1.0))
-    position = F.lit(None).cast("double")
-    for i, schedule in enumerate(schedules):
-        position = F.when(F.col("rank") % len(schedules) == i, demand_inverse(fraction, schedule)).otherwise(position)
-    position = F.when(F.col("taken") > 0, position)
-    out = joined.withColumn("place", place).withColumn("taken", taken).withColumn("passes", (full + (rest > 0).cast("long")).cast("int")).withColumn("passes", F.when(F.col("taken") > 0, F.col("passes")).otherwise(F.lit(0))).withColumn("position", position)
-    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "passes", "position", "place", "rank", "turn")
+    keys = _with_keys(docs, buckets, id_col, text_col, source_col)
+    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), *[c.alias(n) for n, c in keys.items()]), "mix-sizes")
+    planned = _planned(sized, _lookup(sized, weights, cap), whole)
+    position = F.when(F.col("taken") > 0, _position(schedules, F.col("place")))
+    return planned.select("doc_id", "size", "source", "source_size", "target", "taken", "passes", position.alias("position"), "place", "rank", "turn")
 
 
-def training_order(plan: DataFrame, schedules: Sequence[Sequence[tuple[float, float]]] = (((0.0, 1.0), (1.0, 1.0)),)) -> DataFrame:
+def training_order(plan: DataFrame, schedules: Sequence[Schedule] = (STEADY,)) -> DataFrame:
     """A row for each reading of a document (column `reading`, from 0), range-sorted by its own training position."""
     each = plan.filter("passes > 0").withColumn("reading", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
-    fraction = F.least((F.col("place") + F.col("reading") * F.col("source_size")) / F.col("target"), F.lit(1.0))
-    position = F.lit(None).cast("double")
-    for i, schedule in enumerate(schedules):
-        position = F.when(F.col("rank") % len(schedules) == i, demand_inverse(fraction, schedule)).otherwise(position)
+    position = _position(schedules, F.col("place") + F.col("reading") * F.col("source_size"))
     return each.withColumn("position", position).orderBy("position", "rank", "doc_id")
 
 
-def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of docs, all columns, each as often as the mix reads it: whole documents up to the targets of their sources.
+def mix_documents(
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: int = 3, schedules: Sequence[Schedule] = (STEADY,), buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """The rows of docs, all columns, each as often as the mix reads it, range-sorted by training position: whole documents up to the targets of their sources.
 
-    Which documents are read once more than the others follows from one place in each source's stream. So the plan comes down
-    to a row per source, and texts are not shuffled. Rows of one id and size are read equally often, ties included.
+    Texts are dealt out twice, by source and part of its stream for their places, and by position. Of repeated rows each
+    is read by its own place. Rows without words are in no mix. Null texts, sources and ids are treated as in plan_mix.
     """
-    plan = plan_mix(docs, weights, cap, whole=True, id_col=id_col, text_col=text_col, source_col=source_col)
-    most = F.when(F.col("source_size") > 0, F.floor(F.round("target").cast("long") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
-    ends = plan.withColumn("full", most).groupBy("source").agg(F.max("full").alias("full"), F.max(F.when(F.col("passes") > F.col("full"), F.struct("turn", "size"))).alias("end"))
-    names, added = {c.lower() for c in docs.columns}, []
-    for c in ("source", "full", "end", "readings", "words"):
-        added.append(next(f"{c}_{i}" for i in range(len(names) + 1) if f"{c}_{i}" not in names))
-    source, full, end, readings, words = added
-    # A row per source, written first: its size is then known, and a small one is broadcast instead of moving the texts.
-    ends = staged(ends.select(F.col("source").alias(source), F.col("full").alias(full), F.col("end").alias(end)), "mix-ends")
-    joined = docs.withColumn(words, word_count(F.col(text_col))).join(ends, F.col(source_col).cast("string").eqNullSafe(F.col(source)))
-    once_more = F.coalesce(F.struct(turn(F.col(id_col)).alias("turn"), F.col(words).alias("size")) <= F.col(end), F.lit(False)).cast("int")
-    again = joined.withColumn(readings, F.when(F.col(words) > 0, F.col(full) + once_more).otherwise(F.lit(0))).filter(F.col(readings) > 0)
-    return again.withColumn(readings, F.explode(F.sequence(F.lit(1), F.col(readings)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = _with_keys(docs, buckets, id_col, text_col, source_col)
+    narrow = staged(docs.select(F.col(source_col).cast("string").alias("source"), *[keys[n].alias(n) for n in ("size", "source_key", "bucket")]), "mix-sizes")
+    lookup = staged(_lookup(narrow, weights, cap), "mix-parts")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("row"), *[c.alias(n) for n, c in keys.items()])
+    read = _planned(whole.filter("size > 0"), lookup, True).filter("passes > 0").withColumn("reading", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
+    order = _position(schedules, F.col("place") + F.col("reading") * F.col("source_size"))
+    placed = read.select("row", order.alias("position"), "rank", "turn", "tie")
+    dealt = placed.repartitionByRange("position", "rank", "turn").sortWithinPartitions("position", "rank", "turn", "tie")
+    return dealt.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])

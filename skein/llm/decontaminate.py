@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.llm.storage import staged
 from skein.llm.words import ALNUM, blocks, window_hashes
 
 #: Words of benchmark items in one broadcast; a larger benchmark is scanned in several passes.
@@ -19,7 +22,7 @@ WINDOW = 13
 class GramSet:
     """The windows of some items, by length: sorted hashes, their words for verification, and the items that hold them."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.names = [name for name, _ in items]
         found: dict[int, dict[tuple[bytes, ...], set[int]]] = {}
         for i, (_, words) in enumerate(items):
@@ -49,21 +52,22 @@ class GramSet:
                     j += 1
 
 
-def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", most_words: int = BROADCAST_WORDS) -> list[list[tuple[str, list[bytes]]]]:
-    """The items in parts of at most most_words words (or one item). The benchmark is a test set, read on the driver part by part."""
-    parts: list[list[tuple[str, list[bytes]]]] = [[]]
-    n = 0
-    for row in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter("t is not null").toLocalIterator():
+def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", most_words: int = BROADCAST_WORDS, window: int = WINDOW) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The items in parts of at most most_words words, one part at a time. Of a longer item each part has a piece; pieces overlap, so that no window is cut."""
+    part: list[tuple[str | None, list[bytes]]] = []
+    n, step = 0, max(most_words, 2 * window)
+    for row in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).filter("t is not null").toLocalIterator():
         block = next(blocks(pa.array([row.t]), ALNUM, lower=True, most=1 << 40))
         words = [block.data[s:e].tobytes() for s, e in zip(block.starts.tolist(), block.ends.tolist(), strict=True)]
-        if not words:
-            continue
-        if parts[-1] and n + len(words) > most_words:
-            parts.append([])
-            n = 0
-        parts[-1].append((row.i, words))
-        n += len(words)
-    return parts
+        for a in range(0, max(1, len(words) - window + 1), step - window + 1) if words else ():
+            piece = words[a : a + step]
+            if part and n + len(piece) > most_words:
+                yield part
+                part, n = [], 0
+            part.append((row.i, piece))
+            n += len(piece)
+    if part:
+        yield part
 
 
 def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -94,7 +98,7 @@ def scan(texts: pa.Array, grams: GramSet) -> Iterator[tuple[int, int, list[tuple
                 items.setdefault(row, set()).update(holders)
         counts = np.diff(block.first).tolist()
         for row, n in enumerate(counts):
-            yield block.row + row, n, covered(spans.get(row, [])), [grams.names[i] for i in items.get(row, ())]
+            yield block.row + row, n, covered(spans.get(row, [])), [grams.names[i] for i in items.get(row, ()) if grams.names[i] is not None]
 
 
 RESULT = "n_words long, hit_spans array<struct<start:int,end:int>>, items array<string>"
@@ -104,23 +108,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """A row per document: doc_id, the carried columns as they are, n_words, hit_spans (merged word spans inside an occurrence of a benchmark window), items (ids of the items whose windows occur, sorted).
 
     Words are runs of digits, ASCII letters and non-ASCII bytes, A-Z lower-cased. An item with fewer words than a window
-    is one window. Hash hits are verified on the words. A null or empty text has no words and no hits; null or empty items
-    are passed over; repeated rows are judged alike. Only the named columns are read.
-    Up to BROADCAST_WORDS benchmark words travel as one broadcast; beyond it, one pass over the documents is made for
-    each part and the parts' hits are merged by row, so that no worker ever holds more than one part.
+    is one window. Hash hits are verified on the words. A null or empty text has no words and no hits; items without words
+    are passed over; the words that an item without an id hits count, but it has no name among the items; repeated rows are judged
+    alike, and so are items that share an id. Only the named columns are read.
+    Up to BROADCAST_WORDS benchmark words travel as one broadcast; beyond it, one pass over the documents is made and
+    written for each part and the parts' hits are merged by row, so that neither the driver nor a worker holds more than one part.
     """
     spark: SparkSession = docs.sparkSession
-    parts = benchmark_items(benchmark, item_col, "text")
+    parts = benchmark_items(benchmark, item_col, "text", window=window)
+    first, second = next(parts, []), next(parts, None)
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"c_{i}") for i, c in enumerate(carry) if c != text_col])
-    if len(parts) > 1:
-        from skein.llm.storage import staged
-
+    if second:
         chosen = staged(chosen.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
     keep = [f for f in chosen.schema.fields if f.name != "text" or text_col in carry]
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [RESULT])
 
-    def one_pass(part: list[tuple[str, list[bytes]]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(GramSet(part, window))
+    def one_pass(shared) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             grams = shared.value
@@ -134,17 +137,27 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
         return chosen.mapInArrow(run, ddl)
 
-    done = one_pass(parts[0])
-    for part in parts[1:]:
-        more = one_pass(part).filter("size(hit_spans) > 0").select(F.col("row").alias("r"), F.col("hit_spans").alias("s"), F.col("items").alias("i"))
-        done = done.join(more, done["row"] == more["r"], "left")
-        both = F.array_sort(F.concat("hit_spans", F.coalesce("s", F.array().cast("array<struct<start:int,end:int>>"))))
+    def written(part: list[tuple[str | None, list[bytes]]], hits_only: bool) -> DataFrame:
+        shared = spark.sparkContext.broadcast(GramSet(part, window))
+        found = one_pass(shared)
+        out = staged(found.filter("size(hit_spans) > 0").select("row", "hit_spans", "items") if hits_only else found, "contamination")
+        shared.destroy()
+        return out
+
+    if second:
+        done = written(first, False)
+        more = [written(part, True) for part in itertools.chain([second], parts)]
+        hits = functools.reduce(DataFrame.union, more).groupBy(F.col("row").alias("r")).agg(F.flatten(F.collect_list("hit_spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))
+        done = done.join(hits, done["row"] == hits["r"], "left")
+        spans = "array<struct<start:int,end:int>>"
         merged = F.aggregate(
-            both,
-            F.array().cast("array<struct<start:int,end:int>>"),
+            F.array_sort(F.concat("hit_spans", F.coalesce("s", F.array().cast(spans)))),
+            F.array().cast(spans),
             lambda acc, x: F.when((F.size(acc) > 0) & (x["start"] <= F.element_at(acc, -1)["end"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))),
         )
         done = done.withColumn("hit_spans", merged).withColumn("items", F.array_sort(F.array_union("items", F.coalesce("i", F.array().cast("array<string>"))))).drop("r", "s", "i")
+    else:
+        done = one_pass(spark.sparkContext.broadcast(GramSet(first, window)))
     own = {c: "text" if c == text_col else f"c_{i}" for i, c in enumerate(carry)}
     return done.select("doc_id", *[F.col(n).alias(c) for c, n in own.items()], "n_words", "hit_spans", "items")
 

@@ -144,7 +144,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Learns from rows with text and lang; others are passed over. With no such rows the model knows no language.
 
     Counts of documents and document frequencies are taken over all rows. The fit uses at most about fit_rows rows a
-    language, those whose hash of the text is lowest against the language's share, so that reruns agree.
+    language, those whose hash of the text is lowest against the language's share, and copies once, so that reruns agree. Up to
+    MOST_LANGUAGES languages are learned; more are an error.
     """
     rows = labelled.select(F.xxhash64(text_col).alias("h"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
@@ -171,7 +172,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     share = F.lit(0.0)
     for lang in names:
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, fit_rows / counts[lang]))).otherwise(share)
-    chosen = rows.filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).select("text", "lang", "h")
+    # Copies of a text share its hash; they count once, so that a text that is everywhere neither fills the sample nor decides who is in it.
+    chosen = rows.filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).groupBy("h", "lang").agg(F.min("text").alias("text")).select("text", "lang", "h")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +188,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     index = {lang: k for k, lang in enumerate(names)}
     fit, check = [], []
     bound = 2 * fit_rows * len(names) + 100
-    got = sorted(chosen.mapInArrow(vectors, "lang string, h long, ids binary, tf binary").limit(bound).collect(), key=lambda r: (r.h, r.lang))
+    got = chosen.mapInArrow(vectors, "lang string, h long, ids binary, tf binary").orderBy("h", "lang").limit(bound).collect()
     sampled = Counter(r.lang for r in got)
     for r in got:
         at = np.frombuffer(r.ids, np.uint16).astype(np.int64)

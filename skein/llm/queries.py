@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Of the sources in turn: one that grows in weight, one that stays, one that fades.
+SCHEDULES: tuple[curriculum.Schedule, ...] = (((0.0, 1.0), (1.0, 3.0)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 4.0), (0.5, 1.0), (1.0, 1.0)))
+
+
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.fresh_path(spark, "token-records")
     token_records.write_records(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -22,14 +26,26 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = curriculum.plan_mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
-    return plan.orderBy("position", "doc_id").select("doc_id", "size", "source_size", "target", "taken")
+    plan = curriculum.plan_mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3, schedules=SCHEDULES)
+    return plan.orderBy("position", "doc_id").select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+
 
+def _inverse_sql(schedule: curriculum.Schedule) -> str:
+    """The time x at which a schedule's integral reaches the share f of the whole, piece by piece."""
+    areas = [(t1 - t0) * (w0 + w1) / 2 for (t0, w0), (t1, w1) in zip(schedule, schedule[1:], strict=False)]
+    cases, used = [], 0.0
+    for ((t0, w0), (t1, w1)), area in zip(zip(schedule, schedule[1:], strict=False), areas, strict=True):
+        a, need = (w1 - w0) / (t1 - t0) / 2, f"(f * {sum(areas)}::DOUBLE - {used}::DOUBLE)"
+        solved = f"{need} / {w0}::DOUBLE" if a == 0 else f"(sqrt(greatest(0, {w0 * w0}::DOUBLE + {4 * a}::DOUBLE * {need})) - {w0}::DOUBLE) / {2 * a}::DOUBLE"
+        used += area
+        cases.append(f"WHEN f * {sum(areas)}::DOUBLE <= {used}::DOUBLE THEN {t0}::DOUBLE + {solved}")
+    return f"CASE {' '.join(cases)} ELSE {schedule[-1][0]}::DOUBLE END"
 
-OP2_SQL = r"""
+
+OP2_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS turn
+         coalesce(md5(CAST(doc_id AS VARCHAR)), md5('null:' || coalesce(text, ''))) AS turn
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank
@@ -44,15 +60,19 @@ levels AS (
 shared AS (
   SELECT *, (SELECT level FROM levels WHERE level * weight <= 3 * source_size ORDER BY ratio, rank LIMIT 1) AS share FROM levels),
 targets AS (
-  SELECT source, source_size, CASE WHEN share IS NULL OR share * weight > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE share * weight END AS target
+  SELECT source, source_size, rank, CASE WHEN share IS NULL OR share * weight > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE share * weight END AS target
   FROM shared),
 placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS wanted,
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.rank, CAST(round(t.target) AS BIGINT) AS wanted,
          CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.turn, s.size ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size AS place
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (wanted // source_size) * size + least(greatest(wanted - (wanted // source_size) * source_size - place, 0), size) END AS BIGINT) AS taken
-FROM placed
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, CAST(CASE WHEN source_size = 0 THEN 0 ELSE (wanted // source_size) * size + least(greatest(wanted - (wanted // source_size) * source_size - place, 0), size) END AS BIGINT) AS taken,
+         least(place / target, 1) AS f
+  FROM placed)
+SELECT doc_id, size, source_size, target, taken,
+       round(CASE WHEN taken > 0 THEN CASE rank % 3 WHEN 0 THEN {_inverse_sql(SCHEDULES[0])} WHEN 1 THEN {_inverse_sql(SCHEDULES[1])} ELSE {_inverse_sql(SCHEDULES[2])} END END, 9) AS position
+FROM counted
 """
 
 
@@ -89,6 +109,31 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP8_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOWER.format('text')}, '{_ALNUM}'), []::VARCHAR[]) AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format('text')}, '{_ALNUM}') AS w FROM benchmark WHERE text IS NOT NULL),
+grams AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM items WHERE len(w) > 0)),
+windows AS (
+  SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM grams) AS lengths WHERE len(w) >= k)),
+hits AS (
+  SELECT r, i, windows.k, item_id FROM windows JOIN grams ON windows.k = grams.k AND windows.g = grams.g),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM hits)) GROUP BY r),
+named AS (
+  SELECT r, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(m.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered c USING (r) LEFT JOIN named m USING (r)
+"""
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
@@ -100,6 +145,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP10_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)),
+later AS (
+  SELECT r, i FROM windows QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, r, i) > 1),
+removed AS (
+  SELECT DISTINCT r, unnest(range(i, i + 20)) AS p FROM later),
+words AS (
+  SELECT r, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM docs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words WHERE NOT EXISTS (SELECT 1 FROM removed WHERE removed.r = words.r AND removed.p = words.p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_records": op1_token_records,
@@ -116,4 +179,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_curriculum_mix": OP2_SQL}
+    return {"op2_curriculum_mix": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_substring_dedup": OP10_SQL}

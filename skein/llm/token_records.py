@@ -29,6 +29,8 @@ from skein.llm.words import mix, span_hashes
 
 #: Records a file holds at most, which bounds what a reader takes into memory.
 RECORDS_A_FILE = 20_000
+#: Bytes of text that the range partition behind a file holds on average, at most.
+FILE_BYTES = 128_000_000
 #: Code points encoded at once.
 BLOCK_CHARS = 1_000_000
 #: Pieces that a worker remembers before it starts anew.
@@ -193,16 +195,18 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
     A null text is an empty one and gives a record of the end id alone (of nothing if end_id is None). A null id
     comes first. Rows of one id follow one another in an order that depends on their texts only. Other columns are
-    not read. An empty table gives no records. Files hold at most RECORDS_A_FILE records; the number of range
-    partitions is left to Spark, which sizes them.
+    not read. An empty table gives no records. Files hold at most RECORDS_A_FILE records, and those of a range partition at
+    most. There are as many partitions as Spark's setting says, or as keep them at FILE_BYTES of text on average.
     """
     if end_id is not None and end_id < 0:
         raise ValueError("end_id")
     spark = docs.sparkSession
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    parts = -(-(read.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES)
+    ranges = [parts] if parts > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
     ordered = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("tie"))
+        read.withColumn("tie", F.xxhash64("text"))
+        .repartitionByRange(*ranges, F.col("doc_id").asc_nulls_first(), F.col("tie"))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
         .select("doc_id", "text")
     )

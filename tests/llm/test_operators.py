@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -129,6 +130,23 @@ def test_token_records_of_odd_rows(spark, odd, empty):
         assert all(r.n_tokens == 1 for r in index if r.doc_id in (2, 3))
 
 
+def test_files_are_bounded_by_bytes(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_records, "FILE_BYTES", 40_000)
+    token_records.write_records(docs, f"file://{tmp_path}/r", BPE)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    files = list((tmp_path / "r/records").glob("part-*"))
+    assert len(files) > total / 80_000
+    got = [r.doc_id for r in token_records.read_index(spark, f"file://{tmp_path}/r").orderBy("start").collect()]
+    assert got == sorted(r.doc_id for r in docs.select("doc_id").collect())
+
+
+def test_copies_of_a_text_do_not_fill_the_sample(spark):
+    rows = [(i, "the same text again and again", "en") for i in range(3000)] + [(3000 + i, f"ein anderer kurzer deutscher text nummer {i}", "de") for i in range(300)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=50)
+    again = language_id.train(spark.createDataFrame(rows[::-1], "doc_id long, text string, lang string"), fit_rows=50)
+    assert model.labels == ["de", "en"] and np.array_equal(model.weights, again.weights)
+
+
 # --- 2 ----------------------------------------------------------------------------------------------------------------
 
 
@@ -180,6 +198,25 @@ def test_whole_documents_come_near_the_targets(docs):
     assert curriculum.mix_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_come_in_training_order(docs, odd, empty):
+    schedules = (((0.0, 1.0), (1.0, 0.0)), ((0.0, 0.0), (1.0, 1.0)))
+    plan = curriculum.plan_mix(docs, schedules=schedules, whole=True)
+    want = [r.doc_id for r in curriculum.training_order(plan, schedules).collect()]
+    assert [r.doc_id for r in curriculum.mix_documents(docs, schedules=schedules).collect()] == want
+    assert curriculum.mix_documents(docs, buckets=5).exceptAll(curriculum.mix_documents(docs, buckets=300)).count() == 0
+    read, planned = Counter(r.doc_id for r in curriculum.mix_documents(odd).collect()), Counter()
+    for r in curriculum.plan_mix(odd, whole=True).collect():
+        planned[r.doc_id] += r.passes
+    assert read == +planned
+    assert curriculum.mix_documents(odd).columns == odd.columns and curriculum.mix_documents(empty).count() == 0
+
+
+def test_rows_without_ids_are_spread(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "a") for i in range(400)], "doc_id long, text string, source string")
+    turns = [r.turn for r in curriculum.plan_mix(docs).collect()]
+    assert len(set(turns)) == 400 and len({t[:1] for t in turns}) == 16
+
+
 def test_demand_is_inverted(spark):
     schedule = ((0.0, 1.0), (0.5, 3.0), (0.75, 0.0), (1.0, 2.0))
 
@@ -622,7 +659,7 @@ def items(spark, texts):
 @pytest.mark.parametrize("broadcast_words", [100_000, 10])
 def test_contamination(spark, docs, odd, items, texts, monkeypatch, broadcast_words):
     parts = decontaminate.benchmark_items
-    monkeypatch.setattr(decontaminate, "benchmark_items", lambda b, i, t: parts(b, i, t, broadcast_words))
+    monkeypatch.setattr(decontaminate, "benchmark_items", lambda b, i, t, window: parts(b, i, t, broadcast_words, window))
     pairs = [(r.item_id, r.text) for r in items.collect()]
     for table in (docs, odd):
         got = decontaminate.find_contamination(table, items).select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), "items").collect()
@@ -630,6 +667,18 @@ def test_contamination(spark, docs, odd, items, texts, monkeypatch, broadcast_wo
         assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == Counter((i, n, h, tuple(names)) for i, n, h, names in want)
 
 
+def test_items_without_ids_and_long_items(spark, odd, texts, monkeypatch):
+    words = ALNUM.findall(" ".join(texts.values()))[:400]
+    items = spark.createDataFrame([(None, "cat sat"), (None, None), ("long", " ".join(words))], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "The cat sat."), *((2 + k, " ".join(words[k : k + 20])) for k in range(0, 380, 3))], "doc_id long, text string")
+    want = {r.doc_id: (r.n, tuple(r["items"])) for r in decontaminate.find_contamination(docs, items).select("doc_id", decontaminate.n_hit().alias("n"), "items").collect()}
+    assert want[1] == (2, ()) and all(want[2 + k] == (20, ("long",)) for k in range(0, 380, 3))
+    parts = decontaminate.benchmark_items
+    assert [len(w) for part in parts(items, most_words=30) for _, w in part] == [2, *[30] * 21, 400 - 21 * 18]
+    monkeypatch.setattr(decontaminate, "benchmark_items", lambda b, i, t, window: parts(b, i, t, 30, window))
+    assert {r.doc_id: (r.n, tuple(r["items"])) for r in decontaminate.find_contamination(docs, items).select("doc_id", decontaminate.n_hit().alias("n"), "items").collect()} == want
+
+
 def test_contaminated_documents_go(odd, empty, items):
     kept = decontaminate.drop_contaminated(odd, items)
     assert kept.columns == odd.columns and odd.count() - kept.count() == 1 and kept.filter("doc_id = 1").count() == 0
@@ -802,3 +851,18 @@ def test_headings_of_wrapped_and_divided_articles_stay():
     divided = html_text.main_text(f"<html><body>{nav}<article><h1>The title</h1>{p * 4}<section><h2>A part</h2>{p * 2}</section></article></body></html>")
     for text, blocks in ((wrapped, 10), (divided, 8)):
         assert text.split("\n\n")[0] == "The title" and "A part" in text and len(text.split("\n\n")) == blocks and "More" not in text
+
+
+# --- registered queries -----------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_sql(spark, sf, name):
+    db = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    got, want = queries.queries()[name](spark, sf).toPandas(), db.sql(queries.oracle_sql()[name]).df()
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    a, b = (x[columns].astype(str).sort_values(columns).reset_index(drop=True) for x in (got, want))
+    assert a.equals(b)
