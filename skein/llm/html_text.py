@@ -30,6 +30,15 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 MARKS = frozenset(
     "nav navbar navigation menu submenu sidebar aside footer header masthead topbar toolbar ad ads adv advert adverts advertisement advertising adsense banner promo promotion promoted sponsor sponsored cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login register share sharing social comment comments commentlist disqus respond discussion replies breadcrumb breadcrumbs related recommended recommendations pagination pager widget search skip copyright hidden".split()
 )
+#: Words before which a class word says nothing of the element itself, and words that only name a part of what a class word names.
+DENIALS = frozenset("no not non without has have with hide show is are free".split())
+PARTS = frozenset(
+    "container wrapper wrap box inner outer list lists item items block blocks area areas bar section top bottom left right primary secondary links link buttons button slot unit panel group holder region module row col column columns post posts article articles stories story icons icon social media text title body header heading message warning info success error image img trail nav menu widget main content sticky fixed desktop mobile small large global site page".split()
+)
+#: Headings of lists of sources, which are part of an article though all of them may be links.
+SOURCES = frozenset(
+    ["references", "sources", "notes", "footnotes", "bibliography", "citations", "further reading", "works cited", "literature", "quellen", "literatur", "einzelnachweise", "références", "notes et références", "bibliographie", "referencias", "fuentes", "notas", "bibliografía"]
+)
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 STOP_AT = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 #: Elements nested deeper share the path of the last one.
@@ -48,6 +57,8 @@ class Element:
     path: str
     container: str
     shut: bool = False
+    named: bool = False  # unwanted by a class word alone
+    holds: bool = False  # has the page's main element in it
     inside: list["Element"] = field(default_factory=list)  # the elements around and this one that keep text out
 
 
@@ -68,16 +79,27 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _unwanted(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is kept out by what it is."""
     if tag in NEVER:
         return True
     if tag in ("html", "body", "main", "article"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or HIDES.search(attributes.get("style", "")):
         return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
-    said = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return said != " " and any(w.lower() in MARKS for w in WORDS.findall(said))
+    return attributes.get("role", "").lower() in ROLES
+
+
+def _marked(name: str) -> bool:
+    """Whether one class or id names what is not the article: its last word does, or its first one with words for parts after it."""
+    said = [w.lower() for w in WORDS.findall(name) if len(w) > 1 and not w.isdigit()]
+    if not said or said[0] in DENIALS or said[-1] in DENIALS:
+        return False
+    return said[-1] in MARKS or said[0] in MARKS and all(w in PARTS or w in MARKS for w in said[1:])
+
+
+def _named(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a class or the id of an element names what is not the article."""
+    return tag not in ("html", "body", "main") and any(_marked(n) for n in (*attributes.get("class", "").split(), *attributes.get("id", "").split()))
 
 
 def runs(html: str) -> list[Run]:
@@ -176,7 +198,12 @@ def runs(html: str) -> list[Run]:
                 e.path = f"{around.path}/{tag}{'.' + named[0] if named else ''}"
             if tag in CONTAINER:
                 e.container = e.path
-        e.inside = [*around.inside, e] if _unwanted(tag, attributes) and len(around.inside) < DEEPEST else around.inside
+        unwanted = _unwanted(tag, attributes)
+        e.named = not unwanted and _named(tag, attributes)
+        e.inside = [*around.inside, e] if (unwanted or e.named) and len(around.inside) < DEEPEST else around.inside
+        if tag == "main":
+            for outer in around.inside:
+                outer.holds = True
         stack.append(e)
         links += tag == "a"
         if tag in BLOCK:
@@ -194,10 +221,33 @@ def runs(html: str) -> list[Run]:
     return found
 
 
+def _chosen(page: list[Run]) -> list[Run]:
+    """The runs outside elements that are kept out.
+
+    A class word doesn't keep out an element that has the page's main element in it, nor, where class words would leave next to nothing,
+    those around the element that has most of the rest.
+    """
+    for r in page:
+        r.outside = [e for e in r.outside if not (e.named and e.holds)]
+    wanted = [r for r in page if not r.outside]
+
+    def plain(some: list[Run]) -> int:
+        return sum(max(0, len(r.text) - r.linked) for r in some)
+
+    free = [r for r in page if all(e.named for e in r.outside)]
+    if plain(wanted) * 20 >= plain(free):
+        return wanted
+    weight: dict[int, int] = {}
+    for r in free:
+        for e in r.outside:
+            weight[id(e)] = weight.get(id(e), 0) + max(0, len(r.text) - r.linked)
+    return [r for r in free if all(2 * weight[id(e)] >= plain(free) for e in r.outside)]
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the article, joined by two line ends."""
     page = [r for r in runs(html or "") if r.text]
-    wanted = [r for r in page if not r.outside]
+    wanted = _chosen(page)
     if not wanted:
         return ""
     order: dict[str, int] = {}
@@ -245,12 +295,20 @@ def main_text(html: str | None) -> str:
     at = np.flatnonzero(kept & inner)
     if len(at):
         kept[at[0] : at[-1] + 1] |= (low & inner)[at[0] : at[-1] + 1]
+    listed = False
+    for i, r in enumerate(wanted):  # a list of sources stays with its article
+        if re.search(r"/h[1-6](\.[^/]*)?$", r.path):
+            listed = r.text.strip(" :.").lower() in SOURCES
+            kept[i] |= listed and inner[i]
+        elif listed and inner[i]:
+            kept[i] = True
     return "\n\n".join(r.text for r, k in zip(wanted, kept, strict=True) if k)
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
     """pages without the html column, with the main text in `out`, empty where there is none; null and empty html give "".
 
+    Elements nested over DEEPEST deep share a path, and what keeps text out is told apart up to that depth.
     Other columns pass as they are, but for one named like `out`, which is replaced. Rows are judged one by one: repeated
     rows give equal texts, an empty table an empty one, and nothing is shuffled.
     """

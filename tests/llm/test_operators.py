@@ -247,6 +247,15 @@ PAGES = [
     ("<body><div class='site-header'>Logo</div><div id=main><div class=story><p>Some text, that is long enough.</p><p>More\n\n text   here, with <b>bold</b> <a href=x>link</a>.</p><div class='share-buttons'>Tweet</div></div><div class=sidebar><p>Other, text, with, marks, and so on.</p></div><div id=comments><p>I disagree, strongly!</p></div></div></body>", ["Some text, that is long enough.", "More text here, with bold link."]),
     ("<p>only a paragraph<script>if (a<b) x('</p>')</script> goes on<br>and on", ["only a paragraph goes on and on"]),
     ("<body><article><p>One, two.</p><form><p>Name</p><input></form><aside>ad</aside><div style='display:none'>hid</div><table><tr><td>c1<td>c2</table><!-- no --></article>", ["One, two.", "c1", "c2"]),
+    ('<body><div class="layout has-sidebar"><article><h1>Head</h1><p>Long text, with marks, goes on and on.</p></article><div class="sidebar"><p>Other, things.</p></div></div></body>', ["Head", "Long text, with marks, goes on and on."]),
+    ('<body><main><div class="content no-sidebar"><p>Long text, with marks, goes on.</p><p>And a second one, of the same kind.</p></div></main></body>', ["Long text, with marks, goes on.", "And a second one, of the same kind."]),
+    ('<body><article><h1>Wind</h1><section id="share-of-wind-power"><h2>Share</h2><p>The share of wind, by year, grows.</p></section><section class="comments-analysis"><p>What was said, by whom, and why.</p></section><section class="comments"><p>I agree, so much!</p></section></article></body>', ["Wind", "Share", "The share of wind, by year, grows.", "What was said, by whom, and why."]),
+    ('<body><div class="page-modal"><main><p>Text of the page, as it is meant.</p></main></div><div class="cookie-banner">We use cookies, as you know.</div></body>', ["Text of the page, as it is meant."]),
+    ('<body><div id="popup"><p>All of the text, in one element, whatever its name, is the article.</p></div></body>', ["All of the text, in one element, whatever its name, is the article."]),
+    ('<body><div class="post"><p>A short post, with its say.</p></div><div id="comments"><article class="comment"><p>A much longer comment, that goes on and on, with marks, words, and more.</p></article><article class="comment"><p>And another one, that goes on as well, and on, and on, as they do.</p></article></div></body>', ["A short post, with its say."]),
+    ('<body><article><p>Claims, made and backed, one by one.</p><h2>References</h2><ol><li><a href=1>Smith, J. (2020), A title.</a></li><li><a href=2>Weber, M. (1999), Another.</a></li></ol></article></body>', ["Claims, made and backed, one by one.", "References", "Smith, J. (2020), A title.", "Weber, M. (1999), Another."]),
+    ('<body><article class="ad-free premium"><p>Nothing is sold here, and all is said.</p><div class="advertisement_300x250">Buy, buy.</div><div class="newsletter-signup"><p>Your mail, please.</p></div></article><ul class="related-posts"><li><a href=1>More</a></li></ul></body>', ["Nothing is sold here, and all is said."]),
+    ('<body><div class="wrapper with-comments"><div class="entry-content"><p>One, two, three, and so on it goes.</p><div class="skip-link"><a href="#x">Skip</a></div><p>Four, five, six, and so on as well.</p></div></div><div class="footer-links"><a href=1>Terms</a></div></body>', ["One, two, three, and so on it goes.", "Four, five, six, and so on as well."]),
     (None, []), ("", []), ("plain text < 5 & more", ["plain text < 5 & more"]), ('<p title="open>Said, and done.</p><p>More of it, too.</p>', ["Said, and done.", "More of it, too."]), ("<nav>never closed <p>the text of it all, that must stay.", ["never closed", "the text of it all, that must stay."]),
 ]
 
