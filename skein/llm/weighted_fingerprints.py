@@ -24,6 +24,12 @@ from skein.llm.words import SPACED, blocks, mix, span_hashes, window_hashes
 
 SAMPLES = 128
 WORDS = 5
+#: Bytes of text in a range of ids, on average, at most.
+RANGE_BYTES = 128_000_000
+#: Ids sampled for each range, to balance the ranges.
+RANGE_SAMPLE = 20
+#: The least id, which stands for null.
+NO_ID = -(1 << 63)
 
 _rng = np.random.default_rng(97)
 _FACTORS = _rng.integers(0, 1 << 63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -109,6 +115,46 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, fingerprint string")
 
 
+def _cuts(keys: DataFrame, rows: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, g) that cut keys into about so many ranges. g matters for ids alone that would fill more than one range."""
+    share = min(1.0, RANGE_SAMPLE * ranges / max(1, rows))
+
+    def sampled(some: DataFrame, *columns: str) -> list[np.ndarray]:
+        table = some.select(*columns).sample(share, seed=5).toArrow()
+        return [table.column(c).to_numpy() for c in columns]
+
+    (ids,) = sampled(keys, "i")
+    step = max(1, len(ids) // ranges)
+    at, often = np.unique(np.sort(ids)[step - 1 :: step], return_counts=True)
+    hot = at[often > 1]
+    if not len(hot):
+        return at, np.full(len(at), NO_ID)
+    i, g = sampled(keys.filter(F.col("i").isin(hot.tolist())), "i", "g")
+    order = np.lexsort((g, i))
+    i, g = i[order][::step], g[order][::step]
+    i, g = np.concatenate([at[often == 1], i]), np.concatenate([np.full(int((often == 1).sum()), NO_ID), g])
+    order = np.lexsort((g, i))
+    return i[order], g[order]
+
+
+def _range_of(cut_i: np.ndarray, cut_g: np.ndarray, i: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Number of cuts at or below each (i, g)."""
+    low, high = np.searchsorted(cut_i, i, "left"), np.searchsorted(cut_i, i, "right")
+    out = low.copy()
+    for k in np.unique(low[low < high]).tolist():
+        at = (low == k) & (high > k)
+        out[at] = k + np.searchsorted(cut_g[k : int(high[at][0])], g[at], "right")
+    return out.astype(np.int64)
+
+
+def _own_partitions(spark, n: int) -> np.ndarray:
+    """For each of n partitions a number that Spark's hash puts there."""
+    tried = spark.range(20 * n + 200).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("at")).groupBy("at").agg(F.min("id").alias("id")).toArrow()
+    out = np.arange(n) - n  # numbers for what no tried one met
+    out[tried.column("at").to_numpy()] = tried.column("id").to_numpy()
+    return out
+
+
 def compare_with_next(docs: DataFrame, part: float = 3, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """Per row: fingerprints of its text and of an edited text, and likenesses to the edited and to the next text.
 
@@ -116,36 +162,44 @@ def compare_with_next(docs: DataFrame, part: float = 3, id_col: str = "doc_id",
     by a hash of the text, null ids come last. The edited text has its last floor(n / part) code points replaced by the
     first as many of the next text. Null texts are empty. A table of one row has itself as next; an empty table gives none.
 
-    Ids are cut into ranges at values sampled for balance alone, and one shuffle brings each range together, with the
+    Ids are cut into ranges of at most RANGE_BYTES, and an id that fills several by the hash of its texts, at values sampled for balance
+    alone; only rows equal in id and text can't be parted. One shuffle brings each range into a partition of its own, with the
     first row of the range after it sent along; no row waits for more than its successor.
     """
     spark = docs.sparkSession
-    ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("i"))
-    stats = ids.agg(F.count("*").alias("n")).first()
-    n_ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = sorted(r.i for r in ids.sample(min(1.0, 20 * n_ranges / max(1, stats.n)), seed=5).toLocalIterator()) if stats.n else []
-    cuts = np.unique(np.array(sample[:: max(1, len(sample) // n_ranges)], np.int64))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keys = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("i"), F.bitwise_not(F.xxhash64(text)).alias("g"), text.alias("text"))
+    stats = keys.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n_ranges = ranges or max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(stats.bytes or 0) // RANGE_BYTES))
+    cut_i, cut_g = _cuts(keys, stats.n, n_ranges) if stats.n else (np.empty(0, np.int64), np.empty(0, np.int64))
+    split = bool((cut_g != NO_ID).any())
+    place = _own_partitions(spark, len(cut_i) + 1)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            i, g = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(_range_of(cut_i, cut_g, i, g)), *batch.columns], ["p", "i", "g"])
+
     top = (
-        ids.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array(np.searchsorted(cuts, b.column(0).to_numpy(), "right").astype(np.int64)), b.column(0)], ["p", "i"]) for b in it), "p long, i long")
-        .groupBy("p").agg(F.max("i").alias("i")).orderBy(F.desc("p")).collect()
+        keys.select("i", "g" if split else F.lit(0).cast("long").alias("g")).mapInArrow(numbered, "p long, i long, g long")
+        .groupBy("p").agg(F.max(F.struct("i", "g")).alias("top")).orderBy(F.desc("p")).collect()
     )  # a row for each range
-    follower = {(r.p, r.i): top[k - 1].p for k, r in enumerate(top)}  # the range above, and for the highest the lowest
-    heads = {i: (p, to) for (p, i), to in follower.items()}
+    # Of each range's first row, the range above, and for the highest the lowest.
+    heads = {(r.top.i, r.top.g): top[k - 1].p for k, r in enumerate(top)}
+    head_ids = np.array(sorted({i for i, _ in heads}), np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = np.array(sorted(heads), np.int64)
         for batch in batches:
-            own = batch.column(0).to_numpy()
-            p = np.searchsorted(cuts, own, "right").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(np.zeros(len(p), bool)), batch.column(0), batch.column(1)], ["p", "head", "i", "text"])
-            twice = np.flatnonzero(np.isin(own, at))
-            if len(twice):
-                some = batch.take(pa.array(twice))
-                yield pa.RecordBatch.from_arrays([pa.array([heads[x][1] for x in own[twice].tolist()], pa.int64()), pa.array([True] * len(twice)), some.column(0), some.column(1)], ["p", "head", "i", "text"])
-
-    read = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    dealt = read.mapInArrow(deal, "p long, head boolean, i long, text string")
-    ordered = dealt.repartition("p").sortWithinPartitions("p", "head", F.desc("i"), F.xxhash64("text"))
+            i, g = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            p = _range_of(cut_i, cut_g, i, g)
+            yield pa.RecordBatch.from_arrays([pa.array(place[p]), pa.array(p), pa.array(np.zeros(len(p), bool)), *batch.columns], ["at", "p", "head", "i", "g", "text"])
+            to = [(k, heads[key]) for k in np.flatnonzero(np.isin(i, head_ids)).tolist() if (key := (int(i[k]), int(g[k]) if split else 0)) in heads]
+            if to:
+                above = np.array([x for _, x in to], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(place[above]), pa.array(above), pa.array([True] * len(to)), *batch.take(pa.array([k for k, _ in to])).columns], ["at", "p", "head", "i", "g", "text"])
+
+    dealt = keys.mapInArrow(deal, "at long, p long, head boolean, i long, g long, text string")
+    ordered = dealt.repartition(len(place), "at").sortWithinPartitions("p", "head", F.desc("i"), F.desc("g")).select("p", "head", "i", "text")
 
     def compare(rows: list[tuple[int, bool, int, str]]) -> pa.RecordBatch:
         """Of each row but the last, if the one after it is of its range."""
@@ -156,7 +210,7 @@ def compare_with_next(docs: DataFrame, part: float = 3, id_col: str = "doc_id",
         own, after = sig[use], sig[[k + 1 for k in use]]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([None if rows[k][2] == -(1 << 63) else rows[k][2] for k in use], pa.int64()), pa.array([len(texts[k]) for k in use], pa.int64()), pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
+                pa.array([None if rows[k][2] == NO_ID else rows[k][2] for k in use], pa.int64()), pa.array([len(texts[k]) for k in use], pa.int64()), pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
                 pa.array(written(own), pa.string()), pa.array(written(sig_edited), pa.string()), pa.array(likeness(own, sig_edited)), pa.array(likeness(own, after)),
             ],
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],

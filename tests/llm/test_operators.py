@@ -339,6 +339,18 @@ def test_fingerprints_of_odd_rows(odd, empty):
     assert single.near_next == 1.0
 
 
+def test_an_id_of_most_rows_is_cut_by_its_texts(spark):
+    rows = [(7 if k % 3 else k, f"text number {k} " * (1 + k % 5)) for k in range(600)] + [(None, f"null {k}") for k in range(50)] + [(7, "the same")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = ("doc_id", "n_chars", "edited_sha256", "near_next")
+    one, many = (Counter(map(tuple, weighted_fingerprints.compare_with_next(docs, ranges=n).select(*columns).collect())) for n in (1, 60))
+    assert one == many and one.total() == len(rows)
+    keys = docs.select(F.coalesce("doc_id", F.lit(weighted_fingerprints.NO_ID)).alias("i"), F.bitwise_not(F.xxhash64("text")).alias("g"))
+    cut_i, cut_g = weighted_fingerprints._cuts(keys, len(rows), 60)
+    at = [weighted_fingerprints._range_of(cut_i, cut_g, np.array([r.i]), np.array([r.g]))[0] for r in keys.collect()]
+    assert len(set(at)) > 30 and max(Counter(at).values()) <= 60
+
+
 # --- 5 ----------------------------------------------------------------------------------------------------------------
 
 
