@@ -99,14 +99,15 @@ def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = surrogates.replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"), key=b"key of the registered query")
-    types = F.transform("entities", lambda e: e["type"])
-    return replaced.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.concat_ws(",", F.array_sort(F.array_distinct(types))).alias("types"))
-
-
-def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    counted = found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
-    return counted
+    # What stays in the shared folder names entities by digests only.
+    hidden = F.transform("entities", lambda e: F.struct(e["type"].alias("type"), F.sha2(F.when(e["type"] == "secret", e["entity"]).otherwise(F.lower(e["entity"])), 256).alias("entity"), e["surrogate"].alias("surrogate")))
+    done = storage.staged(replaced.withColumn("entities", hidden), "surrogates")
+    broken = surrogates.collisions(done)
+    types = F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["type"])))
+    out = done.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), F.concat_ws(",", types).alias("types"))
+    if not broken.isEmpty():
+        raise ValueError(f"surrogates that stand for several entities: {broken.limit(20).collect()}")
+    return out
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -6,10 +6,15 @@ class (a public address, a number without leading zero), where q(x) = p(p^-1(x)
 domain. So equal entities have equal surrogates in every document and on every machine, different ones different
 surrogates, and none is its own. Names are drawn from lists by script and gender in the same way, and surnames are spelled
 in syllables of their script. `collisions` checks the two promises over a whole corpus.
+
+Numbers are cards by their issuer's first digits and check digit; numbers to call by a country code, brackets, a known grouping or a word before
+them; keys by their marks, or by a word before them and a value that is no plain word. Names are found after titles, and
+where a listed given name comes first, in Latin, Cyrillic and Greek; those of other scripts are not.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import ipaddress
@@ -27,40 +32,56 @@ GIVEN = {
     ("latin", "f"): "Alice Amélie Andrea Anna Anne Astrid Beatriz Brigitte Camille Carmen Catherine Charlotte Chloé Clara Claudia Daniela Elena Elisabeth Emily Emma Erika Eva Florence Gabriela Hannah Heidi Helena Ingrid Isabel Jane Jennifer Jessica Johanna Julia Karin Katharina Laura Lena Lucía Manon Lucia Margaret María Maria Marie Martina Mary Mónica Monica Monika Natalie Nicole Olivia Patricia Paula Petra Pilar Rebecca Renate Rosa Sabine Sandra Sarah Sofia Sophie Susan Ursula Valérie Victoria".split(),
     ("latin", "m"): "Alain Alejandro Andreas Anthony Antoine Bernd Carlos Charles Christian Christophe Daniel David Diego Dieter Edward Enrique Fernando François Frank Friedrich Georg George Gérard Guillaume Günter Hans Heinrich Hugo Jacques Jaime Javier Jean Johannes John Jorge José Jose Juan Julien Jürgen Karl Klaus Lorenzo Louis Luis Manfred Manuel Martin Matthias Michael Miguel Nicolas Oliver Pablo Paul Pedro Peter Philippe Pierre Rafael Ralf Robert Sergio Stefan Thomas Wilhelm".split(),
     ("cyrillic", "f"): "Александра Алина Анастасия Вера Виктория Дарья Екатерина Елена Ирина Ксения Людмила Мария Надежда Наталья Ольга Полина Светлана Татьяна Юлия".split(),
+    ("greek", "f"): "Αθηνά Αικατερίνη Άννα Βασιλική Γεωργία Ελένη Ειρήνη Ευαγγελία Κωνσταντίνα Μαρία Παναγιώτα Σοφία".split(),
+    ("greek", "m"): "Αθανάσιος Αλέξανδρος Ανδρέας Βασίλειος Γεώργιος Δημήτριος Ευάγγελος Ιωάννης Κωνσταντίνος Νικόλαος Παναγιώτης Χρήστος".split(),
     ("cyrillic", "m"): "Александр Алексей Андрей Борис Виктор Владимир Григорий Дмитрий Евгений Иван Игорь Константин Михаил Николай Олег Павел Роман Сергей Юрий".split(),
 }
-TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Mlle Señora Sra Srta Doña Г-жа Госпожа".split(), "m": "Mr Herr Monsieur Señor Sr Don Г-н Господин".split(), "": "Dr Prof".split()}
-SYLLABLES = {"latin": ("bcdfghjklmnprstvwz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу")}
+TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Mlle Señora Sra Srta Doña Г-жа Госпожа Κυρία".split(), "m": "Mr Herr Monsieur Señor Sr Don Г-н Господин Κύριος".split(), "": "Dr Prof".split()}
+#: Consonants, vowels, and vowels that no plain name is spelled with.
+SYLLABLES = {"latin": ("bcdfghjklmnprstvwz", "aeiou", "áéíóúäëïöü"), "cyrillic": ("бвгдзклмнпрст", "аеиоу", "ыэюя"), "greek": ("βγδζθκλμνπρστφχ", "αεηιου", "άέήίόύ")}
+#: What ends a spelled given name, and a spelled surname, by gender.
+GIVEN_ENDS = {"latin": {"f": "na", "m": "n", "": ""}, "cyrillic": {"f": "на", "m": "н", "": ""}, "greek": {"f": "να", "m": "νος", "": ""}}
+CUES = "tel|phone|mobile|cell|fax|call|sms|whatsapp|ring|dial|telefon|telefono|teléfono|móvil|movil|llame|tél|téléphone|telephone|appelez|portable|handy|mobil|rufen|anruf|тел|телефон|τηλ"
+SECRET_CUES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|bearer|credential|auth"
+NOT_SECRET = frozenset("required optional string number boolean integer none null true false undefined example changeme password secret token here below above missing invalid expired".split())
+#: First digits of card numbers and how many digits they have.
+ISSUERS = (("4", (13, 16, 19)), ("5[1-5]", (16,)), ("2(2[2-9]|[3-6]|7[01]|720)", (16,)), ("3[47]", (15,)), ("3(0[0-5]|[68])", (14,)), ("6(011|4[4-9]|5)", (16, 19)), ("35", (16,)), ("62", (16, 17, 18, 19)), ("(50|5[6-8]|6[0-9])", (12, 13, 15, 16, 18, 19)))
 
 _NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)?"
-_ALL_GIVEN = "|".join(sorted({n for names in GIVEN.values() for n in names}, key=lambda n: (-len(n), n)))
-_ALL_TITLES = "|".join(sorted({regex.escape(t) for ts in TITLES.values() for t in ts}, key=lambda n: (-len(n), n)))
+_ALL_GIVEN = "|".join(sorted({form for names in GIVEN.values() for n in names for form in (n, n.upper())}, key=lambda n: (-len(n), n)))
+_ALL_TITLES = "|".join(sorted({regex.escape(form) for ts in TITLES.values() for t in ts for form in (t, t.upper())}, key=lambda n: (-len(n), n)))
+_PHONE = r"(?<![\w.+/-])(?:(?:\+|00)\d{1,3}[ .-]?)?(?:\(\d{1,5}\)[ .-]?)?\d{2,12}(?:[ ./-]\d{2,8}){0,5}(?![\w-]|[.,]\d)"
 PATTERN = regex.compile(
     rf"""
     (?P<email>(?<![\w.+%-])[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.\p{{L}}{{2,}}(?![\w-]))
   | (?P<secret>(?<![\w])(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!\w) | (?<!\w)(?:gh[pousr]_|sk-|xox[abprs]-|glpat-)[A-Za-z0-9_-]{{16,}}
-      | (?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?(?P<value>[^\s"',;]{{6,}})
+      | (?<!\w)(?i:{SECRET_CUES})["']?\s*[:=]\s*["']?(?P<value>[^\s"',;]{{6,}})
       | (?<!\w)(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}})(?!\w))
   | (?P<ipv6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}} | (?=:{{0,2}}[0-9A-Fa-f])(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{0,6}})?::(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{0,6}})?)(?![\w:]))
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
   | (?P<iban>(?<!\w)[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{3,7}}(?:[ ]?[A-Z0-9]{{1,3}})?(?!\w))
   | (?P<card>(?<![\w.-])(?:\d[ -]?){{12,18}}\d(?![\w-]|\.\d))
   | (?P<ssn>(?<![\w.-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
-  | (?P<phone>(?<![\w.+/-])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]\d{{2,4}}){{1,4}}(?![\w-]|[.,]\d))
+  | (?P<phone>{_PHONE})
   | (?P<name>(?<!\w)(?:(?:{_ALL_TITLES})\.?[ ](?P<titled>{_NAME}(?:[ ]{_NAME}){{0,2}}) | (?P<plain>(?:{_ALL_GIVEN})(?:[ ]{_NAME}){{1,2}}))(?!\w))
     """,
     regex.X | regex.V1,
 )
 NAME = regex.compile(_NAME)
+PHONE = regex.compile(_PHONE)
 #: Spans of years and dates, which look like numbers to call.
-NO_PHONE = regex.compile(r"\d{4}[ .-]\d{4}|\d{4}[ .-]\d{1,2}[ .-]\d{1,2}|\d{1,2}[ .-]\d{1,2}[ .-]\d{4}")
+NO_PHONE = regex.compile(r"\d{4}[ ./-]\d{4}|\d{4}[ ./-]\d{1,2}[ ./-]\d{1,2}|\d{1,2}[ ./-]\d{1,2}[ ./-]\d{4}")
+#: Written as numbers to call are in North America, France, Britain and Germany.
+GROUPED = regex.compile(r"(?:1[ .-])?[2-9]\d{2}[.-]\d{3}[.-]\d{4}|0\d(?:[ .]\d{2}){4}|0\d{2,4} \d{3,4} \d{4}|0\d{4} \d{6}|0\d{2,4}[/-]\d{5,8}")
+CUE = regex.compile(rf"(?i)(?<!\w)(?:{CUES})[\w.]*(?:\W+\w+){{0,3}}?\W*$")
+SECRET_CUE = regex.compile(rf"(?i)(?:{SECRET_CUES}|(?<!\w)key)\W*(?:\w+\W+)?$")
 
 #: Around what an entity has, so many characters are searched, and on to the next blank.
 REACH = 80
 _NUMERIC = re.compile(r"[0-9@][0-9@ ().+-]*")
-_KEYWORDS = ("akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "glpat-", "passw", "pwd", "secret", "token", "api", "access", ":")
-_SIGNS = re.compile(r"akia|asia|gh[pousr]_|sk-|xox|glpat-|passw|pwd|secret|token|api[_-]?key|access[_-]?key|[0-9a-f]:[0-9a-f]|[0-9a-f]::|::[0-9a-f]")
-_WORDS = frozenset(n for names in GIVEN.values() for n in names) | frozenset(t + dot for ts in TITLES.values() for t in ts for dot in ("", "."))
+_KEYWORDS = ("bearer", "credential", "auth", "private", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "glpat-", "passw", "pwd", "secret", "token", "api", "access", ":")
+_SIGNS = re.compile(r"bearer|credential|auth|private[_-]?key|akia|asia|gh[pousr]_|sk-|xox|glpat-|passw|pwd|secret|token|api[_-]?key|access[_-]?key|[0-9a-f]:[0-9a-f]|[0-9a-f]::|::[0-9a-f]")
+_WORDS = frozenset(form for names in GIVEN.values() for n in names for form in (n, n.upper())) | frozenset(form + dot for ts in TITLES.values() for t in ts for form in (t, t.upper()) for dot in ("", "."))
 _WORD = regex.compile(r"\w", regex.V1)
 #: The listed names and titles by their first run of word characters.
 _BY_START: dict[str, list[str]] = {}
@@ -159,7 +180,21 @@ def _to_digits(x: int, radices: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
-_ALPHABETS = {"9": "0123456789", "a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef", "H": "0123456789ABCDEF", "б": "абвгдежзиклмнопрстуфхцчшэюя", "Б": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
+_ALPHABETS = {"9": "0123456789", "a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef", "H": "0123456789ABCDEF", "α": "αβγδεζηθικλμνξοπρσςτυφχψω", "б": "абвгдежзиклмнопрстуфхцчшэюя", "Б": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
+
+
+_PLAIN = {"latin": "a", "cyrillic": "б", "greek": "α"}
+
+
+def _letters(*ranges: tuple[int, int]) -> str:
+    return "".join(chr(c) for a, b in ranges for c in range(a, b) if chr(c).islower()) + "'’-"
+
+
+_LETTERS_OF = {"latin": _letters((0x61, 0x7B), (0xDF, 0x180)), "cyrillic": _letters((0x430, 0x460)), "greek": _letters((0x3AC, 0x3CF))}
+
+
+def _script(name: str) -> str:
+    return "cyrillic" if 0x400 <= ord(name[0]) < 0x530 else "greek" if 0x370 <= ord(name[0]) < 0x400 else "latin"
 
 
 class Surrogates:
@@ -261,33 +296,57 @@ class Surrogates:
         shape = "h" * len(body) if regex.fullmatch(r"[0-9a-f]+", body) else "H" * len(body) if regex.fullmatch(r"[0-9A-F]+", body) else self.shape(body)
         return head + self._spell("secret" + head, body, shape)
 
-    def given(self, name: str) -> str:
+    def given(self, name: str, gender: str = "") -> str:
+        """Another name of the list, or a spelled one that ends as its gender has it. The case of a name in capitals stays."""
+        plain = name if name in _LISTED else name.title()
         for group, names in GIVEN.items():
-            if name in names:
-                return names[self.cycle.walk(f"given|{group}", len(names), names.index(name))]
-        return self.surname(name)
+            if plain in names:
+                new = names[self.cycle.walk(f"given|{group}", len(names), names.index(plain))]
+                break
+        else:
+            new = self._syllables("given", name.lower()) + GIVEN_ENDS[_script(name)][gender]
+        return new.upper() if name.isupper() else new.capitalize()
+
+    given_f = functools.partialmethod(given, gender="f")
+    given_m = functools.partialmethod(given, gender="m")
 
     def surname(self, name: str) -> str:
-        """A name of the same script. Up to 9 letters of the script's plain alphabet are numbered and the number is spelled in
-        syllables, one spelling for each; other names take a keyed digest's spelling, of a length that the former never have."""
-        script = "cyrillic" if 0x400 <= ord(name[0]) < 0x530 else "latin"
-        consonants, vowels = SYLLABLES[script]
-        base = len(consonants) * len(vowels)
-        alphabet = _ALPHABETS["a" if script == "latin" else "б"]
-        low = name.lower()
+        """A spelled name of the same script; a Slavic one has the ending of its gender."""
+        low, script = name.lower(), _script(name)
+        new = self._syllables("surname", low) + (("ова" if low[-1] in "ая" else "ов") if script == "cyrillic" else "")
+        return new.upper() if name.isupper() else new.capitalize()
+
+    def _syllables(self, kind: str, low: str) -> str:
+        """Names are numbered and the number is spelled in syllables of the script, one spelling for each name.
+
+        Names of up to 9 letters of the script's plain alphabet are numbered together. Others, of all letters of the script, are
+        by length: they have as many syllables, and the first vowel is one that no plain name has. Names with letters of several scripts take a
+        keyed digest's spelling, longer than all.
+        """
+        script = _script(low)
+        consonants, vowels, marked = SYLLABLES[script]
+        alphabet, every = _ALPHABETS[_PLAIN[script]], _LETTERS_OF[script]
+        tweak = f"{kind}|{script}"
         if len(low) <= 9 and all(c in alphabet for c in low):
-            n = len(alphabet)
+            base, n = len(consonants) * len(vowels), len(alphabet)
             first = sum(n**k for k in range(1, len(low)))  # shorter names come before
             total = sum(n**k for k in range(1, 10))
-            x = self.cycle.walk(f"surname|{script}", total, first + _to_number([alphabet.index(c) for c in low], [n] * len(low)))
-            width = math.ceil(math.log(total, base)) + 1
+            x = self.cycle.walk(tweak, total, first + _to_number([alphabet.index(c) for c in low], [n] * len(low)))
+            digits = _to_digits(x, [base] * (math.ceil(math.log(total, base)) + 1))
+            while len(digits) > 2 and digits[0] == 0:  # leading zeros
+                digits = digits[1:]
+            return "".join(consonants[d // len(vowels)] + vowels[d % len(vowels)] for d in digits)
+        spots = {c: k for k, c in enumerate(every)}
+        all_vowels = marked + vowels
+        radices = [len(consonants) * len(all_vowels)] * (len(low) - 1)
+        if len(low) > 1 and all(c in spots for c in low):
+            x = self.cycle.walk(f"{tweak}|{len(low)}", len(every) ** len(low), _to_number([spots[c] for c in low], [len(every)] * len(low)))
         else:
-            width = 12
-            x = int.from_bytes(hmac.new(self.cycle.key, f"surname|{low}".encode(), hashlib.sha256).digest()[:16], "big") % base**width
-        syllables = [consonants[d // len(vowels)] + vowels[d % len(vowels)] for d in _to_digits(x, [base] * width)]
-        while len(syllables) > 2 and width != 12 and syllables[0] == consonants[0] + vowels[0]:
-            syllables = syllables[1:]  # leading zeros
-        return "".join(syllables).capitalize()
+            radices = radices + radices[:1] * (len(low) + 24)
+            digest = hmac.new(self.cycle.key, f"{tweak}|{low}".encode(), hashlib.sha256).digest()
+            x = int.from_bytes(digest, "big") % (len(consonants) * len(marked) * math.prod(radices))
+        head, *rest = _to_digits(x, [len(consonants) * len(marked), *radices])
+        return consonants[head // len(marked)] + marked[head % len(marked)] + "".join(consonants[d // len(all_vowels)] + all_vowels[d % len(all_vowels)] for d in rest)
 
     def replace(self, kind: str, text: str) -> str:
         at = (kind, text)
@@ -304,7 +363,7 @@ class Surrogates:
         def put(kind: str, start: int, end: int) -> None:
             nonlocal at
             new = self.replace(kind, text[start:end])
-            found.append((kind, text[start:end], new))
+            found.append((kind[:5] if kind.startswith("given") else kind, text[start:end], new))
             out.extend((text[at:start], new))
             at = end
 
@@ -312,12 +371,22 @@ class Surrogates:
             kind = m.lastgroup if m.lastgroup in _KINDS else next(k for k in _KINDS if m[k] is not None)
             if kind == "name":
                 start, end = m.span("titled" if m["titled"] else "plain")
-                for word in NAME.finditer(text, start, end):
-                    put("given" if word[0] in _LISTED else "surname", *word.span())
+                names = list(NAME.finditer(text, start, end))
+                title = text[m.start() : start].strip(" .").lower()
+                gender = next((g for g, titles in TITLES.items() if title in (t.lower() for t in titles)), "")
+                for k, word in enumerate(names):
+                    listed = word[0] in _LISTED or word[0].title() in _LISTED
+                    put("given" if listed else f"given_{gender}" if gender and k < len(names) - 1 else "surname", *word.span())
             elif kind == "secret":
-                put("secret", *(m.span("value") if m["value"] else m.span()))
-            elif kind == "phone" and (not 7 <= sum(c.isdigit() for c in m[0]) <= 15 or NO_PHONE.fullmatch(m[0])):
-                continue
+                if _is_secret(text, m):
+                    put("secret", *(m.span("value") if m["value"] else m.span()))
+            elif kind == "phone":
+                if _is_phone(text, *m.span()):
+                    put(kind, *m.span())
+            elif kind == "card" and not _is_card(m[0]):
+                for call in PHONE.finditer(text, *m.span()):
+                    if _is_phone(text, *call.span()):
+                        put("phone", *call.span())
             else:
                 put(kind, *m.span())
         out.append(text[at:])
@@ -334,6 +403,29 @@ def _luhn(body: Sequence[int]) -> int:
     return -total % 10
 
 
+def _is_card(text: str) -> bool:
+    """Whether digits begin and end as those of a card do."""
+    digits = "".join(c for c in text if c.isdigit())
+    return _luhn([int(c) for c in digits[:-1]]) == int(digits[-1]) and any(len(digits) in sizes and regex.match(start, digits) for start, sizes in ISSUERS)
+
+
+def _is_phone(text: str, start: int, end: int) -> bool:
+    """Whether digits are a number to call: by a country code, a bracketed area code, a known grouping, or a word before them that says so."""
+    said = text[start:end]
+    if not 7 <= sum(c.isdigit() for c in said) <= 15 or NO_PHONE.fullmatch(said):
+        return False
+    return said[0] in "+(" or "(" in said or bool(GROUPED.fullmatch(said)) or bool(CUE.search(text[max(0, start - 40) : start]))
+
+
+def _is_secret(text: str, m) -> bool:
+    """Whether what looks like a key is one: a known mark, a value that is no plain word, or long hex behind a word that says so."""
+    if m["value"]:
+        value = m["value"]
+        plain = value.strip(".()[]{}<>").lower()
+        return plain not in NOT_SECRET and (not plain.isalpha() or not value[1:].islower() and not value.isupper() or "=" in m[0] and m[0].lower().startswith("p") and "= " not in m[0])
+    return not regex.fullmatch(r"[0-9a-fA-F]+", m[0]) or bool(SECRET_CUE.search(text[max(0, m.start() - 40) : m.start()]))
+
+
 ENTITIES = "array<struct<type:string,entity:string,surrogate:string>>"
 
 
@@ -366,6 +458,12 @@ def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", entiti
 
 
 def collisions(replaced: DataFrame, entities: str = "entities") -> DataFrame:
-    """(type, surrogate, entities) where one surrogate stands for several entities, or an entity for itself: no rows, if all is well. Written forms of one e-mail address count as one."""
-    each = replaced.select(F.explode(entities).alias("e")).select("e.type", F.when(F.col("e.type") == "email", F.lower("e.entity")).otherwise(F.col("e.entity")).alias("entity"), "e.surrogate").distinct()
-    return each.groupBy("type", "surrogate").agg(F.count("*").alias("entities"), F.max((F.col("entity") == F.col("surrogate")).cast("int")).alias("own")).filter("entities > 1 OR own = 1").select("type", "surrogate", "entities")
+    """(type, surrogate, entities) where one surrogate stands for several entities, or an entity for itself: no rows, if all is well.
+
+    Upper and lower case of an entity count as one, but for secrets. Entities may also be given as SHA-256 digests (hex, of lower case but for secrets).
+    """
+    entity = F.when(F.col("e.type") == "secret", F.col("e.entity")).otherwise(F.lower("e.entity"))
+    own = F.when(F.col("e.type") == "secret", F.col("e.surrogate")).otherwise(F.lower("e.surrogate"))
+    each = replaced.select(F.explode(entities).alias("e")).select("e.type", entity.alias("entity"), own.alias("surrogate")).distinct()
+    itself = (F.col("entity") == F.col("surrogate")) | (F.col("entity") == F.sha2("surrogate", 256))
+    return each.groupBy("type", "surrogate").agg(F.count("*").alias("entities"), F.max(itself.cast("int")).alias("own")).filter("entities > 1 OR own = 1").select("type", "surrogate", "entities")

@@ -631,6 +631,43 @@ def test_distinct_entities_have_distinct_surrogates():
         assert len({getattr(made, kind)(v) for v in values}) == len(set(values))
 
 
+#: Texts by hand, and the entities that are in them.
+LABELLED = [
+    ("Card 4111 1111 1111 1111 or 5500-0000-0000-0004, order 4111 1111 1111 1112.", [("card", "4111 1111 1111 1111"), ("card", "5500-0000-0000-0004")]),
+    ("American Express 378282246310005, ISBN 9780306406157, ticket 7086638319846192.", [("card", "378282246310005")]),
+    ("100 200 300 and 12 34 56 78 90 and 2020-2021 1990-1995 are numbers.", []),
+    ("Call 030 1234567 or 555-0123; +49 1512 3456789, 988-555-2485, (212) 555-0199.", [("phone", "030 1234567"), ("phone", "555-0123"), ("phone", "+49 1512 3456789"), ("phone", "988-555-2485"), ("phone", "(212) 555-0199")]),
+    ("Tél. : 01 23 45 67 89. On 2020-01-02 at 12.30, 1024 768, v1.2.3, 1999 2000.", [("phone", "01 23 45 67 89")]),
+    ("commit 9fceb02d0ae598e95dc970b74767f19372d61af8 and d41d8cd98f00b204e9800998ecf8427e", []),
+    ("token = \"ab59b03a9d0189cc1ff5513a5b496212436c9831\", api_key: AbCdEf123456, Bearer key 9fceb02d0ae598e95dc970b74767f19372d61af8", [("secret", "ab59b03a9d0189cc1ff5513a5b496212436c9831"), ("secret", "AbCdEf123456"), ("secret", "9fceb02d0ae598e95dc970b74767f19372d61af8")]),
+    ("token: required, password: string, password=hunterhunter, secret: everything", [("secret", "hunterhunter")]),
+    ("Hosts fe80::1, 2001:db8::1, 2001:0db8:85a3:0000:0000:8a2e:0370:7334 and 10.0.0.1; at 10:30:15.", [("ipv6", "fe80::1"), ("ipv6", "2001:db8::1"), ("ipv6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"), ("ipv4", "10.0.0.1")]),
+    ("MARIA GARCIA met Frau Zoraida Weber-Schmidt and Κυρία Ελένη Παππά.", [("given", "MARIA"), ("surname", "GARCIA"), ("given", "Zoraida"), ("surname", "Weber-Schmidt"), ("given", "Ελένη"), ("surname", "Παππά")]),
+    ("The rose of Paris, an April morning, and General Motors.", []),
+    ("a.b@corp.co.uk, 123-45-6789, DE89 3704 0044 0532 0130 00", [("email", "a.b@corp.co.uk"), ("ssn", "123-45-6789"), ("iban", "DE89 3704 0044 0532 0130 00")]),
+]
+
+
+@pytest.mark.parametrize("text,want", LABELLED)
+def test_entities_by_hand(text, want):
+    assert [(t, e) for t, e, _ in surrogates.Surrogates(b"k").rewrite(text)[1]] == want
+
+
+def test_names_keep_script_case_and_gender():
+    made = surrogates.Surrogates(b"k")
+    by = {e: s for _, e, s in made.rewrite("MARIA GARCIA, Mrs Zoraida Lopez, Mr Zoltan Lopez, Κυρία Ελένη Παππά, Г-жа Зоя Иванова, Maria Garcia, Herr Jürgen Müller")[1]}
+    assert by["MARIA"].title() in surrogates.GIVEN[("latin", "f")] and by["GARCIA"] == by["Garcia"].upper() and by["MARIA"] == by["Maria"].upper()
+    assert by["Zoraida"].endswith("na") and by["Zoltan"].endswith("n") and by["Иванова"].endswith("ова") and by["Зоя"].endswith("на")
+    assert by["Ελένη"] in surrogates.GIVEN[("greek", "f")] and all(0x370 <= ord(c) < 0x400 for c in by["Παππά"])
+
+
+def test_surnames_of_any_length_are_distinct():
+    made, rng = surrogates.Surrogates(b"k"), random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüéèñç'-"
+    names = {"".join(rng.choice(letters) for _ in range(rng.randrange(2, 26))).strip("'-") + "x" for _ in range(4000)} | {"ab" * k for k in range(1, 30)} | {"aж", "жa"}
+    assert len({made.surname(n.capitalize()) for n in names}) == len(names)
+
+
 def test_cheap_signs_miss_nothing(texts):
     made = surrogates.Surrogates(b"k")
     for t in [*texts.values(), MESSAGE]:
