@@ -50,7 +50,7 @@ ISSUERS = (("4", (13, 16, 19)), ("5[1-5]", (16,)), ("2(2[2-9]|[3-6]|7[01]|720)",
 _NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)?"
 _ALL_GIVEN = "|".join(sorted({form for names in GIVEN.values() for n in names for form in (n, n.upper())}, key=lambda n: (-len(n), n)))
 _ALL_TITLES = "|".join(sorted({regex.escape(form) for ts in TITLES.values() for t in ts for form in (t, t.upper())}, key=lambda n: (-len(n), n)))
-_PHONE = r"(?<![\w.+/-])(?:(?:\+|00)\d{1,3}[ .-]?)?(?:\(\d{1,5}\)[ .-]?)?\d{2,12}(?:[ ./-]\d{2,8}){0,5}(?![\w-]|[.,]\d)"
+_PHONE = r"(?<![\w.+/-])(?:(?:\+|00)\d{1,3}[ .-]?)?(?:\(\d{1,5}\)[ .-]?)?\d{2,12}(?:[ ]\d{2,8}){0,5}(?:[./-]\d{2,8}){0,4}(?![\w-]|[.,]\d)"
 PATTERN = regex.compile(
     rf"""
     (?P<email>(?<![\w.+%-])[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.\p{{L}}{{2,}}(?![\w-]))
@@ -197,6 +197,10 @@ def _script(name: str) -> str:
     return "cyrillic" if 0x400 <= ord(name[0]) < 0x530 else "greek" if 0x370 <= ord(name[0]) < 0x400 else "latin"
 
 
+#: A run of word characters, or a single mark.
+_RUN = regex.compile(r"\w+|\W")
+
+
 class Surrogates:
     """Replaces entities. One key gives one mapping, everywhere."""
 
@@ -356,6 +360,25 @@ class Surrogates:
             self.known[at] = getattr(self, kind)(text)
         return self.known[at]
 
+    def _accepted(self, text: str, m) -> list[tuple[str, int, int]]:
+        """What a match names: type and span of each part that is replaced."""
+        kind = next(k for k in _KINDS if m[k] is not None)
+        if kind == "name":
+            start, end = m.span("titled" if m["titled"] else "plain")
+            names = list(NAME.finditer(text, start, end))
+            title = text[m.start() : start].strip(" .").lower()
+            gender = next((g for g, titles in TITLES.items() if title in (t.lower() for t in titles)), "")
+            listed = [word[0] in _LISTED or word[0].title() in _LISTED for word in names]
+            return [("given" if known else f"given_{gender}" if gender and k < len(names) - 1 else "surname", *word.span()) for k, (word, known) in enumerate(zip(names, listed, strict=True))]
+        if kind == "secret":
+            return [("secret", *(m.span("value") if m["value"] else m.span()))] if _is_secret(text, m) else []
+        if kind == "phone" or kind == "card" and not _is_card(m[0]):
+            # Numbers may follow one another: the longest that is one, up to a blank.
+            call = m if kind == "phone" else PHONE.match(text, m.start())
+            ends = [call.end(), *(call.start() + k for k in range(len(call[0]) - 1, 0, -1) if call[0][k] == " ")] if call else []
+            return next(([("phone", call.start(), end)] for end in ends if _is_phone(text, call.start(), end)), [])
+        return [(kind, *m.span())]
+
     def rewrite(self, text: str) -> tuple[str, list[tuple[str, str, str]]]:
         """The text with surrogates, and (type, entity, surrogate) in order."""
         out, at, found = [], 0, []
@@ -367,28 +390,13 @@ class Surrogates:
             out.extend((text[at:start], new))
             at = end
 
-        for m in (m for a, b in windows(text) for m in PATTERN.finditer(text, a, b)):
-            kind = m.lastgroup if m.lastgroup in _KINDS else next(k for k in _KINDS if m[k] is not None)
-            if kind == "name":
-                start, end = m.span("titled" if m["titled"] else "plain")
-                names = list(NAME.finditer(text, start, end))
-                title = text[m.start() : start].strip(" .").lower()
-                gender = next((g for g, titles in TITLES.items() if title in (t.lower() for t in titles)), "")
-                for k, word in enumerate(names):
-                    listed = word[0] in _LISTED or word[0].title() in _LISTED
-                    put("given" if listed else f"given_{gender}" if gender and k < len(names) - 1 else "surname", *word.span())
-            elif kind == "secret":
-                if _is_secret(text, m):
-                    put("secret", *(m.span("value") if m["value"] else m.span()))
-            elif kind == "phone":
-                if _is_phone(text, *m.span()):
-                    put(kind, *m.span())
-            elif kind == "card" and not _is_card(m[0]):
-                for call in PHONE.finditer(text, *m.span()):
-                    if _is_phone(text, *call.span()):
-                        put("phone", *call.span())
-            else:
-                put(kind, *m.span())
+        for a, b in windows(text):
+            while m := PATTERN.search(text, a, b):
+                spans = self._accepted(text, m)
+                for kind, start, end in spans:
+                    put(kind, start, end)
+                # What is no entity may begin before one.
+                a = spans[-1][2] if spans else _RUN.match(text, m.start()).end()
         out.append(text[at:])
         return "".join(out), found
 
