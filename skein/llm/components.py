@@ -2,40 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.storage import discard, fresh_path
 
 
-def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch of links as one link from every node to the smallest that the batch connects it with."""
-    for batch in batches:
-        root: dict[int, int] = {}
-
-        def top(x: int, root=root) -> int:
-            while (up := root.setdefault(x, x)) != x:
-                root[x] = root[up]
-                x = root[x]
-            return x
-
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            a, b = top(a), top(b)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-        nodes = [x for x in root if root[x] != x]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([top(x) for x in nodes], pa.int64())], ["u", "v"])
-
-
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node that has a link: root is the smallest node of its component.
 
     Each round points nodes at the smallest neighbour they know, first from above and then from below, and is written
-    to the shared folder, so that plans stay short and rounds survive lost executors. Links are contracted batch by
-    batch before they are shuffled, and minima pre-aggregated. Self links and repeated links are allowed; nulls are not links.
+    to the shared folder, so that plans stay short and rounds survive lost executors. Minima are pre-aggregated
+    before they are shuffled. Self links and repeated links are allowed; nulls are not links.
     """
     spark = links.sparkSession
     pair = F.struct(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
@@ -47,7 +25,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         return table, path, tuple(table.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
     given = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u != v")
-    edges, path, mark = settled(given.mapInArrow(_contracted, "u long, v long"))
+    edges, path, mark = settled(given)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))

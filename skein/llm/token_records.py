@@ -34,7 +34,7 @@ FILE_BYTES = 128_000_000
 #: Code points encoded at once.
 BLOCK_CHARS = 1_000_000
 #: Pieces that a worker remembers before it starts anew.
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 400_000
 
 INDEX_SCHEMA = "file string, part long, doc_id long, record long, offset long, length long, n_tokens long, ids_crc32 long, start_in_file long"
 
