@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The cleaning patterns, applied in this order.
+# The cleaning patterns, applied in this order: markup, emoji and control characters, then white space, then repeated marks.
 TAGS = r"<[^>]+>"
-EMOJI = r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]+"
-GARBLED = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFD}]"
-WHITE = r"(?U)\s+"
+EMOJI = r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}"
+GARBLED = r"\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFD}"
+BLANK = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 REPEATED_MARK = r"([，。！？、；：,.!?;:'\"])\1+"
 EDGES = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 
@@ -43,16 +43,25 @@ def first_nonblank(*columns: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Tags, emoji and control characters become blanks, white space shrinks to one blank, runs of one mark to the mark. Null becomes empty."""
-    out = F.regexp_replace(F.coalesce(c, F.lit("")), TAGS, " ")
-    out = F.regexp_replace(F.regexp_replace(out, EMOJI, " "), GARBLED, " ")
-    out = F.trim(F.regexp_replace(out, WHITE, " "))
+    out = F.regexp_replace(F.coalesce(c, F.lit("")), rf"{TAGS}|[{EMOJI}{GARBLED}]+", " ")
+    # A single blank, which most white space is, needs no replacement.
+    out = F.trim(F.regexp_replace(out, rf"[ \t-\r{BLANK}]{{2,}}|[\t-\r{BLANK}]", " "))
     return F.trim(F.regexp_replace(out, REPEATED_MARK, "$1"))
 
 
-def matched(c: Column, terms: Sequence[str], ignore_case: bool = False) -> Column:
-    """The terms that occur in the text, in the order given; with ignore_case also those that occur in its lower-case form."""
-    low = F.lower(c)
-    return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(c, t) | F.contains(low, t) if ignore_case else F.contains(c, t))
+def with_clean_text(texts: DataFrame, text_col: str, out: str) -> DataFrame:
+    """texts with their cleaned text in `out`, those without any left out.
+
+    The cleaned text comes out of a generator, so that the optimizer doesn't copy its expression into the filter and into what is built on it.
+    """
+    return texts.select("*", F.inline(F.array(F.struct(clean_text(F.col(text_col)).alias(out))))).filter(F.col(out) != "")
+
+
+def matched(c: Column, terms: Sequence[str], low: Column | None = None) -> Column:
+    """The terms that occur in the text, in the order given; with its lower-case form `low` also those that occur in that."""
+    if low is not None and all(t == t.lower() for t in terms):
+        c, low = low, None  # such a term is in both or in the latter only
+    return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(c, t) if low is None else F.contains(c, t) | F.contains(low, t))
 
 
 def contains_any(c: Column, terms: Sequence[str]) -> Column:

@@ -47,13 +47,16 @@ def confidence(hits: Column) -> Column:
 
 def pain_points(c: Column, lexicon: Lexicon = DEFAULT) -> Column:
     """array<struct<Pain_Point, Evidence_Keyword, Confidence>> of the rules that match, in rule order. The evidence is the first of the longest keywords."""
-    rules = F.array(*[F.struct(F.lit(label).alias("label"), matched(c, words, ignore_case=True).alias("hits")) for label, words in lexicon.pain_rules])
+    both = F.array(F.struct(c.alias("c"), F.lower(c).alias("low")))  # lower case is made once for all rules
+
+    def rules(text: Column) -> Column:
+        return F.array(*[F.struct(F.lit(label).alias("label"), matched(text["c"], words, text["low"]).alias("hits")) for label, words in lexicon.pain_rules])
 
     def evidence(hits: Column) -> Column:
         longest = F.array_max(F.transform(hits, lambda k: F.length(k)))
         return F.filter(hits, lambda k: F.length(k) == longest)[0]
 
-    return F.transform(F.filter(rules, lambda r: F.size(r["hits"]) > 0), lambda r: F.struct(r["label"].alias("Pain_Point"), evidence(r["hits"]).alias("Evidence_Keyword"), confidence(r["hits"]).alias("Confidence")))
+    return F.transform(F.filter(F.transform(both, rules)[0], lambda r: F.size(r["hits"]) > 0), lambda r: F.struct(r["label"].alias("Pain_Point"), evidence(r["hits"]).alias("Evidence_Keyword"), confidence(r["hits"]).alias("Confidence")))
 
 
 def explode_pain_points(texts: DataFrame, text_col: str = "Cleaned_Text", lexicon: Lexicon = DEFAULT, keep: Sequence[str] = ("Source_ID", "Platform", "Cleaned_Text")) -> DataFrame:
@@ -138,7 +141,9 @@ def feature_rows(features: DataFrame) -> DataFrame:
 def word_frequency(texts: DataFrame, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",)) -> DataFrame:
     """Word and Frequency, most frequent first; among equals the word that appears first in the given order of texts."""
     at = F.struct(*[F.col(c) for c in order], F.col("pos"))
-    return texts.select(*order, F.posexplode(tokens_col).alias("pos", "Word")).groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(at).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
+    # The outer form spares a filter that would build the tokens once more.
+    each = texts.select(*order, F.posexplode_outer(tokens_col).alias("pos", "Word")).filter("Word IS NOT NULL")
+    return each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(at).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
 
 
 def ontology(spark, lexicon: Lexicon = DEFAULT) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from skein.functions import times, urls
 from skein.functions.lexicon import DESIGN_MAPPING, LATIN, ONTOLOGY_NAMES, Lexicon
-from skein.functions.text import clean_text
+from skein.functions.text import clean_text, with_clean_text
 from skein.operators import images, labels, near_duplicates, payloads, reviews
 from skein.operators import text_features as X
 from skein.sources import readers
+from skein.sources.stage import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 L: Lexicon = LATIN
@@ -24,7 +25,7 @@ NOW = "2024-06-15 12:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # --- SQL pieces -------------------------------------------------------------------------------------------------------
@@ -86,7 +87,7 @@ pains AS (
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("t")).filter("t != ''")
+    cleaned = with_clean_text(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "t").select("doc_id", "t")
     return cleaned.withColumn("tokens", X.regex_tokens(F.col("t")))
 
 

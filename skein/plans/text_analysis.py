@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.lexicon import DEFAULT, Lexicon
-from skein.functions.text import clean_text, joined
+from skein.functions.text import joined, with_clean_text
 from skein.operators import text_features as X
 from skein.sources import sinks
 from skein.sources.readers import unified_records
@@ -24,7 +24,7 @@ def platform_counts(records: DataFrame) -> DataFrame:
 
 def cleaned_records(records: DataFrame) -> DataFrame:
     """Records with Cleaned_Text, those without any left out."""
-    return records.withColumn("Cleaned_Text", clean_text(F.col("Raw_Text"))).filter("Cleaned_Text != ''")
+    return with_clean_text(records, "Raw_Text", "Cleaned_Text")
 
 
 @dataclass

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes below which Spark makes no smaller splits of files.
+SMALL_SPLIT = 4 << 20
+
 _LOCAL: dict[str, str] = {}
 
 
@@ -34,6 +37,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table dealt out to all cores. Files of one row group give one task however small the splits are; a table with so much for each core as Spark opens
+    a file for stays as it is, and nothing is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if cores > 1 and size < cores * SMALL_SPLIT else df
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Deletes written folders that no later plan reads."""
     jvm = spark._jvm
