@@ -12,7 +12,7 @@ from skein.llm import covering_dedup, curriculum, decontaminate, html_text, lang
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return storage.small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return storage.spread(storage.small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 #: Of the sources in turn: one that grows in weight, one that stays, one that fades.

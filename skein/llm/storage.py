@@ -2,9 +2,9 @@
 
 from pyspark.sql import SparkSession
 
-from skein.sources.stage import discard, fresh_path, shared_dir, staged
+from skein.sources.stage import discard, fresh_path, shared_dir, spread, staged
 
-__all__ = ["discard", "fresh_path", "shared_dir", "small_batches", "staged"]
+__all__ = ["discard", "fresh_path", "shared_dir", "small_batches", "spread", "staged"]
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of an Arrow batch. Spark counts batches in rows, and whole texts are long ones.
