@@ -11,6 +11,7 @@ from skein.functions.text import first_nonblank, strip
 EXTENSIONS = (".jpg", ".jpeg", ".png", ".webp", ".heic", ".gif")
 MEDIA_EXTENSIONS = {"image/jpeg": ".jpg", "image/png": ".png", "image/webp": ".webp", "image/heic": ".heic", "image/gif": ".gif", "image/bmp": ".bmp", "image/tiff": ".tiff", "image/svg+xml": ".svg"}
 IMAGE_MARKS = (".jpg", ".jpeg", ".png", ".webp", ".heic", "imageview2", "!nc_n_")
+SEARCH_MARKS = ("search", "homefeed", "notefeed", "web/v1/", "sns/web/v1/")
 NOTE_MARKS = ("/explore/", "/discovery/item/")
 MIME_BY_SUFFIX = {".png": "image/png", ".webp": "image/webp", ".gif": "image/gif", ".bmp": "image/bmp", ".jpg": "image/jpeg", ".jpeg": "image/jpeg"}
 
@@ -46,6 +47,15 @@ def is_note_url(c: Column) -> Column:
     return F.contains(c, F.lit(NOTE_MARKS[0])) | F.contains(c, F.lit(NOTE_MARKS[1]))
 
 
+def is_search_response(c: Column, domain: str) -> Column:
+    """Whether an address of the domain answers a search or a feed."""
+    low = F.lower(c)
+    found = F.lit(False)
+    for mark in SEARCH_MARKS:
+        found = found | F.contains(low, F.lit(mark))
+    return F.contains(low, F.lit(domain.lower())) & found
+
+
 def is_preview_image(c: Column) -> Column:
     return F.contains(F.lower(c), F.lit("_prv"))
 

@@ -12,6 +12,7 @@ from skein.functions.lexicon import DESIGN_MAPPING, LATIN, ONTOLOGY_NAMES, Lexic
 from skein.functions.text import clean_text, with_clean_text
 from skein.operators import images, labels, near_duplicates, payloads, reviews
 from skein.operators import text_features as X
+from skein.plans import record_queries
 from skein.sources import readers
 from skein.sources.stage import spread
 
@@ -435,6 +436,20 @@ def danmaku_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _T = f"WITH {TEXTS_SQL}"
+_ALL = f"""records AS ({UNIFY_SQL}), texts AS (SELECT "Source_ID" AS doc_id, "Platform" AS platform, {clean_sql('"Raw_Text"')} AS t FROM records),
+clean AS (SELECT doc_id, platform, t, regexp_extract_all(t, '[\\x{{4E00}}-\\x{{9FFF}}]+|[A-Za-z0-9]+') AS tokens FROM texts WHERE t <> '')"""
+FEATURES_SQL = f"""WITH {_ALL}, {PAIN_SQL}, {MOOD_SQL}, {IMPLIED_SQL}
+SELECT doc_id AS "Source_ID", platform AS "Platform", md5(t) AS text_md5, {KEYWORDS_SQL} AS "Keywords", array_to_string(labels, ' | ') AS "Pain_Points", label AS "Sentiment", round(score, 4) AS "Sentiment_Score", {REASON_SQL} AS "Reason", {TEXTS_OUT_SQL} AS "Design_Implications"
+FROM told JOIN clean c USING (doc_id, t)"""
+_RANKED = "SELECT '{0}' AS section, CAST(row_number() OVER (ORDER BY n DESC, key) AS INTEGER) AS rank, key, n, -1.0::DOUBLE AS percent FROM ({1})"
+REPORT_SQL = f"""WITH {_ALL}, {PAIN_SQL}, {MOOD_SQL}
+SELECT 'overview' AS section, 1 AS rank, 'input' AS key, (SELECT count(*) FROM records) AS n, -1.0::DOUBLE AS percent
+UNION ALL SELECT 'overview', 2, 'processed', (SELECT count(*) FROM clean), -1.0::DOUBLE
+UNION ALL {_RANKED.format("platform_input", 'SELECT "Platform" AS key, count(*) AS n FROM records GROUP BY 1')}
+UNION ALL {_RANKED.format("platform_processed", 'SELECT platform AS key, count(*) AS n FROM clean GROUP BY 1')}
+UNION ALL {_RANKED.format("top_words", "SELECT word AS key, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM clean) GROUP BY 1")} QUALIFY row_number() OVER (ORDER BY n DESC, key) <= 20
+UNION ALL {_RANKED.format("pain_points", "SELECT label AS key, count(*) AS n FROM pains GROUP BY 1")}
+UNION ALL SELECT 'sentiment', CAST(list_position(['positive', 'neutral', 'negative'], s) AS INTEGER), s, count(*) FILTER (label = s), round(count(*) FILTER (label = s) * 100.0::DOUBLE / count(*), 6) FROM labelled, (VALUES ('positive'), ('neutral'), ('negative')) AS v(s) GROUP BY s"""
 ORACLE: dict[str, str] = {
     "clean_documents": f"{_T} SELECT doc_id, t AS cleaned_text FROM clean",
     "clean_pages": f"SELECT page_id, {clean_sql('html')} AS cleaned_text FROM pages",
@@ -471,6 +486,7 @@ ORACLE: dict[str, str] = {
     "url_normalize": URL_SQL,
     "filename_sanitize": r"""SELECT page_id, coalesce(nullif(substring(trim(regexp_replace(url, '[\\/:*?"<>|]+', '_', 'g')), 1, 80), ''), 'untitled') AS name FROM pages""",
     "publish_time_resolve": TIME_SQL,
+    "danmaku_xml": r"SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos, regexp_replace(line, '^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '', 'g') AS text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE line <> ''",
     "deep_json_walk": "SELECT event_id, CAST(0 AS INTEGER) AS pos, CAST(0 AS INTEGER) AS depth, 'object' AS kind, CAST(-1 AS BIGINT) AS number FROM events UNION ALL SELECT event_id, 1, 1, 'number', CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events",
 }
 
@@ -481,8 +497,8 @@ def queries() -> dict[str, Query]:
         average_hash, near_duplicate_pairs, near_duplicate_gate, landscape_rules, image_gate_rules, gate_log, normalize_labels, resume_pending, resume_skipped, curation_breakdown, review_filter, brand_counts, review_composition, pain_top_liked,
         first_non_empty_merge, url_normalize, filename_sanitize, publish_time_resolve, deep_json_walk, danmaku_xml,
     )
-    return {f.__name__: f for f in found} | {"curation_log": runs_with_labels}
+    return {f.__name__: f for f in found} | {"curation_log": runs_with_labels} | record_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | record_queries.ORACLE | {"analysis_features": FEATURES_SQL, "analysis_report": REPORT_SQL}

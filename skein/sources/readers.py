@@ -51,13 +51,18 @@ def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
     raise FileNotFoundError(", ".join(paths))
 
 
-def read_notes(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of notes, a row each. A missing file raises FileNotFoundError, a file whose top level is no array ValueError."""
+def _expect(spark: SparkSession, path: str, first: str, what: str) -> None:
+    """A missing file raises FileNotFoundError, a file that begins with another character ValueError."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    head = spark.read.text(path, wholetext=True).select(F.regexp_extract("value", r"^[\s\x{FEFF}]*(\S)", 1).alias("c")).filter("c != '['")
-    if not head.isEmpty():
-        raise ValueError(f"{path}: an array of notes is expected")
+    other = spark.read.text(path, wholetext=True).filter(F.regexp_extract("value", r"^[\s\x{FEFF}]*(\S)", 1) != first)
+    if not other.isEmpty():
+        raise ValueError(f"{path}: {what} is expected")
+
+
+def read_notes(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON array of notes, a row each. A missing file raises FileNotFoundError, a file whose top level is no array ValueError."""
+    _expect(spark, path, "[", "an array of notes")
     return spark.read.schema(NOTE).option("multiLine", True).json(path)
 
 
@@ -67,7 +72,8 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_videos(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(danmaku, comments), each with file and pos."""
+    """(danmaku, comments), each with file and pos. A missing file raises FileNotFoundError, a file whose top level is no object ValueError."""
+    _expect(spark, path, "{", "an object with the lists of a video file")
     files = spark.read.schema(VIDEO_FILE).option("multiLine", True).json(path).withColumn("file", F.input_file_name())
     return tuple(files.select("file", F.posexplode(c).alias("pos", "r")).select("file", "pos", "r.*") for c in ("all_danmaku", "all_comments"))
 

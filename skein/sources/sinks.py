@@ -59,6 +59,20 @@ def write_json_row(df: DataFrame, path: str) -> None:
     put(df.sparkSession, path, json.dumps(json.loads(row), ensure_ascii=False, indent=2).encode())
 
 
-def write_label_files(labels: DataFrame, path: str, key: str = "Image_ID") -> None:
-    """One JSON directory per label, the key as partition; readers find it again as a column."""
-    labels.withColumn("label", F.to_json(F.struct(*labels.columns))).select(key, "label").write.mode("overwrite").partitionBy(key).text(path)
+def write_image_index(index: DataFrame, path: str) -> None:
+    """The image index as CSV parts in its column order; an index without images is an error."""
+    if index.isEmpty():
+        raise ValueError("the image index is empty")
+    write_csv(index, path, IMAGE_INDEX)
+
+
+def write_label_files(labels: DataFrame, path: str, key: str = "Image_ID") -> int:
+    """One JSON file per label, named by its key, for people and tools that want files; rows pass the driver one partition at a time. Returns their number.
+
+    Tables of labels that jobs read again are better written with write_json.
+    """
+    n = 0
+    for row in labels.select(F.col(key).cast("string"), F.to_json(F.struct(*labels.columns), {"ignoreNullFields": "false"})).toLocalIterator():
+        put(labels.sparkSession, f"{path}/{row[0]}.json", json.dumps(json.loads(row[1]), ensure_ascii=False, indent=2).encode())
+        n += 1
+    return n

@@ -157,8 +157,19 @@ def test_far_pairs_beyond_one_block(spark, monkeypatch):
     rng = random.Random(6)
     base = [rng.getrandbits(63) for _ in range(60)]
     values = sorted({b ^ sum(1 << i for i in rng.sample(range(63), rng.randrange(12))) for b in base for _ in range(3)})
-    monkeypatch.setattr(near_duplicates, "PLAIN_ROWS", 50)
+    monkeypatch.setattr(near_duplicates, "BLOCK_ROWS", 50)
     items = spark.createDataFrame(list(enumerate(values)), "pos long, hash long")
     got = sorted(tuple(r) for r in near_duplicates.near_pairs(items, 16).collect())
     want = [(i, j, (values[i] ^ values[j]).bit_count()) for i in range(len(values)) for j in range(i + 1, len(values)) if (values[i] ^ values[j]).bit_count() <= 16]
     assert len(values) > 50 and got == want
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 4, 5, 7, 9, 14, 15])
+def test_near_pairs_of_every_plan(spark, distance):
+    rng = random.Random(distance)
+    base = [rng.getrandbits(64) for _ in range(15)]
+    values = sorted({b ^ sum(1 << i for i in rng.sample(range(64), rng.randrange(distance + 2))) for b in base for _ in range(8)})
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    got = sorted(tuple(r) for r in near_duplicates.near_pairs(spark.createDataFrame(list(enumerate(signed)), "pos long, hash long"), distance).collect())
+    assert got == [(i, j, d) for i in range(len(values)) for j in range(i + 1, len(values)) if (d := (values[i] ^ values[j]).bit_count()) <= distance]
+    assert near_duplicates.near_pairs(spark.createDataFrame([], "pos long, hash long"), distance).count() == 0

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import times, urls
-from skein.operators import payloads, reviews
+from skein.operators import pages, payloads, reviews
 
 SITE = "https://www.example.org"
 
@@ -107,3 +107,31 @@ def test_lookup_and_back_fill(spark):
     assert [r.w for r in want.select(payloads.wants_detail(F.col("t"), F.col("r"), F.col("s"), F.col("o")).alias("w")).collect()] == [True, False, True, False]
     notes = spark.createDataFrame([("x", ["i"], "1"), ("", ["i"], "1"), ("x", [], "1")], "raw_text string, image_urls array<string>, publish_timestamp string")
     assert payloads.complete_count(notes).first().complete == 1
+
+
+def reply(rpid, text, like=None):
+    return {"rpid": rpid, "content": {"message": text}} | ({} if like is None else {"like": like})
+
+
+def test_comments_of_pages(spark):
+    heat = {"data": {"top_replies": [reply(1, "top", 9)], "hots": [reply(2, ""), reply(3, "hot")], "replies": [reply(1, "again"), reply(4, "plain", 2)]}}
+    walk = {"data": {"top_replies": [reply(8, "not here")], "replies": [reply(4, "plain"), reply(2, "now said", 1)]}}
+    rows = [("v", 0, json.dumps(heat)), ("v", 1, json.dumps(walk)), ("w", 1, json.dumps({"data": {"replies": [reply(1, "other video")]}})), ("x", 0, "no json"), ("y", 0, None)]
+    got = pages.comment_rows(spark.createDataFrame(rows, "bvid string, page int, payload string")).orderBy("bvid", "page", "pos").collect()
+    assert [(r.bvid, r.rpid, r.text, r.like_count) for r in got] == [("v", "1", "top", 9), ("v", "3", "hot", 0), ("v", "4", "plain", 2), ("v", "2", "now said", 1), ("w", "1", "other video", 0)]
+
+
+def test_items_videos_and_keywords(spark):
+    rows = [(1, '{"model": {"itemList": [], "items": [{"a": 1}, {"a": 2}, {"a": 3}]}}'), (2, '{"items": [{"b": 1}]}'), (3, '[{"c": 1}]'), (4, '{"model": null}'), (5, "x"), (6, None)]
+    df = spark.createDataFrame(rows, "k int, payload string")
+    assert [tuple(r) for r in pages.item_rows(df, keep=("k",), most=2).orderBy("k", "pos").collect()] == [(1, 0, '{"a":1}'), (1, 1, '{"a":2}'), (2, 0, '{"b":1}'), (3, 0, '{"c":1}')]
+    links = spark.createDataFrame([("q", 0, "https://v/video/BV1abc?x", " one "), ("q", 1, "//v/video/BV1abc", "again"), ("q", 2, "/video/BV2defg/", None), ("q", 3, "/video/BV1", "short"), ("p", 0, "/video/BV1abc", "x" * 99)], "keyword string, pos int, href string, title string")
+    assert [tuple(r) for r in pages.unique_videos(links).orderBy("keyword", "pos").collect()] == [("p", 0, "BV1abc", "x" * 80), ("q", 0, "BV1abc", "one"), ("q", 2, "BV2defg", "")]
+    assert pages.unique_videos(links, most=1).count() == 2
+    info = spark.createDataFrame([("a", '{"data": {"aid": 5, "pages": [{"cid": 7}, {"cid": 8}]}}'), ("b", '{"data": {"aid": 5, "pages": []}}'), ("c", "{}"), ("d", None)], "bvid string, payload string")
+    assert [tuple(r) for r in pages.video_ids(info).collect()] == [("a", 5, 7)]
+    both = pages.union_keywords([("x", spark.createDataFrame([(1,)], "a int")), ("y", spark.createDataFrame([(2,)], "a int"))])
+    assert [tuple(r) for r in both.orderBy("kw_ord").collect()] == [("x", 0, 1), ("y", 1, 2)]
+    with pytest.raises(ValueError):
+        pages.union_keywords([])
+    assert column(spark, lambda c: urls.is_search_response(c, "h.com"), "https://www.H.com/api/SNS/web/v1/x", "https://h.com/about", "https://o.com/search", None) == [True, False, False, None]

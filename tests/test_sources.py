@@ -41,6 +41,13 @@ def test_reviews_and_videos_leave_gaps_in_ids(spark, tmp_path):
     assert [(r.Source_ID, r.Data_Type) for r in readers.unify_videos(*readers.read_videos(spark, path)).collect()] == [("GRP-BILI-DM-v-000002", "danmaku"), ("GRP-BILI-CM-unknown_bvid-000001", "comment")]
 
 
+def test_a_video_file_is_an_object(spark, tmp_path):
+    with pytest.raises(ValueError):
+        readers.read_videos(spark, put(tmp_path / "l.json", [{"all_danmaku": []}]))
+    with pytest.raises(FileNotFoundError):
+        readers.read_videos(spark, f"file://{tmp_path}/none.json")
+
+
 def test_master_comes_first_and_names_vary(spark, tmp_path):
     (tmp_path / "m.csv").write_bytes('﻿ID,Text ,Platform\n7,"a ""q"", b\nc",web\n,second,\n8, ,web\n'.encode())
     notes = put(tmp_path / "n.json", NOTES)
@@ -72,8 +79,13 @@ def test_writers(spark, tmp_path):
         sinks.write_csv_file(spark.range(5), f"file://{tmp_path}/two.csv", most=4)
     sinks.write_json_row(spark.sql("SELECT 1 AS a, map('k', 2) AS m"), f"file://{tmp_path}/row.json")
     assert json.loads((tmp_path / "row.json").read_text()) == {"a": 1, "m": {"k": 2}}
-    sinks.write_label_files(df, f"file://{tmp_path}/labels")
-    assert (tmp_path / "labels/Image_ID=a").is_dir()
+    assert sinks.write_label_files(df.union(df.select(F.lit("b"), "b", "c")), f"file://{tmp_path}/labels") == 2
+    assert json.loads((tmp_path / "labels/b.json").read_text()) == {"Image_ID": "b", "b": 'say "x", y', "c": None}
+    index = spark.createDataFrame([tuple("abcdefghij")], ", ".join(f"{c} string" for c in sinks.IMAGE_INDEX))
+    sinks.write_image_index(index, f"file://{tmp_path}/index")
+    assert readers.read_csv(spark, f"file://{tmp_path}/index").columns == list(sinks.IMAGE_INDEX)
+    with pytest.raises(ValueError):
+        sinks.write_image_index(index.limit(0), f"file://{tmp_path}/index")
 
 
 def test_passed_images_and_labels(spark, tmp_path):

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import lexicon as L
+from skein.functions.segment import DictionaryCutter
 from skein.functions.text import clean_text, first_nonblank, first_present, first_truthy, safe_text, strip
 from skein.operators import text_features as X
-from skein.plans import text_analysis
+from skein.plans import queries, text_analysis
+from skein.sources.stage import spread
 from skein.streaming import text_stream
 
 
@@ -92,6 +94,38 @@ def test_a_given_segmenter_cuts(spark):
     assert X.cut_tokens(df, "text", "t", lambda s: list(s)).first().t == ["a", "b", "c", "好"]
 
 
+def test_the_dictionary_cutter_takes_the_likeliest_words(spark):
+    cut = DictionaryCutter({"冲锋": 5, "冲锋衣": 50, "衣": 20, "不透气": 30, "透气": 30, "很": 90, "太重": 5})
+    assert cut("冲锋衣很不透气") == ["冲锋衣", "很", "不透气"] and cut("衣冲锋") == ["衣", "冲锋"] and cut("未知字") == ["未", "知", "字"]
+    assert cut("GORE-TEX 3.0，好") == ["GORE-TEX", " ", "3.0", "，", "好"] and cut("") == []
+
+    def cost(words):
+        return sum(cut._costs.get(w, cut._unknown) for w in words)
+
+    def cuts(run):
+        return [[run[:k], *rest] for k in range(1, len(run) + 1) if k == 1 or run[:k] in cut.counts for rest in (cuts(run[k:]) if run[k:] else [[]])]
+
+    for run in ("冲锋衣不透气", "透气衣冲锋不透气很", "不透不透气"):
+        assert cost(cut(run)) == pytest.approx(min(map(cost, cuts(run))))
+    own = DictionaryCutter.of_lexicon(more=["阿尔法贝塔"])
+    assert own("阿尔法贝塔好") == ["阿尔法贝塔", "好"] and "闷热" in own("一点也不闷热")
+    df = spark.createDataFrame([("冲锋衣，很不透气", 1)], "text string, k int")
+    assert X.cut_tokens(df, "text", "t", cut).first().t == ["冲锋衣", "很", "不透气"]
+
+
+def test_cleaning_stands_once_in_plans(spark, sf):
+    """Filters and generators above the cleaned text must not copy its expression."""
+    for name in ("clean_documents", "word_frequency", "pain_points", "sentiment", "feature_vectors", "term_facets"):
+        plan = queries.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace(") == 3 and plan.count("regexp_extract_all(") <= 1, name
+
+
+def test_small_tables_are_spread(spark, sf):
+    small = spark.read.parquet(f"{sf}/documents.parquet")
+    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(small).count() == small.count()
+    assert "Repartition" not in spread(spark.range(10**9))._jdf.queryExecution().optimizedPlan().toString()
+
+
 RECORDS = [("1", "p", "不透气！！", "", "review"), ("2", "p", "<br>", "", "review"), ("3", "q", "好看 好看", "t", "note"), ("4", "q", None, "", "note")]
 
 
