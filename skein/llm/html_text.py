@@ -19,21 +19,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names of HTML and the words by which pages mark what is not the article.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
+VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"])
+RAW = frozenset(["script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp"])
 BLOCK = frozenset(
-    "html body article main section div header footer nav aside form p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address fieldset details summary dialog menu center hgroup search".split()
+    ["html", "body", "article", "main", "section", "div", "header", "footer", "nav", "aside", "form", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "address", "fieldset", "details", "summary", "dialog", "menu", "center", "hgroup", "search"]
 )
-CONTAINER = frozenset("html body article main section div header footer nav aside form table tbody tr td ul ol dl fieldset details center figure".split())
-NEVER = frozenset("head script style noscript template textarea title iframe nav header footer aside form button select option optgroup datalist label legend input svg canvas object embed audio video map dialog menu search math progress meter".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar tablist status".split())
+CONTAINER = frozenset(["html", "body", "article", "main", "section", "div", "header", "footer", "nav", "aside", "form", "table", "tbody", "tr", "td", "ul", "ol", "dl", "fieldset", "details", "center", "figure"])
+NEVER = frozenset(["head", "script", "style", "noscript", "template", "textarea", "title", "iframe", "nav", "header", "footer", "aside", "form", "button", "select", "option", "optgroup", "datalist", "label", "legend", "input", "svg", "canvas", "object", "embed", "audio", "video", "map", "dialog", "menu", "search", "math", "progress", "meter"])
+ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar", "tablist", "status"])
 MARKS = frozenset(
-    "nav navbar navigation menu submenu sidebar aside footer header masthead topbar toolbar ad ads adv advert adverts advertisement advertising adsense banner promo promotion promoted sponsor sponsored cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login register share sharing social comment comments commentlist disqus respond discussion replies breadcrumb breadcrumbs related recommended recommendations pagination pager widget search skip copyright hidden".split()
+    ["nav", "navbar", "navigation", "menu", "submenu", "sidebar", "aside", "footer", "header", "masthead", "topbar", "toolbar", "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "promotion", "promoted", "sponsor", "sponsored", "cookie", "cookies", "consent", "gdpr", "notice", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "register", "share", "sharing", "social", "comment", "comments", "commentlist", "disqus", "respond", "discussion", "replies", "breadcrumb", "breadcrumbs", "related", "recommended", "recommendations", "pagination", "pager", "widget", "search", "skip", "copyright", "hidden"]
 )
 #: Words before which a class word says nothing of the element itself, and words that only name a part of what a class word names.
-DENIALS = frozenset("no not non without has have with hide show is are free".split())
+DENIALS = frozenset(["no", "not", "non", "without", "has", "have", "with", "hide", "show", "is", "are", "free"])
 PARTS = frozenset(
-    "container wrapper wrap box inner outer list lists item items block blocks area areas bar section top bottom left right primary secondary links link buttons button slot unit panel group holder region module row col column columns post posts article articles stories story icons icon social media text title body header heading message warning info success error image img trail nav menu widget main content sticky fixed desktop mobile small large global site page".split()
+    ["container", "wrapper", "wrap", "box", "inner", "outer", "list", "lists", "item", "items", "block", "blocks", "area", "areas", "bar", "section", "top", "bottom", "left", "right", "primary", "secondary", "links", "link", "buttons", "button", "slot", "unit", "panel", "group", "holder", "region", "module", "row", "col", "column", "columns", "post", "posts", "article", "articles", "stories", "story", "icons", "icon", "social", "media", "text", "title", "body", "header", "heading", "message", "warning", "info", "success", "error", "image", "img", "trail", "nav", "menu", "widget", "main", "content", "sticky", "fixed", "desktop", "mobile", "small", "large", "global", "site", "page"]
 )
 #: Headings of lists of sources, which are part of an article though all of them may be links.
 SOURCES = frozenset(

@@ -29,21 +29,21 @@ from pyspark.sql import functions as F
 
 # Given names by script and gender, titles by gender, and syllables that surnames are spelled in.
 GIVEN = {
-    ("latin", "f"): "Alice Amélie Andrea Anna Anne Astrid Beatriz Brigitte Camille Carmen Catherine Charlotte Chloé Clara Claudia Daniela Elena Elisabeth Emily Emma Erika Eva Florence Gabriela Hannah Heidi Helena Ingrid Isabel Jane Jennifer Jessica Johanna Julia Karin Katharina Laura Lena Lucía Manon Lucia Margaret María Maria Marie Martina Mary Mónica Monica Monika Natalie Nicole Olivia Patricia Paula Petra Pilar Rebecca Renate Rosa Sabine Sandra Sarah Sofia Sophie Susan Ursula Valérie Victoria".split(),
-    ("latin", "m"): "Alain Alejandro Andreas Anthony Antoine Bernd Carlos Charles Christian Christophe Daniel David Diego Dieter Edward Enrique Fernando François Frank Friedrich Georg George Gérard Guillaume Günter Hans Heinrich Hugo Jacques Jaime Javier Jean Johannes John Jorge José Jose Juan Julien Jürgen Karl Klaus Lorenzo Louis Luis Manfred Manuel Martin Matthias Michael Miguel Nicolas Oliver Pablo Paul Pedro Peter Philippe Pierre Rafael Ralf Robert Sergio Stefan Thomas Wilhelm".split(),
-    ("cyrillic", "f"): "Александра Алина Анастасия Вера Виктория Дарья Екатерина Елена Ирина Ксения Людмила Мария Надежда Наталья Ольга Полина Светлана Татьяна Юлия".split(),
-    ("greek", "f"): "Αθηνά Αικατερίνη Άννα Βασιλική Γεωργία Ελένη Ειρήνη Ευαγγελία Κωνσταντίνα Μαρία Παναγιώτα Σοφία".split(),
-    ("greek", "m"): "Αθανάσιος Αλέξανδρος Ανδρέας Βασίλειος Γεώργιος Δημήτριος Ευάγγελος Ιωάννης Κωνσταντίνος Νικόλαος Παναγιώτης Χρήστος".split(),
-    ("cyrillic", "m"): "Александр Алексей Андрей Борис Виктор Владимир Григорий Дмитрий Евгений Иван Игорь Константин Михаил Николай Олег Павел Роман Сергей Юрий".split(),
+    ("latin", "f"): ["Alice", "Amélie", "Andrea", "Anna", "Anne", "Astrid", "Beatriz", "Brigitte", "Camille", "Carmen", "Catherine", "Charlotte", "Chloé", "Clara", "Claudia", "Daniela", "Elena", "Elisabeth", "Emily", "Emma", "Erika", "Eva", "Florence", "Gabriela", "Hannah", "Heidi", "Helena", "Ingrid", "Isabel", "Jane", "Jennifer", "Jessica", "Johanna", "Julia", "Karin", "Katharina", "Laura", "Lena", "Lucía", "Manon", "Lucia", "Margaret", "María", "Maria", "Marie", "Martina", "Mary", "Mónica", "Monica", "Monika", "Natalie", "Nicole", "Olivia", "Patricia", "Paula", "Petra", "Pilar", "Rebecca", "Renate", "Rosa", "Sabine", "Sandra", "Sarah", "Sofia", "Sophie", "Susan", "Ursula", "Valérie", "Victoria"],
+    ("latin", "m"): ["Alain", "Alejandro", "Andreas", "Anthony", "Antoine", "Bernd", "Carlos", "Charles", "Christian", "Christophe", "Daniel", "David", "Diego", "Dieter", "Edward", "Enrique", "Fernando", "François", "Frank", "Friedrich", "Georg", "George", "Gérard", "Guillaume", "Günter", "Hans", "Heinrich", "Hugo", "Jacques", "Jaime", "Javier", "Jean", "Johannes", "John", "Jorge", "José", "Jose", "Juan", "Julien", "Jürgen", "Karl", "Klaus", "Lorenzo", "Louis", "Luis", "Manfred", "Manuel", "Martin", "Matthias", "Michael", "Miguel", "Nicolas", "Oliver", "Pablo", "Paul", "Pedro", "Peter", "Philippe", "Pierre", "Rafael", "Ralf", "Robert", "Sergio", "Stefan", "Thomas", "Wilhelm"],
+    ("cyrillic", "f"): ["Александра", "Алина", "Анастасия", "Вера", "Виктория", "Дарья", "Екатерина", "Елена", "Ирина", "Ксения", "Людмила", "Мария", "Надежда", "Наталья", "Ольга", "Полина", "Светлана", "Татьяна", "Юлия"],
+    ("greek", "f"): ["Αθηνά", "Αικατερίνη", "Άννα", "Βασιλική", "Γεωργία", "Ελένη", "Ειρήνη", "Ευαγγελία", "Κωνσταντίνα", "Μαρία", "Παναγιώτα", "Σοφία"],
+    ("greek", "m"): ["Αθανάσιος", "Αλέξανδρος", "Ανδρέας", "Βασίλειος", "Γεώργιος", "Δημήτριος", "Ευάγγελος", "Ιωάννης", "Κωνσταντίνος", "Νικόλαος", "Παναγιώτης", "Χρήστος"],
+    ("cyrillic", "m"): ["Александр", "Алексей", "Андрей", "Борис", "Виктор", "Владимир", "Григорий", "Дмитрий", "Евгений", "Иван", "Игорь", "Константин", "Михаил", "Николай", "Олег", "Павел", "Роман", "Сергей", "Юрий"],
 }
-TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Mlle Señora Sra Srta Doña Г-жа Госпожа Κυρία".split(), "m": "Mr Herr Monsieur Señor Sr Don Г-н Господин Κύριος".split(), "": "Dr Prof".split()}
+TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Srta", "Doña", "Г-жа", "Госпожа", "Κυρία"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Г-н", "Господин", "Κύριος"], "": ["Dr", "Prof"]}
 #: Consonants, vowels, and vowels that no plain name is spelled with.
 SYLLABLES = {"latin": ("bcdfghjklmnprstvwz", "aeiou", "áéíóúäëïöü"), "cyrillic": ("бвгдзклмнпрст", "аеиоу", "ыэюя"), "greek": ("βγδζθκλμνπρστφχ", "αεηιου", "άέήίόύ")}
 #: What ends a spelled given name, and a spelled surname, by gender.
 GIVEN_ENDS = {"latin": {"f": "na", "m": "n", "": ""}, "cyrillic": {"f": "на", "m": "н", "": ""}, "greek": {"f": "να", "m": "νος", "": ""}}
 CUES = "tel|phone|mobile|cell|fax|call|sms|whatsapp|ring|dial|telefon|telefono|teléfono|móvil|movil|llame|tél|téléphone|telephone|appelez|portable|handy|mobil|rufen|anruf|тел|телефон|τηλ"
 SECRET_CUES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|bearer|credential|auth"
-NOT_SECRET = frozenset("required optional string number boolean integer none null true false undefined example changeme password secret token here below above missing invalid expired".split())
+NOT_SECRET = frozenset(["required", "optional", "string", "number", "boolean", "integer", "none", "null", "true", "false", "undefined", "example", "changeme", "password", "secret", "token", "here", "below", "above", "missing", "invalid", "expired"])
 #: First digits of card numbers and how many digits they have.
 ISSUERS = (("4", (13, 16, 19)), ("5[1-5]", (16,)), ("2(2[2-9]|[3-6]|7[01]|720)", (16,)), ("3[47]", (15,)), ("3(0[0-5]|[68])", (14,)), ("6(011|4[4-9]|5)", (16, 19)), ("35", (16,)), ("62", (16, 17, 18, 19)), ("(50|5[6-8]|6[0-9])", (12, 13, 15, 16, 18, 19)))
 
