@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 SMALL_SPLIT = 4 << 20
 
 _LOCAL: dict[str, str] = {}
+#: Paths of this driver's staged tables.
+_STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,9 +36,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> int:
+    """Deletes all that `staged` has written so far and returns how many tables that were. Frames built on them can't be read any more: call it when results are written."""
+    n = len(_STAGED)
+    discard(spark, *_STAGED)
+    _STAGED.clear()
+    return n
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A small table dealt out to all cores. Files of one row group give one task however small the splits are; a table with so much for each core as Spark opens
     a file for stays as it is, and nothing is shuffled."""

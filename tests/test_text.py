@@ -8,7 +8,8 @@ from skein.functions.segment import DictionaryCutter
 from skein.functions.text import clean_text, first_nonblank, first_present, first_truthy, safe_text, strip
 from skein.operators import text_features as X
 from skein.plans import queries, text_analysis
-from skein.sources.stage import spread
+from skein.sources.readers import exists
+from skein.sources.stage import clear_staged, spread, staged
 from skein.streaming import text_stream
 
 
@@ -120,6 +121,12 @@ def test_cleaning_stands_once_in_plans(spark, sf):
         assert plan.count("regexp_replace(") == 3 and plan.count("regexp_extract_all(") <= 1, name
 
 
+def test_staged_tables_are_cleared(spark):
+    clear_staged(spark)
+    path = staged(spark.range(3).toDF("x"), "a").inputFiles()[0]
+    assert exists(spark, path) and clear_staged(spark) == 1 and not exists(spark, path) and clear_staged(spark) == 0
+
+
 def test_small_tables_are_spread(spark, sf):
     small = spark.read.parquet(f"{sf}/documents.parquet")
     assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(small).count() == small.count()
