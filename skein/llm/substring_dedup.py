@@ -14,7 +14,9 @@ removed, unmatched ones are added. An anchor with too many fragments for one tas
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import functools
+import itertools
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -112,43 +114,90 @@ def _kept(block: Block, row: int, spans: Sequence[tuple[int, int]]) -> tuple[int
     return b - a, b - a - len(at), text
 
 
-def remove_reference_passages(docs: DataFrame, references: Sequence[str], window: int = 50, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
+def remove_reference_passages(docs: DataFrame, references: Iterable[str | None], window: int = 50, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text: texts without words that lie in a match of `window` or more words with a reference text.
 
-    References are cut into shards of at most shard_words words (or one text), each an automaton of its own broadcast.
-    A null or empty text has no words and is kept as "". Other columns are not read.
+    References are cut into shards of at most shard_words words (or one text). One shard's automaton is broadcast at a time, with a pass
+    over the documents that writes the spans it matches. A null or empty text has no words and is kept as "". Other columns are not read.
     """
     spark = docs.sparkSession
-    shards: list[list[list[bytes]]] = [[]]
-    for text in references:
-        words = [w.encode() for w in _split(text or "")]
-        if shards[-1] and sum(map(len, shards[-1])) + len(words) > shard_words:
-            shards.append([])
-        shards[-1].append(words)
-    built = []
-    for shard in shards:
-        automaton = SuffixAutomaton()
-        for words in shard:
-            automaton.add(words)
-        built.append(spark.sparkContext.broadcast((automaton.next, automaton.link, automaton.length)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = []
-        for part in built:
-            automaton = SuffixAutomaton()
-            automaton.next, automaton.link, automaton.length = part.value
-            automata.append(automaton)
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    shards = _shards(references, shard_words)
+    first, second = next(shards, []), next(shards, None)
+    if second is None:
+        shared = spark.sparkContext.broadcast(_automaton(first))
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = shared.value
+            for batch in batches:
+                yield _without(batch, (matched_spans(automaton.matching_statistics(words), window) for words in _words_of(batch.column(1))))
+
+        return read.mapInArrow(cut, KEPT)
+    rows = staged(read.withColumn("row", F.monotonically_increasing_id()), "reference-rows")
+
+    def spans_of(shard: list[list[bytes]]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(_automaton(shard))
+
+        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = shared.value
+            for batch in batches:
+                found = [(r, a, b) for r, words in zip(batch.column(0).to_pylist(), _words_of(batch.column(1)), strict=True) for a, b in matched_spans(automaton.matching_statistics(words), window)]
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["of", "start", "end"])
+
+        out = staged(rows.select("row", "text").mapInArrow(match, "of long, start int, end int"), "reference-spans")
+        shared.destroy()  # one automaton at a time
+        return out
+
+    spans = functools.reduce(DataFrame.union, [spans_of(shard) for shard in itertools.chain([first, second], shards)])
+    by_row = spans.groupBy("of").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for block in blocks(batch.column(1), SPACED):
-                for i in range(len(block)):
-                    words = block.joined(i).split(b" ") if block.first[i + 1] > block.first[i] else []
-                    n, removed, text = _kept(block, i, [s for a in automata for s in matched_spans(a.matching_statistics(words), window)])
-                    rows.append((n, removed, text.decode()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string())))], ["doc_id", "n_words", "n_removed", "kept_text"])
+            yield _without(batch, ([(s["start"], s["end"]) for s in own or ()] for own in batch.column(2).to_pylist()))
 
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return read.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
+    return rows.join(by_row, F.col("row") == F.col("of"), "left").select("doc_id", "text", "spans").mapInArrow(apply, KEPT)
+
+
+KEPT = "doc_id long, n_words long, n_removed long, kept_text string"
+
+
+def _shards(references: Iterable[str | None], shard_words: int) -> Iterator[list[list[bytes]]]:
+    """The words of the references in parts of at most shard_words words, or one text."""
+    shard: list[list[bytes]] = []
+    n = 0
+    for text in references:
+        words = [w.encode() for w in _split(text or "")]
+        if shard and n + len(words) > shard_words:
+            yield shard
+            shard, n = [], 0
+        if words:
+            shard.append(words)
+            n += len(words)
+    if shard:
+        yield shard
+
+
+def _automaton(shard: list[list[bytes]]) -> SuffixAutomaton:
+    automaton = SuffixAutomaton()
+    for words in shard:
+        automaton.add(words)
+    return automaton
+
+
+def _words_of(texts: pa.Array) -> Iterator[list[bytes]]:
+    for block in blocks(texts, SPACED):
+        for i in range(len(block)):
+            yield block.joined(i).split(b" ") if block.first[i + 1] > block.first[i] else []
+
+
+def _without(batch: pa.RecordBatch, spans: Iterable[list[tuple[int, int]]]) -> pa.RecordBatch:
+    """doc_id and text of each row, without its spans of words."""
+    rows, each = [], iter(spans)
+    for block in blocks(batch.column(1), SPACED):
+        for i in range(len(block)):
+            n, removed, text = _kept(block, i, next(each))
+            rows.append((n, removed, text.decode()))
+    return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string())))], ["doc_id", "n_words", "n_removed", "kept_text"])
 
 
 def _split(text: str) -> list[str]:
