@@ -9,7 +9,8 @@ document would cost shards times documents, so here the fragments travel to the
 of `window` words belongs to one anchor, the least hash among the runs of ANCHOR_WORDS words in it: equal windows have equal
 anchors. The windows of one document that share an anchor form a fragment; fragments meet by anchor, in order of document and
 place, and stream past the suffix automaton of the fragments before them, whose symbols are the windows. Matched spans are
-removed, unmatched ones are added. An anchor with too many fragments for one task is judged window by window with pre-aggregated minima.
+removed, unmatched ones are added. Anchors with too many fragments for one task are found beforehand, and their windows never come together:
+they are judged one by one, against pre-aggregated minima. So is, from its stream, an anchor whose fragments lie too thinly to be found so.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from skein.llm.words import SPACED, Block, blocks, mix, span_hashes, window_hash
 ANCHOR_WORDS = 10
 #: Fragments of one anchor that one task streams; anchors with more are judged window by window.
 SHARD_FRAGMENTS = 20_000
+#: Fragments of an anchor in one task's rows from which on it is counted; anchors with over SHARD_FRAGMENTS in all, the most frequent
+#: HOT_ANCHORS of them, never come together in one task.
+HOT_IN_TASK, HOT_ANCHORS = 8, 100_000
 #: Words of reference text in one broadcast automaton.
 SHARD_WORDS = 200_000
 
@@ -237,27 +241,65 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
         ordered = read.withColumn("tie", F.xxhash64("text")).repartitionByRange(F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
         rows = staged(ordered.select("doc_id", "text", F.monotonically_increasing_id().alias("rid")), "numbered")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rid = batch.column(0).to_numpy()
-            for block in blocks(batch.column(1), SPACED):
-                row, anchor, start, bounds, symbols = fragments(block, window)
-                if not len(row):
-                    continue
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        """By block: row id, anchor, start and bounds of the fragments, symbols, and which fragment is the block's first of its kind."""
+        rid = batch.column(0).to_numpy()
+        for block in blocks(batch.column(1), SPACED):
+            row, anchor, start, bounds, symbols = fragments(block, window)
+            if len(row):
                 # Equal fragments of one block: all but the first go at once, so that a frequent passage costs a row a block.
                 same = mix(span_hashes(mix(symbols.view(np.uint64)), bounds[:-1], bounds[1:]) ^ anchor.view(np.uint64))
-                order = np.lexsort((start, rid[block.row + row], same))
+                own = rid[block.row + row]
+                order = np.lexsort((start, own, same))
                 first = np.ones(len(row), bool)
                 first[order[1:]] = same[order[1:]] != same[order[:-1]]
-                # 8 bytes a window: in a hot anchor only they tell windows apart
+                yield own, anchor, start, bounds, symbols, first
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Anchors of several fragments of a task's rows, and how many these are."""
+        anchors, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[np.ndarray] = []
+
+        def counted() -> tuple[np.ndarray, np.ndarray]:
+            values, of = np.unique(np.concatenate([anchors, *held]), return_inverse=True)
+            return values, np.bincount(of, np.concatenate([counts, np.ones(len(of) - len(counts), np.int64)]), len(values)).astype(np.int64)
+
+        for batch in batches:
+            held += [anchor[first] for _, anchor, _, _, _, first in parts(batch)]
+            if sum(map(len, held)) > 2_000_000:
+                anchors, counts = counted()
+                held = []
+                anchors, counts = anchors[counts > 1], counts[counts > 1]
+        anchors, counts = counted()
+        some = counts >= HOT_IN_TASK
+        yield pa.RecordBatch.from_arrays([pa.array(anchors[some]), pa.array(counts[some])], ["anchor", "n"])
+
+    texts = rows.select("rid", "text")
+    totals = texts.mapInArrow(often, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > shard_fragments)
+    hot = np.array(sorted(r.anchor for r in totals.orderBy(F.desc("n"), "anchor").limit(HOT_ANCHORS).collect()), np.int64)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, anchor, start, bounds, symbols, first in parts(batch):
+                # 8 bytes a window: in an anchor of many fragments only they tell windows apart
                 sizes = np.diff(bounds)
-                packed = symbols.astype("<i8")[np.repeat(first, sizes)]
-                at = np.concatenate([[0], np.cumsum(8 * np.where(first, sizes, 0))]).astype(np.int32)
-                blob = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(packed.tobytes())])
-                own = rid[block.row + row]
+                stays = ~first | ~np.isin(anchor, hot)
+                packed = symbols.astype("<i8")[np.repeat(first & stays, sizes)]
+                at = np.concatenate([[0], np.cumsum(8 * np.where(first, sizes, 0)[stays])]).astype(np.int32)
+                blob = pa.Array.from_buffers(pa.binary(), int(stays.sum()), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(packed.tobytes())])
                 key = np.where(first, anchor, mix(own.view(np.uint64)).view(np.int64))
-                end = pa.array((start + sizes).astype(np.int32), mask=first)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(start.astype(np.int32)), end, blob], ["anchor", "rid", "start", "end", "windows"])
+                end = pa.array((start + sizes).astype(np.int32)[stays], mask=first[stays])
+                yield pa.RecordBatch.from_arrays([pa.array(key[stays]), pa.array(own[stays]), pa.array(start.astype(np.int32)[stays]), end, blob], ["anchor", "rid", "start", "end", "windows"])
+
+    def loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of hot anchors, one by one."""
+        for batch in batches:
+            for own, anchor, start, bounds, symbols, first in parts(batch):
+                sizes = np.diff(bounds)
+                some = first & np.isin(anchor, hot)
+                each, of = np.repeat(some, sizes), np.repeat(np.arange(len(sizes)), sizes)
+                place = (start[of] + np.arange(len(of)) - bounds[of])[each]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[of][each]), pa.array(own[of][each]), pa.array(place.astype(np.int32)), pa.array(symbols[each])], ["anchor", "rid", "start", "symbol"])
 
     def unpack(blob: bytes) -> list[int]:
         return np.frombuffer(blob, "<i8").tolist()
@@ -329,15 +371,22 @@ def remove_earlier_passages(docs: DataFrame, window: int = 20, id_col: str = "do
             out.extend(stream(group))
         yield flush()
 
-    pieces = rows.select("rid", "text").mapInArrow(cut, "anchor long, rid long, start int, end int, windows binary")
+    pieces = texts.mapInArrow(cut, "anchor long, rid long, start int, end int, windows binary")
     judged = staged(pieces.repartition("anchor").sortWithinPartitions("anchor", "rid", "start").mapInArrow(judge, schema), "repeated")
     removed = judged.filter("end IS NOT NULL").select("rid", "start", "end")
     large = judged.filter("end IS NULL")
-    if not large.isEmpty():
-        single = large.selectExpr("rid", "anchor", "start AS first", "explode(sequence(0, CAST(length(windows) / 8 AS INT) - 1)) AS k", "windows").selectExpr("anchor", "rid", "first + k AS start", "substring(windows, 8 * k + 1, 8) AS symbol")
+
+    def later(single: DataFrame) -> DataFrame:
+        """Windows (anchor, rid, start, symbol) that are not the first of their kind; minima are pre-aggregated."""
         earliest = single.groupBy("anchor", "symbol").agg(F.min(F.struct("rid", "start")).alias("least")).withColumnsRenamed({"anchor": "a", "symbol": "s"})
-        later = single.join(earliest, (F.col("anchor") == F.col("a")) & (F.col("symbol") == F.col("s"))).filter(F.struct("rid", "start") > F.col("least"))
-        removed = removed.union(later.selectExpr("rid", "start", "start + 1 AS end"))
+        met = single.join(earliest, (F.col("anchor") == F.col("a")) & (F.col("symbol") == F.col("s")))
+        return met.filter(F.struct("rid", "start") > F.col("least")).selectExpr("rid", "start", "start + 1 AS end")
+
+    if len(hot):
+        removed = removed.union(later(staged(texts.mapInArrow(loose, "anchor long, rid long, start int, symbol long"), "hot-windows")))
+    if not large.isEmpty():
+        each = large.selectExpr("rid", "anchor", "start AS first", "explode(sequence(0, CAST(length(windows) / 8 AS INT) - 1)) AS k", "windows")
+        removed = removed.union(later(each.selectExpr("anchor", "rid", "first + k AS start", "substring(windows, 8 * k + 1, 8) AS symbol")))
     spans = removed.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")).withColumnRenamed("rid", "of")
     joined = rows.join(spans, rows["rid"] == spans["of"], "left").select("doc_id", "text", "spans")
 

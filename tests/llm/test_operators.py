@@ -846,14 +846,16 @@ def brute_dedup(rows, window=20):
     return out
 
 
-@pytest.mark.parametrize("shard_fragments", [20_000, 2])
-def test_passages_that_come_earlier_go(docs, texts, shard_fragments):
+@pytest.mark.parametrize("shard_fragments,hot", [(20_000, 8), (2, 8), (2, 1), (0, 1)])
+def test_passages_that_come_earlier_go(docs, texts, monkeypatch, shard_fragments, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_IN_TASK", hot)
     got = substring_dedup.remove_earlier_passages(docs, shard_fragments=shard_fragments).collect()
     assert sorted(map(tuple, got)) == sorted(brute_dedup(sorted(texts.items())))
 
 
-@pytest.mark.parametrize("shard_fragments", [20_000, 2])
-def test_passages_of_few_words_and_odd_rows(spark, odd, empty, shard_fragments):
+@pytest.mark.parametrize("shard_fragments,hot", [(20_000, 8), (2, 8), (2, 1)])
+def test_passages_of_few_words_and_odd_rows(spark, odd, empty, monkeypatch, shard_fragments, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_IN_TASK", hot)
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(60)))) for i in range(60)]
     got = substring_dedup.remove_earlier_passages(spark.createDataFrame(rows, "doc_id long, text string"), window=7, shard_fragments=shard_fragments)
