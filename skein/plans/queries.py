@@ -12,7 +12,7 @@ from skein.functions.lexicon import DESIGN_MAPPING, LATIN, ONTOLOGY_NAMES, Lexic
 from skein.functions.text import clean_text, with_clean_text
 from skein.operators import images, labels, near_duplicates, payloads, reviews
 from skein.operators import text_features as X
-from skein.plans import record_queries
+from skein.plans import image_gate, record_queries
 from skein.sources import readers
 from skein.sources.stage import spread
 
@@ -259,6 +259,39 @@ FROM bits b CROSS JOIN final f LEFT JOIN touched t ON t.v = b.vec_id
 """
 
 
+def gate_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole image gate over vectors as gray pictures, with sizes and metrics made of their ids."""
+    k = F.col("vec_id")
+    measured = table(spark, sf_dir, "embeddings").select(
+        k.alias("pos"), F.concat(F.lit("i"), k).alias("Image_ID"), F.col("embedding").cast("array<double>").alias("gray8"), (k % 11 != 0).alias("file_exists"), (k % 13 != 0).alias("decodable"), (200 + k % 7 * 100).cast("int").alias("width"), (300 + k % 5 * 300).cast("int").alias("height"),
+        (k % 10 / 10).alias("nature"), F.lit(0.1).alias("green"), F.lit(0.1).alias("blue"), F.when(k % 3 == 0, 0.2).otherwise(0.0).alias("foreground"), (k % 2 - 1).cast("int").alias("person_count"), *[F.lit(-1.0).alias(c) for c in images.METRICS[5:]],
+    )
+    done = image_gate.gate_images(measured, FAR)
+    return done.select(F.col("pos").alias("vec_id"), "passed", "image_type", F.split_part(F.coalesce("reject_reason", F.lit("")), F.lit(":"), F.lit(1)).alias("reason"), "duplicate_of", "confidence")
+
+
+GATE_IMAGES_SQL = f"""
+WITH RECURSIVE {BITS_SQL},
+m AS (SELECT vec_id, vec_id % 11 <> 0 AS there, vec_id % 13 <> 0 AS opens, 200 + vec_id % 7 * 100 AS w, 300 + vec_id % 5 * 300 AS h, vec_id % 10 / 10 AS nature, vec_id % 3 = 0 AS front, vec_id % 2 = 1 AS empty FROM embeddings),
+judged AS (SELECT *, CASE WHEN NOT there THEN 'missing_file' WHEN NOT opens THEN 'corrupted_image' WHEN w < 300 OR h < 300 THEN 'too_small' WHEN CAST(w AS DOUBLE) / h > 3.5 OR CAST(w AS DOUBLE) / h < 0.25 THEN 'bad_aspect_ratio'
+  WHEN NOT front AND empty AND nature >= 0.35 THEN 'landscape' ELSE 'candidate_outfit' END AS kind FROM m),
+good AS (SELECT vec_id, b FROM bits JOIN judged USING (vec_id) WHERE kind = 'candidate_outfit'),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id < b.vec_id AND hamming(a.b, b.b) <= {FAR}),
+touched AS (SELECT row_number() OVER (ORDER BY b) AS step, b AS v, list(a ORDER BY a) AS before FROM links GROUP BY b),
+scan(step, duplicates) AS (
+  SELECT CAST(0 AS BIGINT), []::BIGINT[]
+  UNION ALL
+  SELECT t.step, CASE WHEN len(list_filter(t.before, lambda x: NOT list_contains(s.duplicates, x))) > 0 THEN list_append(s.duplicates, t.v) ELSE s.duplicates END
+  FROM scan s JOIN touched t ON t.step = s.step + 1),
+final AS (SELECT duplicates FROM scan ORDER BY step DESC LIMIT 1),
+named AS (SELECT j.*, list_contains(f.duplicates, j.vec_id) AS dup, list_min(list_filter(t.before, lambda x: NOT list_contains(f.duplicates, x))) AS anchor FROM judged j CROSS JOIN final f LEFT JOIN touched t ON t.v = j.vec_id)
+SELECT vec_id, kind = 'candidate_outfit' AND NOT dup AS passed, CASE WHEN dup THEN 'duplicate' ELSE kind END AS image_type,
+       CASE WHEN dup THEN 'near_duplicate_image' ELSE CASE kind WHEN 'missing_file' THEN 'image_file_not_found' WHEN 'corrupted_image' THEN 'cannot_open_image' WHEN 'too_small' THEN 'image_too_small' WHEN 'bad_aspect_ratio' THEN 'abnormal_aspect_ratio' WHEN 'landscape' THEN 'landscape_no_person_nature_dominant' ELSE '' END END AS reason,
+       CASE WHEN dup THEN 'i' || anchor ELSE '' END AS duplicate_of, CASE WHEN kind = 'candidate_outfit' AND NOT dup THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence
+FROM named
+"""
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image metrics made of lineitem's numbers."""
     li = table(spark, sf_dir, "lineitem")
@@ -470,6 +503,7 @@ ORACLE: dict[str, str] = {
     "average_hash": f"WITH {BITS_SQL} SELECT vec_id, b AS bits FROM bits",
     "near_duplicate_pairs": f"WITH {BITS_SQL} SELECT a.vec_id AS a, b.vec_id AS b, CAST(hamming(a.b, b.b) AS INTEGER) AS distance FROM bits a JOIN bits b ON a.vec_id < b.vec_id AND hamming(a.b, b.b) <= {FAR}",
     "near_duplicate_gate": GATE_SQL,
+    "gate_images": GATE_IMAGES_SQL,
     "landscape_rules": f"WITH {METRICS_SQL} SELECT k, n, rule LIKE 'landscape%' OR rule LIKE 'high%' AS is_landscape, rule FROM ruled",
     "image_gate_rules": f"WITH {METRICS_SQL} SELECT k, n, image_type = 'candidate_outfit' AS passed, image_type, CASE image_type WHEN 'missing_file' THEN 'image_file_not_found' WHEN 'corrupted_image' THEN 'invalid_image_size' WHEN 'too_small' THEN 'image_too_small' WHEN 'bad_aspect_ratio' THEN 'abnormal_aspect_ratio' WHEN 'landscape' THEN rule ELSE '' END AS reason, CASE WHEN image_type = 'candidate_outfit' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence FROM judged",
     "gate_log": f"WITH {METRICS_SQL} SELECT image_type, count(*) AS n, count(*) FILTER (image_type = 'candidate_outfit') AS passed FROM judged GROUP BY 1",
@@ -494,7 +528,7 @@ ORACLE: dict[str, str] = {
 def queries() -> dict[str, Query]:
     found = (
         clean_documents, clean_pages, unify_records, platform_counts, image_index, word_frequency, pain_points, pain_point_counts, sentiment, sentiment_distribution, term_facets, keywords, design_implications, feature_vectors, ontology, design_mapping,
-        average_hash, near_duplicate_pairs, near_duplicate_gate, landscape_rules, image_gate_rules, gate_log, normalize_labels, resume_pending, resume_skipped, curation_breakdown, review_filter, brand_counts, review_composition, pain_top_liked,
+        average_hash, near_duplicate_pairs, near_duplicate_gate, gate_images, landscape_rules, image_gate_rules, gate_log, normalize_labels, resume_pending, resume_skipped, curation_breakdown, review_filter, brand_counts, review_composition, pain_top_liked,
         first_non_empty_merge, url_normalize, filename_sanitize, publish_time_resolve, deep_json_walk, danmaku_xml,
     )
     return {f.__name__: f for f in found} | {"curation_log": runs_with_labels} | record_queries.queries()

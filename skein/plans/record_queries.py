@@ -145,6 +145,30 @@ FROM l LEFT JOIN (SELECT DISTINCT doc_id FROM documents) d ON d.doc_id = l.user_
 """
 
 
+def note_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes out of payloads made of documents: walked, recognized, and their fields taken."""
+    d, k = table(spark, sf_dir, "documents"), F.col("doc_id")
+    info = F.array(F.struct(F.lit("WB_PRV").alias("image_scene"), F.lit("https://img.example/p.jpg").alias("url")), F.struct(F.lit("WB_DFT").alias("image_scene"), F.concat(F.lit("https://img.example/f"), k, F.lit(".jpg")).alias("url")))
+    item = F.struct(
+        F.concat(F.lit("n"), k).alias("note_id"), F.when(k % 3 == 0, F.concat(F.lit("t"), k)).alias("xsec_token"), F.col("source").alias("display_title"), F.when(k % 4 == 0, payloads.EMPTY_BODY).when(k % 4 == 1, "").otherwise(F.col("lang")).alias("desc"),
+        F.when(k % 5 != 0, k * 1000).alias("time"), F.struct(F.concat(F.lit("//img.example/c"), k, F.lit(".jpg?x=1")).alias("url_default")).alias("cover"), F.array(F.struct(info.alias("info_list"))).alias("image_list"),
+        F.when(k % 2 == 0, F.array(F.struct(F.lit("publish_time").alias("type"), F.lit("2024-01-02").alias("text")))).alias("corner_tag_info"),
+    )
+    walked = payloads.deep_walk(d.select("doc_id", F.to_json(F.struct(F.array(item).alias("items"))).alias("payload")), keep=("doc_id",))
+    found = payloads.note_records(walked.filter("kind = 'object'"), SITE, F.lit("2024-06-15 12:00:00").cast("timestamp"), order=("doc_id", "pos"))
+    return found.select("doc_id", "note_id", "note_url", "can_open_in_web", "title_text", "raw_text", "text_source", F.concat_ws(",", "image_urls").alias("images"), *[F.coalesce(c, F.lit("-")).alias(c) for c in ("publish_timestamp", "publish_time_text", "publish_time_resolved")])
+
+
+RECORDS_SQL = f"""
+WITH d AS (SELECT doc_id AS k, doc_id % 3 = 0 AS open, source, {STRIP_SQL.format("CASE doc_id % 4 WHEN 0 THEN '还没有简介' WHEN 1 THEN '' ELSE coalesce(lang, '') END")} AS body FROM documents),
+r AS (SELECT *, CASE WHEN body = '还没有简介' THEN '' WHEN body <> '' THEN body ELSE coalesce(source, '') END AS raw_text, CASE WHEN k % 2 = 0 THEN '2024-01-02' ELSE '-' END AS said FROM d)
+SELECT k AS doc_id, 'n' || k AS note_id, '{SITE}/explore/n' || k || CASE WHEN open THEN '?xsec_token=t' || k || '&xsec_source=pc_search' ELSE '' END AS note_url, open AS can_open_in_web, source AS title_text, raw_text,
+       CASE WHEN raw_text <> '' AND raw_text <> coalesce(source, '') THEN 'search_body' ELSE 'search_title' END AS text_source, 'https://img.example/c' || k || '.jpg,https://img.example/f' || k || '.jpg' AS images,
+       CASE WHEN k % 5 <> 0 THEN CAST(k * 1000 AS VARCHAR) WHEN k % 2 = 0 THEN '1704153600' ELSE '-' END AS publish_timestamp, said AS publish_time_text, said AS publish_time_resolved
+FROM r
+"""
+
+
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.complete_count(_notes(spark, sf_dir))
 
@@ -228,7 +252,7 @@ def analysis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         comment_pages, item_pages, unique_videos, note_addresses, merged_notes, filled_results, looked_up_pages, completeness, detail_wanted, master_records, timestamps, annotation_log, video_summary,
-        analysis_features, analysis_report,
+        analysis_features, analysis_report, note_records,
     )
     return {f.__name__: f for f in found}
 
@@ -241,6 +265,7 @@ ORACLE: dict[str, str] = {
     "merged_notes": MERGED_SQL,
     "filled_results": FILLED_SQL,
     "looked_up_pages": LOOKED_UP_SQL,
+    "note_records": RECORDS_SQL,
     "completeness": "SELECT count(*) AS complete FROM documents WHERE doc_id % 3 <> 0 AND coalesce(lang, '') <> '' AND doc_id % 4 = 0",
     "detail_wanted": "SELECT CAST(doc_id AS VARCHAR) AS note_id FROM documents WHERE doc_id % 7 = 0 AND doc_id % 5 = 0",
     "master_records": MASTER_SQL,
