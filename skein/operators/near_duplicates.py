@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from skein.operators.images import hamming
 from skein.sources.stage import staged
 
-#: Hashes in a block, where all have to be compared with all.
-BLOCK_ROWS = 20_000
+#: Hashes in a block, at most, where all have to be compared with all; fewer hashes are in up to FEW_BLOCKS blocks of FEW_ROWS, to be compared side by side.
+BLOCK_ROWS, FEW_BLOCKS, FEW_ROWS = 20_000, 8, 500
 #: Forms of a band that a hash is looked up under, at most, and bits that a band has, at least.
 MOST_FORMS, MIN_BAND = 100, 12
 
@@ -78,7 +78,8 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
         first = F.coalesce(*[F.when(F.bit_count(_band(differ, a, b)) <= flips, F.lit(i)) for i, (a, b) in enumerate(_edges(n))])
         found = left.join(right, ["band", "value"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance) & (first == F.col("band")))
     else:
-        k = max(1, -(-x.count() // BLOCK_ROWS))
+        rows = x.count()
+        k = max(1, -(-rows // BLOCK_ROWS), min(FEW_BLOCKS, rows // FEW_ROWS))
         own, other = F.pmod(F.xxhash64("p"), F.lit(k)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
         left = x.select(F.col("p").alias("a"), F.col("h").alias("ha"), own.alias("i"), other.alias("j"))
         right = x.select(F.col("p").alias("b"), F.col("h").alias("hb"), own.alias("j"), other.alias("i"))

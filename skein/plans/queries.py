@@ -13,8 +13,8 @@ from skein.functions.text import clean_text, with_clean_text
 from skein.operators import images, labels, near_duplicates, payloads, reviews
 from skein.operators import text_features as X
 from skein.plans import image_gate, record_queries
+from skein.plans.record_queries import table
 from skein.sources import readers
-from skein.sources.stage import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 L: Lexicon = LATIN
@@ -25,10 +25,6 @@ PHRASES = ("license", "idiot", "%%%")
 NOW = "2024-06-15 12:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
 # --- SQL pieces -------------------------------------------------------------------------------------------------------
 
 

@@ -16,11 +16,14 @@ from skein.sources import readers
 from skein.sources.stage import spread
 
 SITE = "https://www.example.org"
+#: Tables of whole texts, on which much is done a row.
+TEXTS = ("documents", "pages", "conversations")
 STRIP_SQL = r"regexp_replace({}, '^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '', 'g')"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(read) if name in TEXTS else read
 
 
 # --- pages of responses -----------------------------------------------------------------------------------------------
