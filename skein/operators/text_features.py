@@ -140,7 +140,11 @@ def feature_rows(features: DataFrame) -> DataFrame:
 
 def word_frequency(texts: DataFrame, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",)) -> DataFrame:
     """Word and Frequency, most frequent first; among equals the word that appears first in the given order of texts."""
-    at = F.struct(*[F.col(c) for c in order], F.col("pos"))
+    if len(order) == 1 and texts.schema[order[0]].dataType.typeName() in ("byte", "short", "integer", "long"):
+        # One number for text and place: minima of numbers are hashed where those of structs would be sorted.
+        at = F.coalesce(F.col(order[0]).cast("decimal(19,0)"), F.lit(-(1 << 63)).cast("decimal(19,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    else:
+        at = F.struct(*[F.col(c) for c in order], F.col("pos"))
     # The outer form spares a filter that would build the tokens once more.
     each = texts.select(*order, F.posexplode_outer(tokens_col).alias("pos", "Word")).filter("Word IS NOT NULL")
     return each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(at).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
