@@ -33,7 +33,7 @@ MARKS = frozenset(
 #: Words before which a class word says nothing of the element itself, and words that only name a part of what a class word names.
 DENIALS = frozenset(["no", "not", "non", "without", "has", "have", "with", "hide", "show", "is", "are", "free"])
 PARTS = frozenset(
-    ["container", "wrapper", "wrap", "box", "inner", "outer", "list", "lists", "item", "items", "block", "blocks", "area", "areas", "bar", "section", "top", "bottom", "left", "right", "primary", "secondary", "links", "link", "buttons", "button", "slot", "unit", "panel", "group", "holder", "region", "module", "row", "col", "column", "columns", "post", "posts", "article", "articles", "stories", "story", "icons", "icon", "social", "media", "text", "title", "body", "header", "heading", "message", "warning", "info", "success", "error", "image", "img", "trail", "nav", "menu", "widget", "main", "content", "sticky", "fixed", "desktop", "mobile", "small", "large", "global", "site", "page"]
+    ["container", "wrapper", "wrap", "box", "inner", "outer", "list", "lists", "item", "items", "block", "blocks", "area", "areas", "bar", "section", "top", "bottom", "left", "right", "primary", "secondary", "links", "link", "buttons", "button", "slot", "unit", "panel", "group", "holder", "region", "module", "row", "col", "column", "columns", "post", "posts", "article", "articles", "stories", "story", "icons", "icon", "social", "media", "text", "title", "body", "header", "heading", "message", "warning", "info", "success", "error", "image", "img", "trail", "nav", "menu", "widget", "form", "tab", "tabs", "toggle", "strip", "cta", "main", "content", "sticky", "fixed", "desktop", "mobile", "small", "large", "global", "site", "page"]
 )
 #: Headings of lists of sources, which are part of an article though all of them may be links.
 SOURCES = frozenset(
@@ -90,10 +90,12 @@ def _unwanted(tag: str, attributes: dict[str, str]) -> bool:
 
 
 def _marked(name: str) -> bool:
-    """Whether one class or id names what is not the article: its last word does, or its first one with words for parts after it."""
+    """Whether one class or id names what is not the article: its last word does, words for parts aside, or its first one with such words after it."""
     said = [w.lower() for w in WORDS.findall(name) if len(w) > 1 and not w.isdigit()]
     if not said or said[0] in DENIALS or said[-1] in DENIALS:
         return False
+    while said[-1] in PARTS and said[-1] not in MARKS and len(said) > 1:
+        said.pop()
     return said[-1] in MARKS or said[0] in MARKS and all(w in PARTS or w in MARKS for w in said[1:])
 
 

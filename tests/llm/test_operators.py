@@ -260,6 +260,12 @@ PAGES = [
 ]
 
 
+def test_class_words():
+    away = ["sidebar", "left-sidebar", "post-comments-wrapper", "site-nav-container", "commentList", "footer-links", "ad", "adSlot2", "advertisement_300x250", "cookie-banner", "related-posts", "share-buttons", "newsletter-signup-form", "notice--warning", "breadcrumb-trail"]
+    stays = ["has-sidebar", "no-sidebar", "with-comments", "ad-free", "share-of-wind-power", "comments-analysis", "story", "entry-content", "main", "page-wrapper", "shareholder-letter", "radio", "navigator-7", "", "--", "a"]
+    assert [n for n in away if not html_text._marked(n)] == [] and [n for n in stays if html_text._marked(n)] == []
+
+
 @pytest.mark.parametrize("html,blocks", PAGES)
 def test_main_text(html, blocks):
     assert html_text.main_text(html) == "\n\n".join(blocks)
