@@ -34,10 +34,10 @@ def comment_rows(pages: DataFrame, json_col: str = "payload", key: str = "bvid",
 def item_rows(pages: DataFrame, json_col: str = "payload", keep: Sequence[str] = (), paths: Sequence[str] = NESTED_ITEMS, most: int | None = None) -> DataFrame:
     """Kept columns, pos and the JSON text of each item of the first list that is there and not empty; the first `most` items of a page, all if None."""
     parsed = F.try_parse_json(json_col)
-    lists = [F.try_variant_get(F.col("page"), p, "array<variant>") for p in paths]
+    lists = [F.try_variant_get(F.col("_parsed"), p, "array<variant>") for p in paths]
     chosen = F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
     items = F.transform(chosen, lambda v: F.to_json(v))
-    each = pages.select(*keep, parsed.alias("page")).select(*keep, F.posexplode(items if most is None else F.slice(items, 1, most)).alias("pos", "item"))
+    each = pages.select(*keep, parsed.alias("_parsed")).select(*keep, F.posexplode(items if most is None else F.slice(items, 1, most)).alias("pos", "item"))
     return each.filter("item IS NOT NULL")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import times, urls
-from skein.operators import pages, payloads, reviews
+from skein.operators import fetching, pages, payloads, reviews
 
 SITE = "https://www.example.org"
 
@@ -135,3 +135,56 @@ def test_items_videos_and_keywords(spark):
     with pytest.raises(ValueError):
         pages.union_keywords([])
     assert column(spark, lambda c: urls.is_search_response(c, "h.com"), "https://www.H.com/api/SNS/web/v1/x", "https://h.com/about", "https://o.com/search", None) == [True, False, False, None]
+
+
+def test_pages_are_fetched_until_an_empty_one(spark):
+    def client():
+        seen = {}
+
+        def ask(item, page):
+            seen[item, page] = seen.get((item, page), 0) + 1
+            if item == "flaky" and page == 1 and seen[item, page] < 3:
+                raise OSError("Rate limit")
+            if item == "broken" and page == 2:
+                raise ValueError("no such page")
+            last = {"a": 2, "flaky": 1, "broken": 9, "none": 0}[item]
+            return json.dumps({"model": {"comments": [{"n": page}] if page <= last else []}})
+
+        return ask
+
+    items = spark.createDataFrame([("a",), ("a",), ("flaky",), ("broken",), ("none",), (None,)], "item_id string")
+    got = fetching.fetch_pages(items, client, most=5, wait=0).orderBy("item_id", "page").collect()
+    assert [(r.item_id, r.page, r.error_message) for r in got] == [("a", 1, None), ("a", 2, None), ("broken", 1, None), ("broken", 2, "ValueError: no such page"), ("flaky", 1, None)]
+    rows = pages.item_rows(spark.createDataFrame(got), keep=("item_id", "page"), paths=fetching.NESTED_COMMENTS).orderBy("item_id", "page").collect()
+    assert [(r.item_id, r.item) for r in rows] == [("a", '{"n":1}'), ("a", '{"n":2}'), ("broken", '{"n":1}'), ("flaky", '{"n":1}')]
+    assert column(spark, fetching.is_retryable, "Timeout 30000ms", "net::ERR", "other", None) == [True, True, False, False]
+
+
+def test_images_are_saved_under_their_notes(spark, tmp_path):
+    schema = "note_id string, keyword string, title_text string, image_urls array<string>, downloaded_image_paths array<string>"
+    notes = spark.createDataFrame([("n/1", "#city", "t", ["http://h/a.png", "http://h/gone", "http://h/c"], []), ("", None, "title", ["http://h/d"], None), ("n3", "", "t", [], ["old"])], schema)
+    targets = fetching.image_targets(notes, "/base/", 3)
+    assert sorted(r.stem for r in targets.collect()) == ["/base/city/n_1/image_01", "/base/city/n_1/image_02", "/base/city/n_1/image_03", "/base/keyword/title/image_01"]
+    root = str(tmp_path)
+
+    def fetch():
+        def get(url):
+            if "gone" in url:
+                raise OSError("404")
+            return url.encode(), "image/webp; q=1" if url.endswith("/c") else None
+
+        return get
+
+    def save():
+        import os
+
+        def put(path, content):
+            os.makedirs(os.path.dirname(root + path), exist_ok=True)
+            with open(root + path, "wb") as f:
+                f.write(content)
+
+        return put
+
+    done = fetching.downloaded_paths(notes, fetching.download_images(targets, fetch, save, wait=0))
+    assert {r.note_id: r.downloaded_image_paths for r in done.collect()} == {"n/1": ["/base/city/n_1/image_01.png", "/base/city/n_1/image_03.webp"], "": ["/base/keyword/title/image_01.jpg"], "n3": []}
+    assert (tmp_path / "base/city/n_1/image_03.webp").read_bytes() == b"http://h/c"
