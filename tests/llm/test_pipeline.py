@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -56,3 +57,18 @@ def test_empty_and_registered(spark, sf):
     assert docs.count() == 0
     names = entry.queries()
     assert "pipeline" in names and [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+
+
+def test_stages_on_odd_rows(spark, sf):
+    """Nulls in every column, empty and long texts, repeated rows and ids, and columns named like those that stages make."""
+    real = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    long = " ".join(f"word{i % 977} and" for i in range(20_000))
+    rows = [(None, None, None, None, None), (900, None, "en", "a", 0), (901, "", None, None, None), (902, " \t", "fr", "b", 2), (None, "no id here at all, but some words", None, None, 3), (903, long, "en", "a", 9), (904, "two words", "en", "b", 9), (904, "two words", "en", "b", 9), (904, "quite another text under the same id", None, "b", 9), (-1, "a text of the least id that is legal", "en", "é", 1)]
+    docs = real.unionByName(spark.createDataFrame(rows, real.schema))
+    for name in ("size", "source_key", "turn", "bucket", "tie", "row", "position", "score", "lang_pred", "near_key_0", "sketch", "id", "key", "passes", "rank", "words", "items", "hit_spans"):
+        docs = docs.withColumn(name, F.lit("x"))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = storage.staged(stage(spark, docs, sf), name)
+        assert name == "token_records" or docs.columns == columns
+        assert docs.count() > 30
