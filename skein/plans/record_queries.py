@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skein.functions import times, urls
 from skein.functions.lexicon import LATIN
 from skein.functions.text import first_present
-from skein.operators import labels, pages, payloads, reviews
+from skein.operators import images, labels, pages, payloads, reviews
 from skein.plans import text_analysis
 from skein.sources import readers
 from skein.sources.stage import spread
@@ -204,6 +204,62 @@ TIMESTAMPS_SQL = """
 SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN CAST(event_id AS VARCHAR) WHEN 2 THEN 'soon' ELSE '-' END AS at, CASE event_id % 3 WHEN 0 THEN '' WHEN 2 THEN event_type ELSE '' END AS kind FROM events
 """
 
+# --- pictures ---------------------------------------------------------------------------------------------------------
+
+
+def media_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types by file name, and suffixes by address, else by the type that a response names."""
+    k = F.col("page_id")
+    said = F.when(k % 3 == 0, " image/png; q=1").when(k % 3 == 1, "image/webp").otherwise("text/html")
+    name = F.concat(F.lit("/d.x/f"), k, F.element_at(F.array(*[F.lit(e) for e in (".png", ".JPEG", ".gif", ".bmp", ".webp", ".txt", "")]), (k % 7 + 1).cast("int")))
+    return table(spark, sf_dir, "pages").select("page_id", urls.mime_type(name).alias("by_name"), urls.infer_extension(F.concat("url", F.when(k % 5 == 0, "/P.HEIC?w=1").otherwise("")), said).alias("suffix"))
+
+
+MEDIA_SQL = """
+WITH p AS (SELECT page_id AS k, url || CASE WHEN page_id % 5 = 0 THEN '/P.HEIC?w=1' ELSE '' END AS u, CASE page_id % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.webp' ELSE '.jpg' END AS said FROM pages)
+SELECT k AS page_id, ['image/png', 'image/jpeg', 'image/gif', 'image/bmp', 'image/webp', 'image/jpeg', 'image/jpeg'][CAST(k % 7 AS INTEGER) + 1] AS by_name,
+       CASE WHEN contains(lower(u), '.jpg') THEN '.jpg' WHEN contains(lower(u), '.jpeg') THEN '.jpeg' WHEN contains(lower(u), '.png') THEN '.png' WHEN contains(lower(u), '.webp') THEN '.webp' WHEN contains(lower(u), '.heic') THEN '.heic' WHEN contains(lower(u), '.gif') THEN '.gif' ELSE said END AS suffix
+FROM p
+"""
+
+
+def person_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons of pictures by a detector's boxes, made of orders' lines; every fifth picture has no detector."""
+    li = table(spark, sf_dir, "lineitem")
+    x, side = F.col("l_linenumber") * 10.0, F.col("l_quantity")
+    box = F.struct(x.alias("x1"), F.lit(0.0).alias("y1"), (x + side - 3).alias("x2"), side.alias("y2"), (F.col("l_discount") * 5).alias("confidence"))
+    each = li.groupBy("l_orderkey").agg(F.collect_list(box).alias("boxes"))
+    found = each.select("l_orderkey", images.person_metrics(F.when(F.col("l_orderkey") % 5 != 0, F.col("boxes")), F.lit(4000)).alias("p"))
+    return found.select("l_orderkey", "p.person_count", *[F.round(f"p.{c}", 6).alias(c) for c in images.METRICS[5:]])
+
+
+PERSON_SQL = """
+WITH b AS (SELECT l_orderkey, l_discount * 5 AS c, greatest(0, l_quantity - 3) * greatest(0, l_quantity) / 4000 AS area FROM lineitem),
+p AS (SELECT l_orderkey, count(*) FILTER (c >= 0.25::DOUBLE) AS n, sum(area) FILTER (c >= 0.25::DOUBLE) AS total, max(area) FILTER (c >= 0.25::DOUBLE) AS top, max(c) FILTER (c >= 0.25::DOUBLE) AS conf FROM b GROUP BY 1)
+SELECT l_orderkey, CAST(CASE WHEN l_orderkey % 5 = 0 THEN -1 ELSE n END AS INTEGER) AS person_count, round(CASE WHEN l_orderkey % 5 = 0 THEN -1 ELSE least(1, coalesce(total, 0)) END, 6) AS total_person,
+       round(CASE WHEN l_orderkey % 5 = 0 THEN -1 ELSE least(1, coalesce(top, 0)) END, 6) AS max_person, round(CASE WHEN l_orderkey % 5 = 0 THEN -1 ELSE coalesce(conf, 0) END, 6) AS max_conf
+FROM p
+"""
+
+
+def base64_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(images.base64_text(F.col("html").cast("binary"))).alias("md5"))
+
+
+def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first usable detail in payloads made of documents."""
+    d, k = table(spark, sf_dir, "documents"), F.col("doc_id")
+    detail = F.struct(F.when(k % 3 != 0, F.col("source")).alias("desc"), F.when(k % 4 == 0, k * 10).alias("time"), F.array(F.struct(F.concat(F.lit("//img.example/d"), k, F.when(k % 2 == 0, ".jpg").otherwise("_avatar.jpg")).alias("url"))).alias("image_list"))
+    payload = F.to_json(F.struct(F.struct(k.alias("x")).alias("a"), detail.alias("detail"), F.struct(F.lit("later").alias("title")).alias("z")))
+    walked = payloads.deep_walk(d.select("doc_id", payload.alias("payload")), keep=("doc_id",))
+    return payloads.first_detail(walked, SITE, ("doc_id",)).select("doc_id", "raw_text", F.concat_ws(",", "image_urls").alias("images"), F.coalesce("publish_timestamp", F.lit("-")).alias("at"))
+
+
+DETAIL_SQL = """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN coalesce(trim(source), '') ELSE '' END AS t, CASE WHEN doc_id % 2 = 0 THEN 'https://img.example/d' || doc_id || '.jpg' ELSE '' END AS i, CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id * 10 AS VARCHAR) END AS said FROM documents)
+SELECT doc_id, CASE WHEN t <> '' OR i <> '' OR said IS NOT NULL THEN t ELSE 'later' END AS raw_text, i AS images, coalesce(said, '-') AS at FROM d
+"""
+
 # --- runs -------------------------------------------------------------------------------------------------------------
 
 
@@ -255,7 +311,7 @@ def analysis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         comment_pages, item_pages, unique_videos, note_addresses, merged_notes, filled_results, looked_up_pages, completeness, detail_wanted, master_records, timestamps, annotation_log, video_summary,
-        analysis_features, analysis_report, note_records,
+        analysis_features, analysis_report, note_records, media_types, person_boxes, base64_texts, detail_fields,
     )
     return {f.__name__: f for f in found}
 
@@ -268,6 +324,10 @@ ORACLE: dict[str, str] = {
     "merged_notes": MERGED_SQL,
     "filled_results": FILLED_SQL,
     "looked_up_pages": LOOKED_UP_SQL,
+    "media_types": MEDIA_SQL,
+    "person_boxes": PERSON_SQL,
+    "base64_texts": "SELECT page_id, md5(base64(encode(html))) AS md5 FROM pages",
+    "detail_fields": DETAIL_SQL,
     "note_records": RECORDS_SQL,
     "completeness": "SELECT count(*) AS complete FROM documents WHERE doc_id % 3 <> 0 AND coalesce(lang, '') <> '' AND doc_id % 4 = 0",
     "detail_wanted": "SELECT CAST(doc_id AS VARCHAR) AS note_id FROM documents WHERE doc_id % 7 = 0 AND doc_id % 5 = 0",
