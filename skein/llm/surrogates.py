@@ -58,7 +58,7 @@ PATTERN = regex.compile(
       | (?<!\w)(?i:{SECRET_CUES})["']?\s*[:=]\s*["']?(?P<value>[^\s"',;]{{6,}})
       | (?<!\w)(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}})(?!\w))
   | (?P<ipv6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}} | (?=:{{0,2}}[0-9A-Fa-f])(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{0,6}})?::(?:[0-9A-Fa-f]{{1,4}}(?::[0-9A-Fa-f]{{1,4}}){{0,6}})?)(?![\w:]))
-  | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
+  | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d))
   | (?P<iban>(?<!\w)[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{3,7}}(?:[ ]?[A-Z0-9]{{1,3}})?(?!\w))
   | (?P<card>(?<![\w.-])(?:\d[ -]?){{12,18}}\d(?![\w-]|\.\d))
   | (?P<ssn>(?<![\w.-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
@@ -298,7 +298,10 @@ class Surrogates:
         head = m[0] if m else ""
         body = text[len(head) :]
         shape = "h" * len(body) if regex.fullmatch(r"[0-9a-f]+", body) else "H" * len(body) if regex.fullmatch(r"[0-9A-F]+", body) else self.shape(body)
-        return head + self._spell("secret" + head, body, shape)
+        new = self._spell("secret" + head, body, shape)
+        if new == body:  # nothing in it can change
+            new = hmac.new(self.cycle.key, f"secret|{body}".encode(), hashlib.sha256).hexdigest()[: max(8, len(body))]
+        return head + new
 
     def given(self, name: str, gender: str = "") -> str:
         """Another name of the list, or a spelled one that ends as its gender has it. The case of a name in capitals stays."""

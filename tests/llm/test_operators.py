@@ -668,6 +668,20 @@ def test_names_keep_script_case_and_gender():
     assert by["Ελένη"] in surrogates.GIVEN[("greek", "f")] and all(0x370 <= ord(c) < 0x400 for c in by["Παππά"])
 
 
+def test_what_cannot_change_is_replaced_and_collisions_are_told(spark, tmp_path, monkeypatch):
+    made = surrogates.Surrogates(b"k")
+    text, found = made.rewrite('password="!!??!!$" and 10.0.0.1 or 10.0.0.01')
+    assert "!!??!!$" not in text and [(t, e) for t, e, _ in found] == [("secret", "!!??!!$"), ("ipv4", "10.0.0.1")] and all(e != s for _, e, s in found)
+    rows = [(1, "Mail a@x.example.com now"), (2, "Mail b@x.example.com now"), (3, "nothing")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_entities, r.n_collisions) for r in queries.op7_surrogates(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, 0), 2: (1, 0), 3: (0, 0)}
+    real = surrogates.replace_entities
+    monkeypatch.setattr(surrogates, "replace_entities", lambda docs, key: real(docs, key).withColumn("entities", F.transform("entities", lambda e: F.struct(e["type"].alias("type"), e["entity"].alias("entity"), F.lit("same").alias("surrogate")))))
+    got = {r.doc_id: (r.n_entities, r.n_collisions) for r in queries.op7_surrogates(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 0)}
+
+
 def test_surnames_of_any_length_are_distinct():
     made, rng = surrogates.Surrogates(b"k"), random.Random(3)
     letters = "abcdefghijklmnopqrstuvwxyzäöüéèñç'-"
