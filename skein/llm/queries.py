@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, license_scan, storage, substring_dedup, surrogates, token_records, weighted_fingerprints
+from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, license_scan, line_dedup, storage, substring_dedup, surrogates, token_records, transaction_log, weighted_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -174,6 +174,41 @@ FROM docs LEFT JOIN kept USING (r)
 """
 
 
+def op11_transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed, key = F.crc32(F.col("doc_id").cast("string")), F.floor(F.col("h") / 100) % 300
+    kind = F.expr("CASE WHEN h % 23 < 2 THEN 'commit' WHEN h % 23 = 2 THEN 'abort' WHEN h % 23 < 5 THEN 'savepoint' WHEN h % 23 < 7 THEN 'rollback' ELSE 'change' END")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text", hashed.alias("h")).withColumn("key", key)
+    # A value goes as its digest: whole texts are never shuffled.
+    records = docs.select("doc_id", "source", kind.alias("kind"), "key", F.crc32(F.concat_ws(":", F.col("key").cast("string"), F.when(kind == "change", F.col("text")))).alias("digest"), F.col("text").isNull().alias("empty"))
+    toxic = _table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct().withColumn("toxic", F.lit(True))
+    log = records.join(toxic, "doc_id", "left").withColumn("deleted", F.col("empty") | F.coalesce("toxic", F.lit(False)))
+    resolved = transaction_log.resolve(log, "doc_id", "source", "kind", "key", "digest", "deleted")
+    states = transaction_log.replay(resolved, per_epoch=4).select(F.lit("state").alias("kind"), F.col("epoch").alias("id"), F.col("n_keys").alias("n"), F.col("total").alias("value"))
+    undone = resolved.changes.filter("fate <> 'commit'").select(F.col("fate").alias("kind"), F.col("id"), F.col("by").alias("n"), F.col("key").alias("value"))
+    return states.union(undone)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(_table(spark, sf_dir, "documents"), documents=10, chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT r, generate_subscripts(l, 1) AS p, unnest(l) AS line FROM docs),
+keyed AS (
+  SELECT r, p, line, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+often AS (
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS text FROM keyed WHERE NOT EXISTS (SELECT 1 FROM often WHERE often.k = keyed.k) GROUP BY r)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_records": op1_token_records,
@@ -186,8 +221,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_transaction_log": op11_transaction_log,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_curriculum_mix": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_substring_dedup": OP10_SQL}
+    return {"op2_curriculum_mix": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_substring_dedup": OP10_SQL, "op13_line_dedup": OP13_SQL}
