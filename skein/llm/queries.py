@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, license_scan, line_dedup, storage, substring_dedup, surrogates, token_records, transaction_log, weighted_fingerprints
+from skein.llm import covering_dedup, curriculum, decontaminate, html_text, language_id, license_scan, line_dedup, negative_mining, storage, substring_dedup, surrogates, token_records, transaction_log, weighted_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -188,6 +188,29 @@ def op11_transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.union(undone)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negative_mining.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, least=(80, 100), scale=256)
+
+
+OP12_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY rank <= 5
+"""
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_common_lines(_table(spark, sf_dir, "documents"), documents=10, chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -222,9 +245,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_transaction_log": op11_transaction_log,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_curriculum_mix": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_substring_dedup": OP10_SQL, "op13_line_dedup": OP13_SQL}
+    return {"op2_curriculum_mix": OP2_SQL, "op8_decontaminate": OP8_SQL, "op10_substring_dedup": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_line_dedup": OP13_SQL}
