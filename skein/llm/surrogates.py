@@ -20,6 +20,7 @@ import hmac
 import ipaddress
 import math
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -71,6 +72,7 @@ NAME = regex.compile(_NAME)
 PHONE = regex.compile(_PHONE)
 #: Spans of years and dates, which look like numbers to call.
 NO_PHONE = regex.compile(r"\d{4}[ ./-]\d{4}|\d{4}[ ./-]\d{1,2}[ ./-]\d{1,2}|\d{1,2}[ ./-]\d{1,2}[ ./-]\d{4}")
+INTERNATIONAL = regex.compile(r"00[1-9]\d{0,2}[ ./(-]")
 #: Written as numbers to call are in North America, France, Britain and Germany.
 GROUPED = regex.compile(r"(?:1[ .-])?[2-9]\d{2}[.-]\d{3}[.-]\d{4}|0\d(?:[ .]\d{2}){4}|0\d{2,4} \d{3,4} \d{4}|0\d{4} \d{6}|0\d{2,4}[/-]\d{5,8}")
 CUE = regex.compile(rf"(?i)(?<!\w)(?:{CUES})[\w.]*(?:\W+\w+){{0,3}}?\W*$")
@@ -183,6 +185,29 @@ def _to_digits(x: int, radices: Sequence[int]) -> list[int]:
 _ALPHABETS = {"9": "0123456789", "a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef", "H": "0123456789ABCDEF", "α": "αβγδεζηθικλμνξοπρσςτυφχψω", "б": "абвгдежзиклмнопрстуфхцчшэюя", "Б": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
 
 
+#: Places of a number that are permuted together; longer values go in blocks.
+BLOCK_PLACES = 64
+#: Longest name that is numbered, and longest value that is remembered.
+LONGEST_NAME, LONGEST_KNOWN = 64, 256
+# Country calling codes of one and two digits; all others have three.
+SHORT_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+@functools.lru_cache(maxsize=4096)
+def _kin(c: str) -> str:
+    """The letters or digits that c may become, c among them: those of its 256 code points and of its kind, ASCII apart. Empty if c is neither."""
+    kind = unicodedata.category(c)
+    if kind[0] != "L" and kind != "Nd":
+        return ""
+    start = ord(c) & ~0xFF
+    return "".join(x for x in map(chr, range(start, start + 256)) if unicodedata.category(x) == kind and x.isascii() == c.isascii())
+
+
+def _alphabet(mark: str) -> str:
+    """The alphabet that a place of a shape names: one of _ALPHABETS, or the kin of a letter outside them."""
+    return _ALPHABETS.get(mark) or ("" if mark.isascii() else _kin(mark))
+
+
 _PLAIN = {"latin": "a", "cyrillic": "б", "greek": "α"}
 
 
@@ -209,8 +234,29 @@ class Surrogates:
         self.known: dict[tuple[str, str], str] = {}
 
     def _spell(self, kind: str, text: str, shape: str, fits: Callable[[str], bool] = lambda s: True) -> str:
-        """Changes the places of text whose shape names an alphabet, the others stay."""
-        spots = [(i, _ALPHABETS[s]) for i, s in enumerate(shape) if s in _ALPHABETS and text[i] in _ALPHABETS[s]]
+        """Changes the places of text whose shape names an alphabet, the others stay.
+
+        Over BLOCK_PLACES places are cut into blocks, each a domain of its own that depends on all before it: whoever has the key can read the blocks one
+        after another, so that different values stay different.
+        """
+        spots = [(i, a) for i, s in enumerate(shape) if (a := _alphabet(s)) and text[i] in a]
+        if not spots:
+            return text
+        places = {i for i, _ in spots}
+        fixed = "".join(s if i in places else c for i, (c, s) in enumerate(zip(text, shape, strict=True)))
+        if len(spots) <= BLOCK_PLACES:
+            return self._block(f"{kind}|{fixed}", text, spots, fits)
+        out, before = list(text), hashlib.sha256(f"{kind}|{fixed}".encode())
+        for k in range(0, len(spots), BLOCK_PLACES):
+            part = spots[k : k + BLOCK_PLACES]
+            plain = "".join(text[i] for i, _ in part)
+            whole = self._block(f"{kind}|{before.hexdigest()}", plain, [(i, a) for i, (_, a) in enumerate(part)], fits if not k else lambda s: True)
+            for (i, _), c in zip(part, whole, strict=True):
+                out[i] = c
+            before.update(plain.encode())
+        return "".join(out)
+
+    def _block(self, tweak: str, text: str, spots: Sequence[tuple[int, str]], fits: Callable[[str], bool]) -> str:
         radices = [len(a) for _, a in spots]
 
         def write(x: int) -> str:
@@ -219,17 +265,18 @@ class Surrogates:
                 out[i] = alphabet[d]
             return "".join(out)
 
-        if not spots:
-            return text
-        fixed = "".join(c if s not in _ALPHABETS or c not in _ALPHABETS[s] else s for c, s in zip(text, shape, strict=True))
         x = _to_number([a.index(text[i]) for i, a in spots], radices)
-        return write(self.cycle.walk(f"{kind}|{fixed}", math.prod(radices), x, lambda y: fits(write(y))))
+        return write(self.cycle.walk(tweak, math.prod(radices), x, lambda y: fits(write(y))))
 
     @staticmethod
     def shape(text: str) -> str:
         """The alphabet of each character, '.' for those that stay."""
         return "".join("9" if c in _ALPHABETS["9"] else "a" if c in _ALPHABETS["a"] else "A" if c in _ALPHABETS["A"] else "б" if c in _ALPHABETS["б"] else "Б" if c in _ALPHABETS["Б"] else "." for c in text)
 
+    def every_letter(self, text: str) -> str:
+        """A shape that lets no letter and no digit of any script stay, unless it has no kin."""
+        return "".join(s if s != "." or c.isascii() else kin[0] if len(kin := _kin(c)) > 1 else "." for c, s in zip(text, self.shape(text), strict=True))
+
     def _digits(self, kind: str, text: str, keep: int = 0, last: int = 0) -> str:
         """Changes the digits of text but for the first `keep` and the last `last`, whatever stands between them."""
         at = [i for i, c in enumerate(text) if c in _ALPHABETS["9"]]
@@ -244,11 +291,11 @@ class Surrogates:
     def email(self, text: str) -> str:
         low = text.lower()
         local, _, domain = low.rpartition("@")
-        new = self._spell("email", local, self.shape(local))
+        new = self._spell("email", local, self.every_letter(local))
         labels = domain.split(".")
         reserved = labels[-1] in ("example", "test", "invalid", "localhost") or labels[-2:-1] == ["example"]
         if not reserved:
-            head = self._spell("domain", ".".join(labels[:-1]), self.shape(".".join(labels[:-1])))
+            head = self._spell("domain", ".".join(labels[:-1]), self.every_letter(".".join(labels[:-1])))
             domain = f"{head}.{labels[-1]}.example"
         if new == local and reserved:  # nothing in it can change
             new = hmac.new(self.cycle.key, low.encode(), hashlib.sha256).hexdigest()[:16]
@@ -272,9 +319,12 @@ class Surrogates:
         return new[:at] + str(check) + new[at + 1 :]
 
     def phone(self, text: str) -> str:
-        """The country code stays; the last ten digits are one number however they are written."""
-        digits = sum(c.isdigit() for c in text)
-        code = len(m[1]) if (m := regex.match(r"\+(\d{1,3})", text)) else 0
+        """The country code stays, behind + or 00; the rest, or the last ten digits, are one number however they are written."""
+        inner = "".join(c for c in text if c in _ALPHABETS["9"])
+        digits, code = len(inner), 0
+        if text[0] == "+" or text[:2] == "00":
+            at = 0 if text[0] == "+" else 2
+            code = at + next((n for n in (1, 2) if inner[at : at + n] in SHORT_CODES), 3)
         return self._digits("phone", text, keep=min(max(code, digits - 10), digits - 4) if digits > 4 else 0)
 
     def ssn(self, text: str) -> str:
@@ -345,17 +395,20 @@ class Surrogates:
             return "".join(consonants[d // len(vowels)] + vowels[d % len(vowels)] for d in digits)
         spots = {c: k for k, c in enumerate(every)}
         all_vowels = marked + vowels
-        radices = [len(consonants) * len(all_vowels)] * (len(low) - 1)
-        if len(low) > 1 and all(c in spots for c in low):
+        size = min(len(low), LONGEST_NAME)
+        radices = [len(consonants) * len(all_vowels)] * (size - 1)
+        if 1 < len(low) <= LONGEST_NAME and all(c in spots for c in low):
             x = self.cycle.walk(f"{tweak}|{len(low)}", len(every) ** len(low), _to_number([spots[c] for c in low], [len(every)] * len(low)))
         else:
-            radices = radices + radices[:1] * (len(low) + 24)
+            radices = [len(consonants) * len(all_vowels)] * (2 * size + 23)
             digest = hmac.new(self.cycle.key, f"{tweak}|{low}".encode(), hashlib.sha256).digest()
             x = int.from_bytes(digest, "big") % (len(consonants) * len(marked) * math.prod(radices))
         head, *rest = _to_digits(x, [len(consonants) * len(marked), *radices])
         return consonants[head // len(marked)] + marked[head % len(marked)] + "".join(consonants[d // len(all_vowels)] + all_vowels[d % len(all_vowels)] for d in rest)
 
     def replace(self, kind: str, text: str) -> str:
+        if len(text) > LONGEST_KNOWN:
+            return getattr(self, kind)(text)
         at = (kind, text)
         if at not in self.known:
             if len(self.known) > 200_000:
@@ -425,7 +478,7 @@ def _is_phone(text: str, start: int, end: int) -> bool:
     said = text[start:end]
     if not 7 <= sum(c.isdigit() for c in said) <= 15 or NO_PHONE.fullmatch(said):
         return False
-    return said[0] in "+(" or "(" in said or bool(GROUPED.fullmatch(said)) or bool(CUE.search(text[max(0, start - 40) : start]))
+    return said[0] in "+(" or "(" in said or bool(INTERNATIONAL.match(said)) or bool(GROUPED.fullmatch(said)) or bool(CUE.search(text[max(0, start - 40) : start]))
 
 
 def _is_secret(text: str, m) -> bool:
