@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from skein.llm.storage import staged
 
 #: Records of a block of the log, on average; epochs of a block of the replay; summaries that one window combines.
-BLOCK_ROWS, EPOCHS, FAN_OUT = 100_000, 256, 1_000
+BLOCK_ROWS, EPOCHS, FAN_OUT = 100_000, 256, 256
 
 COMMIT, ABORT, SAVEPOINT, ROLLBACK, CHANGE = "commit", "abort", "savepoint", "rollback", "change"
 
