@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.llm.words import mix, span_hashes
+from skein.llm.words import byte_hashes
 
 #: Records a file holds at most, which bounds what a reader takes into memory.
 RECORDS_A_FILE = 20_000
@@ -162,7 +162,7 @@ class PieceEncoder:
             return [np.empty(0, np.uint32) for _ in texts]
         starts = self._starts(points, rows)
         ends = np.append(starts[1:], len(points))
-        keys = span_hashes(mix(points.astype(np.uint64) + np.uint64(1)), starts, ends)
+        keys = byte_hashes(np.frombuffer(raw, np.uint8), 4 * starts, 4 * ends)
         distinct, sample, of = np.unique(keys, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, distinct)
         new = at == len(self.keys)

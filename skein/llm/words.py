@@ -22,10 +22,13 @@ SPACED = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 ALNUM = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | ((_BYTES >= 0x41) & (_BYTES <= 0x5A)) | (_BYTES >= 0x80)
 LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).astype(np.uint8)
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_TABLE = np.random.default_rng(20240517).integers(0, 1 << 64, 256, dtype=np.uint64)
+_PRIME = np.uint64((1 << 61) - 1)
+_BASE = 0x1E3779B97F4A7C15 % int(_PRIME)
+_BASE_INVERSE = pow(_BASE, -1, int(_PRIME))
+#: Powers of the base and of its inverse, modulo the prime.
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: The lowest k bytes of 8.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,32 +40,84 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes data[start:end] for all spans: 8 bytes a step, every step mixed, all spans at once."""
+    left = ends - starts
+    h = mix(left.astype(np.uint64) + np.uint64(0xA0761D6478BD642F))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    live, at = np.flatnonzero(left > 0), starts
+    left = left[live]
+    at = at[live]
+    while len(live):
+        x = h[live] ^ (eights[at] & _LOW[np.minimum(left, 8)])
+        x = x * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        h[live] = x ^ (x >> np.uint64(29))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    return mix(h)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, of numbers below it: halves of 31 and 30 bits."""
+    low, half = np.uint64((1 << 31) - 1), np.uint64(31)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = a0 * b1 + a1 * b0
+    return _modulo(np.uint64(2) * (a1 * b1) + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << half) + a0 * b0)
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    x = (x >> np.uint64(61)) + (x & _PRIME)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         size = 1 << (n - 1).bit_length()
         for i, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.multiply.accumulate(steps)
+            powers, step = np.ones(1, np.uint64), base
+            while len(powers) < size:
+                powers = np.concatenate([powers, _times(powers, np.full(len(powers), step, np.uint64))])
+                step = step * step % int(_PRIME)
+            _POWERS[i] = powers
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end] for all spans: differences of one running polynomial, shifted to a common origin."""
+    """64-bit hashes of values[start:end] for all spans: differences of one running polynomial modulo 2^61 - 1, shifted to a common origin.
+
+    A prime, as modulo a power of two there are sequences that collide whatever the base.
+    """
     up, down = _powers(len(values) + 1)
-    running = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=running[1:])
-    raw = (running[ends] - running[starts]) * down[starts]
+    terms = _times(_modulo(values), up[:-1])
+    running = np.zeros((2, len(values) + 1), np.uint64)
+    np.cumsum(terms & np.uint64((1 << 31) - 1), out=running[0, 1:])
+    np.cumsum(terms >> np.uint64(31), out=running[1, 1:])
+    total = _modulo(_times(_modulo(running[1]), np.full(len(values) + 1, 1 << 31, np.uint64)) + _modulo(running[0]))
+    raw = _times(_modulo(total[ends] + (_PRIME - total[starts])), down[starts])
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k consecutive values; shorter input gives none."""
-    n = len(hashes) - k + 1
-    if n <= 0:
+    """Hashes of all runs of k consecutive values; shorter input gives none. Runs of powers of two are put together from halves."""
+    if len(hashes) < k or k < 1:
         return np.empty(0, np.uint64)
-    at = np.arange(n)
-    return span_hashes(hashes, at, at + k)
+
+    def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a * np.uint64(0xD6E8FEB86659FD93) + (b ^ np.uint64(0xA0761D6478BD642F))
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        return x ^ (x >> np.uint64(32))
+
+    done, size, power, width = None, 0, hashes, 1
+    while width <= k:
+        if k & width:
+            n = len(hashes) - size - width + 1
+            done, size = (power[:n] if done is None else pair(done[:n], power[size : size + n])), size + width
+        if 2 * width <= k:
+            power = pair(power[:-width], power[width:])
+        width *= 2
+    return mix(done + np.uint64(k))
 
 
 @dataclass
@@ -80,7 +135,7 @@ class Block:
         return len(self.offsets) - 1
 
     def hashes(self) -> np.ndarray:
-        return span_hashes(_TABLE[self.data], self.starts, self.ends)
+        return byte_hashes(self.data, self.starts, self.ends)
 
     def doc_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), np.diff(self.first))
