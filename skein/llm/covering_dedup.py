@@ -353,30 +353,65 @@ def banded_links(items: DataFrame, most: int, bucket_rows: int = BUCKET_ROWS) ->
 
 
 def _set_forest(ids: np.ndarray, values: np.ndarray, first: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    """Links that connect all rows which a Jaccard similarity of at least that much connects; row i's set is values[first[i]:first[i + 1]], sorted."""
-    sizes = np.diff(first)
-    rest, queue = np.arange(1, len(ids)), [0]
-    while len(rest):
-        if not queue:
-            queue, rest = [int(rest[0])], rest[1:]
+    """Links that connect all rows which a Jaccard similarity of at least that much connects; row i's set is values[first[i]:first[i + 1]].
+
+    Breadth first, over an index of the sets' rarest values: of two similar sets the larger has a common value among its rarest `probe` ones that is among
+    the smaller one's rarest `index` ones. So sets that merely share frequent values, as filled-in templates do, never meet. A row leaves the
+    lists of the index when it is found.
+    """
+    sizes, base = np.diff(first), first - first[0]
+    n = len(sizes)
+    empty = np.flatnonzero(sizes == 0)
+    yield from ((int(ids[empty[0]]), int(ids[k])) for k in empty[1:])
+    of = np.repeat(np.arange(n), sizes)
+    _, value, count = np.unique(values[first[0] : first[-1]], return_inverse=True, return_counts=True)
+    rarity = np.argsort(np.argsort(count, kind="stable"), kind="stable")
+    count = np.sort(count, kind="stable")  # by rarity
+    value = rarity[value]
+    value = value[np.lexsort((value, of))]
+    place = np.arange(len(value)) - base[of]
+    probe = (sizes - np.ceil(similarity * sizes - SLACK) + 1).astype(np.int64)
+    index = (sizes - np.ceil(2 * similarity / (1 + similarity) * sizes - SLACK) + 1).astype(np.int64)
+    lists: list[dict[int, np.ndarray]] = []
+    for prefix in (probe, index):
+        some = (place < prefix[of]) & (count[value] > 1)
+        by = np.argsort(value[some], kind="stable")
+        key, row = value[some][by], of[some][by]
+        edges = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        lists.append(dict(zip(key[edges].tolist(), np.split(row, edges[1:]), strict=False)))
+    left = np.ones(n, bool)
+    left[empty] = False
+
+    def sharing(held: dict[int, np.ndarray], wanted: np.ndarray) -> list[np.ndarray]:
+        found = []
+        for v in wanted.tolist():
+            if (rows := held.get(v)) is not None:
+                held[v] = rows = rows[left[rows]]
+                found.append(rows)
+        return found
+
+    for start in np.flatnonzero(sizes):
+        if not left[start]:
             continue
-        at = queue.pop()
-        own = values[first[at] : first[at + 1]]
-        # Sets of too different sizes can't be that similar.
-        fits = np.minimum(sizes[rest], len(own)) >= similarity * np.maximum(sizes[rest], len(own)) - SLACK
-        near = np.zeros(len(rest), bool)
-        for k in np.flatnonzero(fits).tolist():
-            other = values[first[rest[k]] : first[rest[k] + 1]]
-            if len(own) and len(other):
-                spot = np.minimum(np.searchsorted(own, other), len(own) - 1)
-                common = int((own[spot] == other).sum())
-                near[k] = common >= similarity * (len(own) + len(other) - common) - SLACK
-            else:
-                near[k] = len(own) == len(other)
-        for found in rest[near].tolist():
-            yield int(ids[at]), int(ids[found])
-            queue.append(found)
-        rest = rest[~near]
+        left[start] = False
+        queue = [int(start)]
+        while queue:
+            at = queue.pop()
+            own = value[base[at] : base[at + 1]]
+            met = sharing(lists[1], own[: probe[at]]) + sharing(lists[0], own[: index[at]])
+            others = np.unique(np.concatenate(met)) if met else np.empty(0, np.int64)
+            # Sets of too different sizes can't be that similar.
+            others = others[np.minimum(sizes[others], len(own)) >= similarity * np.maximum(sizes[others], len(own)) - SLACK]
+            if not len(others):
+                continue
+            ends = np.cumsum(sizes[others])
+            all_values = value[np.arange(ends[-1]) + np.repeat(base[others] - ends + sizes[others], sizes[others])]
+            same = own[np.minimum(np.searchsorted(own, all_values), len(own) - 1)] == all_values
+            common = np.add.reduceat(same.astype(np.int64), ends - sizes[others])
+            for other in others[common >= similarity * (len(own) + sizes[others] - common) - SLACK].tolist():
+                yield int(ids[at]), int(ids[other])
+                left[other] = False
+                queue.append(other)
 
 
 def _search_sets(similarity: float):
