@@ -8,6 +8,7 @@ need a score above a threshold that follows the page's own spread.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,10 +26,10 @@ BLOCK = frozenset(
     ["html", "body", "article", "main", "section", "div", "header", "footer", "nav", "aside", "form", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "address", "fieldset", "details", "summary", "dialog", "menu", "center", "hgroup", "search"]
 )
 CONTAINER = frozenset(["html", "body", "article", "main", "section", "div", "header", "footer", "nav", "aside", "form", "table", "tbody", "tr", "td", "ul", "ol", "dl", "fieldset", "details", "center", "figure"])
-NEVER = frozenset(["head", "script", "style", "noscript", "template", "textarea", "title", "iframe", "nav", "header", "footer", "aside", "form", "button", "select", "option", "optgroup", "datalist", "label", "legend", "input", "svg", "canvas", "object", "embed", "audio", "video", "map", "dialog", "menu", "search", "math", "progress", "meter"])
+NEVER = frozenset(["head", "script", "style", "noscript", "template", "textarea", "title", "iframe", "nav", "header", "footer", "aside", "form", "button", "select", "option", "optgroup", "datalist", "input", "svg", "canvas", "embed", "audio", "video", "dialog", "menu", "search"])
 ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar", "tablist", "status"])
 MARKS = frozenset(
-    ["nav", "navbar", "navigation", "menu", "submenu", "sidebar", "aside", "footer", "header", "masthead", "topbar", "toolbar", "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "promotion", "promoted", "sponsor", "sponsored", "cookie", "cookies", "consent", "gdpr", "notice", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "register", "share", "sharing", "social", "comment", "comments", "commentlist", "disqus", "respond", "discussion", "replies", "breadcrumb", "breadcrumbs", "related", "recommended", "recommendations", "pagination", "pager", "widget", "search", "skip", "copyright", "hidden"]
+    ["nav", "navbar", "navigation", "menu", "submenu", "sidebar", "aside", "footer", "header", "masthead", "topbar", "toolbar", "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "promo", "promotion", "promoted", "sponsor", "sponsored", "cookie", "cookies", "consent", "gdpr", "notice", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "register", "share", "sharing", "social", "comment", "comments", "commentlist", "disqus", "respond", "discussion", "replies", "reply", "thread", "opinions", "feedback", "breadcrumb", "breadcrumbs", "related", "recommended", "recommendations", "pagination", "pager", "widget", "search", "skip", "copyright", "hidden"]
 )
 #: Words before which a class word says nothing of the element itself, and words that only name a part of what a class word names.
 DENIALS = frozenset(["no", "not", "non", "without", "has", "have", "with", "hide", "show", "is", "are", "free"])
@@ -45,7 +46,10 @@ STOP_AT = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table
 DEEPEST = 200
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+NAME = re.compile(r"</?[a-zA-Z][^\s/>]*")
+STOPS = re.compile(r"[>\"']")
+#: Quoted values of one tag that are passed over, and tags with an odd quote after which quotes count no more on a page.
+MOST_QUOTED, MOST_ODD = 200, 50
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -104,14 +108,56 @@ def _named(tag: str, attributes: dict[str, str]) -> bool:
     return tag not in ("html", "body", "main") and any(_marked(n) for n in (*attributes.get("class", "").split(), *attributes.get("id", "").split()))
 
 
+class Scanner:
+    """The tags of a page one after another. It only goes forward: what it has passed, but for a few odd quotes, isn't read again."""
+
+    def __init__(self, html: str):
+        self.html, self.last, self.odd = html, html.rfind(">"), 0
+
+    def _end(self, at: int) -> int:
+        """Where a tag ends whose name ends at `at`: at the next > outside quotes, or at the next > where quotes don't close."""
+        k, n = at, 0
+        while self.odd < MOST_ODD and n < MOST_QUOTED and (m := STOPS.search(self.html, k)):
+            if m[0] == ">":
+                return m.start()
+            k, n = self.html.find(m[0], m.end()) + 1, n + 1
+            if not k:
+                break
+        self.odd += self.odd < MOST_ODD
+        return self.html.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start and end of the next tag or declaration from `at` on, its name (with / if it closes; ! for a comment), what stands in it, and what is text of it."""
+        html = self.html
+        while (at := html.find("<", at)) >= 0:
+            for mark, close in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if html.startswith(mark, at):
+                    end = html.find(close, at + len(mark))
+                    return at, len(html) if end < 0 else end + 3, "!", "", html[at + 9 : len(html) if end < 0 else end] if close == "]]>" else ""
+            if at > self.last:  # no tag ends any more
+                at += 1
+                continue
+            if html[at + 1 : at + 2] in ("!", "?"):
+                return at, html.index(">", at) + 1, "!", "", ""
+            if m := NAME.match(html, at):
+                end = self._end(m.end())
+                return at, end + 1, m[0][1:].lower(), html[m.end() : end], ""
+            at += 1
+        return None
+
+
 def runs(html: str) -> list[Run]:
-    """The page's text by blocks, in order, with what stands around each."""
+    """The page's text by blocks, in order, with what stands around each. Every step costs the same, however deep a page is nested or how broken it is."""
     root = Element("", "", "")
     stack, found, at, end = [root], [], 0, len(html)
+    opened: dict[str, list[int]] = {}  # stack positions by tag
+    blocks = [0]  # stack positions of blocks
+    unclosed: set[str] = set()
     links = 0
+    scanner = Scanner(html)
 
     def start_run() -> None:
-        top = next((e for e in reversed(stack) if e.tag in BLOCK or not e.tag), root)
+        top = stack[blocks[-1]]
         found.append(Run(top.path, top.container, stack[-1].inside))
 
     def text(raw: str) -> None:
@@ -136,55 +182,46 @@ def runs(html: str) -> list[Run]:
         for e in stack[k:]:
             e.shut = True
             links -= e.tag == "a"
-            border |= e.tag in BLOCK
+            opened[e.tag].pop()
+            if e.tag in BLOCK:
+                blocks.pop()
+                border = True
         del stack[k:]
         if border:
             start_run()
 
+    def deepest(tags) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     while at < end:
-        m = TAG.search(html, at)
+        m = scanner.next(at)
         if not m:
             text(html[at:])
             break
-        text(html[at : m.start()])
-        at = m.end()
-        slash, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])  # the latter where quotes don't close
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:].removesuffix("]]>"))
+        text(html[at : m[0]])
+        at, tag, rest = m[1:4]
+        if tag == "!":
+            text(m[4])
             continue
-        tag = tag.lower()
-        if slash:
+        if tag[0] == "/":
+            tag = tag[1:]
             if tag == "br":
                 text("\n")
-                continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-                if stack[k].tag in ("table", "td", "th") and tag not in BLOCK:
-                    break
+            elif (k := deepest([tag])) and (tag in BLOCK or k >= deepest(("table", "td", "th"))):
+                close(k)
             continue
         attributes = _attributes(rest)
         if tag == "br":
             text("\n")
             continue
         if tag in BLOCK:
-            for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag in BLOCK:
-                    break
+            if stack[blocks[-1]].tag == "p":  # a block ends an open paragraph
+                close(blocks[-1])
             if tag in CLOSED_BY:
-                lowest = None
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in STOP_AT[tag]:
-                        break
-                    if stack[k].tag in CLOSED_BY[tag]:
-                        lowest = k
-                if lowest:
-                    close(lowest)
+                stop = deepest(STOP_AT[tag])
+                above = [places[i] for t in CLOSED_BY[tag] if (places := opened.get(t)) and (i := bisect.bisect_right(places, stop)) < len(places)]
+                if above:
+                    close(min(above))
         elif tag == "option":
             if stack[-1].tag == "option":
                 close(len(stack) - 1)
@@ -206,16 +243,21 @@ def runs(html: str) -> list[Run]:
         if tag == "main":
             for outer in around.inside:
                 outer.holds = True
+        opened.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            blocks.append(len(stack))
         stack.append(e)
         links += tag == "a"
         if tag in BLOCK:
             start_run()
-        if tag in RAW:
+        if tag in RAW and tag not in unclosed:
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             if stop:
                 at = stop.start()
             elif tag in ("script", "style"):
                 at = end
+            else:
+                unclosed.add(tag)
     for run in found:
         run.text = " ".join(unescape("".join(run.parts)).split())
         # What was opened and never closed again can't be told from the rest of the page.
