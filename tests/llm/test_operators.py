@@ -940,7 +940,7 @@ def test_headings_of_wrapped_and_divided_articles_stay():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, sf, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got, want = queries.queries()[name](spark, sf).toPandas(), db.sql(queries.oracle_sql()[name]).df()
     columns = sorted(got.columns)

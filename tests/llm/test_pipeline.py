@@ -56,7 +56,7 @@ def test_empty_and_registered(spark, sf):
         docs = storage.staged(stage(spark, docs, sf), name)
     assert docs.count() == 0
     names = entry.queries()
-    assert "pipeline" in names and [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13
 
 
 def test_stages_on_odd_rows(spark, sf):
