@@ -5,13 +5,17 @@ The raw label is a VARIANT (parse_json of the model's text), so that any type ma
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.text import strip
+from skein.sources.readers import exists
+from skein.sources.stage import discard, fresh_path, staged
 
 # The allowed values of each enumerated field, and its default.
 ENUMS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -29,6 +33,10 @@ ENUMS: dict[str, tuple[tuple[str, ...], str]] = {
 TRUE_WORDS = ("true", "yes", "1", "visible")
 RELEVANCE = "Gorpcore_Relevance"
 MOST_CLUES = 4
+SKIPPED, MISSING = "skipped_existing", "missing_file"
+#: Images that are asked for between two commits of the answer log.
+WAVE_ROWS = 10_000
+ANSWER = "Image_ID string, attempt int, raw_model_output string, error_type string, error_message string"
 
 
 def _text(raw: Column, name: str) -> Column:
@@ -120,7 +128,7 @@ def breakdown(rows: DataFrame, column: str, default: str = "unknown") -> DataFra
 
 def annotation_log(log: DataFrame) -> DataFrame:
     """One row: totals by run status and the three breakdowns as maps. Reject reasons count for rejected images only."""
-    totals = log.agg(F.count("*").alias("total_candidates"), *[F.count_if(F.col("run_status") == s).alias(n) for s, n in (("annotated", "annotated_count"), ("skipped", "skipped_existing"), ("error", "error_count"))])
+    totals = log.agg(F.count("*").alias("total_candidates"), *[F.count_if(F.col("run_status").isin(*s)).alias(n) for s, n in ((("annotated",), "annotated_count"), ((SKIPPED, "skipped"), "skipped_existing"), (("error", MISSING), "error_count"))])
     for name, column, rows in (("curation_status_breakdown", "Curation_Status", log), ("image_category_breakdown", "Image_Category", log), ("reject_reason_breakdown", "Reject_Reason", log.filter("Curation_Status = 'reject'"))):
         totals = totals.crossJoin(breakdown(rows, column).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias(name)))  # one row by one row
     return totals
@@ -154,17 +162,60 @@ def annotate(images: DataFrame, client: Callable[[], Callable[[str], str]], path
     return images.mapInArrow(run, f"{ddl}, raw_model_output string, error_type string, error_message string")
 
 
-def run_annotator(images: DataFrame, labels: DataFrame, files: DataFrame, client: Callable[[], Callable[[str], str]], limit: int | None = None) -> Mapping[str, DataFrame]:
-    """Frames of one run: labels (new ones), errors, runs (image keys and run_status). `files` lists existing paths in column image_path."""
-    first = images if limit is None else images.orderBy("Image_ID").limit(limit)
-    known = skipped(first, labels)
-    todo = first.join(labels.select("Image_ID").distinct(), "Image_ID", "left_anti")
-    paths = files.select("image_path").distinct()
-    missing = todo.join(paths, "image_path", "left_anti").select(*first.columns)
-    answered = annotate(todo.join(paths, "image_path", "left_semi").select(*first.columns), client)
-    bad = answered.filter("error_type IS NOT NULL")
+def read_answers(spark: SparkSession, log: str) -> DataFrame:
+    """Every answer of the log, in any order; none where there is no log yet."""
+    return spark.read.schema(ANSWER).parquet(log) if exists(spark, log) else spark.createDataFrame([], ANSWER)
+
+
+def latest_answers(answers: DataFrame) -> DataFrame:
+    """One row per image: its first good answer, else its last error. A repeated row of the log counts once."""
+    best = F.struct(F.col("error_type").isNull().alias("good"), F.when(F.col("error_type").isNull(), -F.col("attempt")).otherwise(F.col("attempt")).alias("turn"), "attempt", "raw_model_output", "error_type", "error_message")
+    return answers.groupBy("Image_ID").agg(F.max(best).alias("b")).select("Image_ID", "b.attempt", "b.raw_model_output", "b.error_type", "b.error_message")
+
+
+def ask_once(images: DataFrame, log: str, client: Callable[[], Callable[[str], str]], path_col: str = "image_path", wave_rows: int = WAVE_ROWS) -> DataFrame:
+    """Asks for each image without a good answer in the log, once, and appends what comes; returns the log's answers.
+
+    Images are claimed in waves of about wave_rows, by a hash of their ids, and a wave's answers enter the log in one commit. A run that is killed loses no wave that was committed:
+    the next one asks only for images that still have no good answer, as their next attempt. A task that Spark tries again asks
+    again for its own images, as any answer that wasn't committed is unknown. Images with the same id are asked for once, with the smallest path;
+    those without an id are left out.
+    """
+    spark = images.sparkSession
+    answers = latest_answers(read_answers(spark, log)).select(F.col("Image_ID").alias("_id"), "attempt", (F.col("error_type").isNull()).alias("good"))
+    one = images.filter("Image_ID IS NOT NULL").groupBy("Image_ID").agg(F.min(path_col).alias("image_path"))
+    claims = one.join(answers, F.col("Image_ID") == F.col("_id"), "left").filter("NOT coalesce(good, false)").select("Image_ID", "image_path", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt"))
+    waves = max(1, math.ceil(claims.count() / wave_rows))
+    path = fresh_path(spark, "claims")
+    claims.withColumn("wave", F.pmod(F.xxhash64("Image_ID"), F.lit(waves))).write.partitionBy("wave").parquet(path)
+    claimed = spark.read.schema("Image_ID string, image_path string, attempt int, wave long").parquet(path)
+    for wave in range(waves):
+        asked = annotate(claimed.filter(F.col("wave") == wave).select("Image_ID", "image_path", "attempt"), client)
+        asked.select("Image_ID", "attempt", "raw_model_output", "error_type", "error_message").write.mode("append").parquet(log)
+    discard(spark, path)
+    return read_answers(spark, log)
+
+
+def run_annotator(
+    images: DataFrame, labels: DataFrame, files: DataFrame, client: Callable[[], Callable[[str], str]], limit: int | None = None, log: str | None = None, order: Column | str | None = None, wave_rows: int = WAVE_ROWS,
+) -> Mapping[str, DataFrame]:
+    """Frames of one run: labels (new ones), errors, runs (image keys and run_status). `files` lists existing paths in column image_path.
+
+    The run takes the first `limit` images by `order`, or in the order in which they are read. Images with a label are skipped, and those whose file is missing aren't asked
+    for. Every other image is asked for once: answers stand in the log, from which all frames are read. log names a folder that outlives
+    the run, so that a later run goes on where this one ended; without it the answers live as long as the shared folder.
+    """
+    spark = images.sparkSession
     keys = ("Image_ID", "note_id", "image_path")
-    errors = bad.select("Image_ID", "image_path", "error_type", "error_message").unionByName(missing.select("Image_ID", "image_path", F.lit("missing_file").alias("error_type"), F.lit("image file not found").alias("error_message")))
-    good = answered.filter("error_type IS NULL")
-    runs = known.select(*keys, F.lit("skipped").alias("run_status")).unionByName(good.select(*keys, F.lit("annotated").alias("run_status"))).unionByName(bad.unionByName(missing, allowMissingColumns=True).select(*keys, F.lit("error").alias("run_status")))
-    return {"labels": normalize_labels(good), "errors": errors, "runs": runs}
+    first = images if limit is None else images.withColumn("_at", F.monotonically_increasing_id() if order is None else F.col(order) if isinstance(order, str) else order).orderBy("_at").limit(limit).drop("_at")
+    first = staged(first.select(*keys), "annotation-run")
+    done = labels.select("Image_ID").distinct()
+    known, todo = first.join(done, "Image_ID", "left_semi"), first.join(done, "Image_ID", "left_anti")
+    paths = files.select("image_path").distinct()
+    missing, there = todo.join(paths, "image_path", "left_anti"), todo.join(paths, "image_path", "left_semi")
+    answers = latest_answers(ask_once(there, log or fresh_path(spark, "answers"), client, wave_rows=wave_rows))
+    answered = there.join(answers, "Image_ID").select(*keys, "raw_model_output", "error_type", "error_message")
+    bad, good = answered.filter("error_type IS NOT NULL"), answered.filter("error_type IS NULL")
+    errors = bad.select("Image_ID", "image_path", "error_type", "error_message").unionByName(missing.select("Image_ID", "image_path", F.lit(MISSING).alias("error_type"), F.lit("image file not found").alias("error_message")))
+    runs = [rows.select(*keys, F.lit(status).alias("run_status")) for rows, status in ((known, SKIPPED), (good, "annotated"), (bad, "error"), (missing, MISSING))]
+    return {"labels": normalize_labels(good), "errors": errors, "runs": functools.reduce(DataFrame.unionByName, runs)}

@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,7 +140,7 @@ def test_annotation_run(spark):
     files = spark.createDataFrame([(p,) for p in ("/a", "/bad", "/list", "/known", "/beyond")], "image_path string")
     known = spark.createDataFrame([("5",)], "Image_ID string")
     run = labels.run_annotator(rows, known, files, client, limit=5)
-    assert {r.Image_ID: r.run_status for r in run["runs"].collect()} == {"1": "annotated", "2": "error", "3": "error", "4": "error", "5": "skipped"}
+    assert {r.Image_ID: r.run_status for r in run["runs"].collect()} == {"1": "annotated", "2": "error", "3": "missing_file", "4": "error", "5": "skipped_existing"}
     assert {r.Image_ID: r.error_type for r in run["errors"].collect()} == {"2": "RuntimeError", "3": "missing_file", "4": "ValueError"}
     log = labels.curation_log(run["runs"], run["labels"])
     assert {r.Image_ID: r.Image_Category for r in log.collect()} == {"1": "landscape", "2": "", "3": "", "4": "", "5": ""}
@@ -148,6 +149,54 @@ def test_annotation_run(spark):
     assert labels.pending(rows, known, limit=5).count() == 4
 
 
+def test_every_image_is_asked_once(spark, tmp_path):
+    """All frames of a run are consumed, a run ends half-way, and the next goes on: each image is asked for once, failed ones once a run."""
+    calls, log = tmp_path / "calls", f"file://{tmp_path}/answers"
+
+    def client():
+        def ask(path):
+            with calls.open("a") as f:
+                f.write(f"{path}\n")
+            if path == "/7" and not (tmp_path / "healed").exists():
+                raise RuntimeError("down")
+            return json.dumps({"Curation_Status": "use", "Confidence": len(calls.read_text()) / 1e9})  # another answer each time
+
+        return ask
+
+    rows = spark.createDataFrame([(str(i), "n", f"/{i}") for i in range(40, 0, -1)], "Image_ID string, note_id string, image_path string").coalesce(1)
+    files = rows.select("image_path")
+    known = spark.createDataFrame([("39",)], "Image_ID string")
+    asked = lambda: Counter(calls.read_text().split())
+
+    with pytest.MonkeyPatch.context() as patch:  # the first run ends after two of its waves
+        plain, waves = labels.annotate, []
+
+        def killed(*args):
+            waves.append(1)
+            if len(waves) > 2:
+                raise KeyboardInterrupt
+            return plain(*args)
+
+        patch.setattr(labels, "annotate", killed)
+        with pytest.raises(KeyboardInterrupt):
+            labels.run_annotator(rows, known, files, client, log=log, wave_rows=10)
+    begun = asked()
+    assert 0 < len(begun) < 39 and set(begun.values()) == {1}
+    run = labels.run_annotator(rows, known, files, client, log=log, wave_rows=10)
+    for _ in range(2):
+        got = {r.Image_ID: r.run_status for r in run["runs"].collect()}
+        said = {r.Image_ID: r.Confidence for r in run["labels"].collect()}
+        failed = [r.Image_ID for r in run["errors"].collect()]
+    assert got == {str(i): "annotated" for i in range(1, 41)} | {"39": "skipped_existing", "7": "error"} and failed == ["7"] and len(said) == 38
+    counts = asked()
+    assert all(n == 1 for p, n in counts.items() if p != "/7") and len(counts) == 39 and counts["/7"] <= 2
+    (tmp_path / "healed").touch()
+    again = labels.run_annotator(rows, known, files, client, log=log)
+    assert {r.Image_ID: r.Confidence for r in again["labels"].collect() if r.Image_ID != "7"} == said
+    assert sum(asked().values()) == sum(counts.values()) + 1 and again["errors"].count() == 0
+    assert {r.Image_ID for r in labels.run_annotator(rows, known, files, client, limit=3, log=log)["runs"].collect()} == {"40", "39", "38"}  # in input order
+
+
 def test_base64_has_no_breaks(spark):
     got = spark.createDataFrame([(b"x" * 300,)], "c binary").select(images.base64_text(F.col("c")).alias("b")).first().b
     assert len(got) == 400 and "\n" not in got
