@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from skein.functions import lexicon as L
 from skein.functions.lexicon import DEFAULT, Lexicon
+from skein.functions.terms import find_terms
 from skein.functions.text import by_length, joined, matched
 
+#: Facet terms from which on one automaton looks for all of them, in place of a test a term.
+MANY_TERMS = 500
 #: A run of Chinese characters, or of ASCII letters and digits, is a token.
 TOKEN = r"[\x{4E00}-\x{9FFF}]+|[A-Za-z0-9]+"
 
@@ -120,7 +123,11 @@ def feature_columns(texts: DataFrame, lexicon: Lexicon = DEFAULT, text_col: str
     """texts with one column for each operator's result, arrays kept as arrays. Three projections, as later ones build on earlier ones."""
     c, tokens = F.col(text_col), F.col(tokens_col)
     names = {"Color_Terms": lexicon.color, "Material_Terms": lexicon.material, "Fit_Terms": lexicon.fit, "Function_Terms": lexicon.function, "Scenario_Terms": lexicon.scenario, "General_Terms": lexicon.general}
-    hits = texts.withColumns({"pain": pain_points(c, lexicon), "pos": positive_hits(c, tokens, lexicon), "neg": negative_hits(c, tokens, lexicon), **{k: facet(c, v) for k, v in names.items()}})
+    if sum(map(len, names.values())) > MANY_TERMS:
+        found = find_terms(texts, names, text_col).withColumns({k: by_length(F.col(k)) for k in names})
+    else:
+        found = texts.withColumns({k: facet(c, v) for k, v in names.items()})
+    hits = found.withColumns({"pain": pain_points(c, lexicon), "pos": positive_hits(c, tokens, lexicon), "neg": negative_hits(c, tokens, lexicon)})
     scored = hits.withColumn("mood", sentiment_of_hits(F.col("pos"), F.col("neg"))).withColumn("Pain_Points", F.transform("pain", lambda p: p["Pain_Point"]))
     return scored.withColumns(
         {

@@ -1,10 +1,15 @@
 """Cleaning, coalescing, lexicon operators and the text analysis."""
 
+import itertools
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import lexicon as L
-from skein.functions.segment import DictionaryCutter
+from skein.functions import terms as T
+from skein.functions.segment import FOLLOW, STATES, DictionaryCutter, HiddenWords, fit_hidden_words
 from skein.functions.text import clean_text, first_nonblank, first_present, first_truthy, safe_text, strip
 from skein.operators import text_features as X
 from skein.plans import queries, text_analysis
@@ -158,3 +163,59 @@ def test_stream_equals_batch(spark, tmp_path):
     seen = []
     text_stream.start(stream, lambda df, n: seen.extend(df.collect()), f"{tmp_path}/checkpoint").awaitTermination()
     assert sorted(seen) == sorted(X.feature_rows(text_stream.features(records)).collect())
+
+
+def test_automaton_equals_a_test_a_term():
+    draw = random.Random(1)
+    for _ in range(60):
+        letters = draw.choice(["ab", "aé中", "abcdefgh"])
+        terms = list({"".join(draw.choice(letters) for _ in range(draw.randrange(6))) for _ in range(draw.randrange(1, 30))})
+        texts = [None if draw.random() < 0.1 else "".join(draw.choice(letters) for _ in range(draw.choice([0, 1, 5, 50, 1500]))) for _ in range(draw.randrange(12))]
+        rows, found = T.Automaton(terms).rows_and_terms(*T._bytes(pa.array(texts, pa.string())))
+        assert list(zip(rows.tolist(), found.tolist(), strict=True)) == [(i, k) for i, x in enumerate(texts) for k, t in enumerate(terms) if t in (x or "")]
+
+
+def test_many_terms_equal_few(spark, monkeypatch):
+    """Automata, several of a small size too, find what the plan finds, in every list's order; odd rows and clashing names."""
+    texts = ["Wind PROOF jacket", "防风 jacket, 防水", "İstanbul", None, "", "windproof" * 300, "a"]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "id int, t string, low string, `odd name` int")
+    lists = {"low": ["proof", "jacket", "wind", "防风", "水", "jacket"], "odd name": ["PROOF", "a", "", "i̇s"], "none": []}
+    for lower in (False, True):
+        want = sorted(map(str, T.find_terms(df, lists, "t", lower=lower, few=99).select("id", "t", *[f"`{c}`" for c in lists]).collect()))
+        for most in (1 << 24, 40):
+            monkeypatch.setattr(T, "MOST_TRANSITIONS", most)
+            assert sorted(map(str, T.find_terms(df, lists, "t", lower=lower, few=0).select("id", "t", *[f"`{c}`" for c in lists]).collect())) == want
+    assert T.find_terms(df.limit(0), lists, "t", few=0).count() == 0
+
+
+def test_features_of_a_large_lexicon(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "黑色冲锋衣很好看，通勤防水"), (2, "too heavy"), (3, "")], "Source_ID int, Cleaned_Text string").withColumn("Tokens", X.regex_tokens(F.col("Cleaned_Text")))
+    want = X.feature_rows(X.feature_columns(df.withColumn("Platform", F.lit("p")))).orderBy("Source_ID").collect()
+    monkeypatch.setattr(X, "MANY_TERMS", 0)
+    assert X.feature_rows(X.feature_columns(df.withColumn("Platform", F.lit("p")))).orderBy("Source_ID").collect() == want and want[0].Color_Terms
+
+
+def test_hidden_words_equal_exhaustive_search():
+    """A thousand short runs: the states that are found cost no more than the cheapest of all."""
+    draw = random.Random(2)
+    for _ in range(1000):
+        emit = {s + c: draw.randrange(20) for s in STATES for c in "甲乙丙"}
+        model = HiddenWords.of_counts({s: draw.randrange(9) for s in "BS"}, {a + b: draw.randrange(9) for a in STATES for b in FOLLOW[a]}, emit, draw.choice([0.1, 1, 2]))
+        run = "".join(draw.choice("甲乙丙丁") for _ in range(draw.randrange(1, 7)))
+        words = model.cut(run)
+        states = "".join("S" if len(w) == 1 else "B" + "M" * (len(w) - 2) + "E" for w in words)
+        assert "".join(words) == run and model.cost(run, states) <= min(model.cost(run, "".join(x)) for x in itertools.product(STATES, repeat=len(run))) + 1e-9
+    assert model.cut("") == []
+
+
+def test_words_outside_the_list(spark):
+    """A model fitted on a cut table finds its kind of words where the dictionary has none, and leaves listed words alone."""
+    table = spark.createDataFrame([(["冲锋", "衣", "，", "很", "好看", None, ""],), (["保暖", "透气", "abc", "防风"],), (["轻便", "好看"],), (None,), ([],)], "Tokens array<string>")
+    model = fit_hidden_words(table, smooth=0.01)
+    assert model.start["B"] < model.start["S"] and model.emit["B冲"] < model.unseen["B"] and "B," not in model.emit and "Ba" not in model.emit
+    plain, hidden = DictionaryCutter({"天气": 5, "好": 9}), DictionaryCutter({"天气": 5, "好": 9}, hidden=model)
+    assert plain("今天气好轻便防风 abc-1") == ["今", "天气", "好", "轻", "便", "防", "风", " ", "abc-1"]
+    assert hidden("天气轻便防风 abc-1") == ["天气", "轻便", "防风", " ", "abc-1"]
+    assert "".join(hidden("任何字都留下，一个不少。")) == "任何字都留下，一个不少。"
+    cut = X.cut_tokens(spark.createDataFrame([("轻便防风",)], "t string"), "t", "Tokens", hidden).first().Tokens
+    assert cut == ["轻便", "防风"]
