@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 
 from skein.functions.text import first_nonblank, first_truthy, safe_text, strip
 from skein.functions.urls import normalize_path
+from skein.sources.json_arrays import array_elements
 
 NOTE = (
     "keyword string, note_id string, note_url string, share_url string, xsec_token string, can_open_in_web boolean, title_text string, raw_text string, text_source string, "
     "image_urls array<string>, downloaded_image_paths array<string>, publish_timestamp string, publish_time_text string, publish_time_resolved string"
 )
-REVIEW_FILE = (
-    "summary struct<total_reviews: bigint, by_brand: map<string, bigint>>, "
-    "reviews array<struct<platform: string, query: string, product_id: string, product_name: string, score: string, content: string, creation_time: string, product_color: string, product_size: string>>"
-)
+_REVIEW = "platform: string, query: string, product_id: string, product_name: string, score: string, content: string, creation_time: string, product_color: string, product_size: string"
+REVIEW_FILE = f"summary struct<total_reviews: bigint, by_brand: map<string, bigint>>, reviews array<struct<{_REVIEW}>>"
 _MARK = "keyword: string, bvid: string, video_title: string, text: string, is_pain_point: boolean"
 VIDEO_FILE = (
     "summary struct<total_danmaku: bigint, pain_point_danmaku: bigint, total_comments: bigint, pain_point_comments: bigint>, pain_point_keywords array<string>, "
@@ -37,6 +36,8 @@ MASTER = {
 }
 UNIFIED = ("Source_ID", "Platform", "Raw_Text", "Timestamp", "Data_Type")
 PREFIX = "GRP"
+#: Bytes of a JSON file from which on it is cut by several tasks.
+LARGE_FILE = 64 << 20
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -51,29 +52,64 @@ def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
     raise FileNotFoundError(", ".join(paths))
 
 
-def _expect(spark: SparkSession, path: str, first: str, what: str) -> None:
-    """A missing file raises FileNotFoundError, a file that begins with another character ValueError."""
-    if not exists(spark, path):
+def _files(spark: SparkSession, path: str) -> list:
+    """The files at a path, in a folder, or that a pattern matches, but for hidden ones. A missing one raises FileNotFoundError."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = list(fs.globStatus(p) or [])
+    if not found:
         raise FileNotFoundError(path)
-    other = spark.read.text(path, wholetext=True).filter(F.regexp_extract("value", r"^[\s\x{FEFF}]*(\S)", 1) != first)
-    if not other.isEmpty():
-        raise ValueError(f"{path}: {what} is expected")
+    each = [x for f in found for x in (fs.listStatus(f.getPath()) if f.isDirectory() else [f])]
+    return [f for f in each if not f.isDirectory() and f.getPath().getName()[0] not in "._"]
+
+
+def _expect(spark: SparkSession, path: str, first: str, what: str) -> bool:
+    """Whether a file is so large that it is read by ranges. A missing file raises FileNotFoundError, one that begins with another character ValueError.
+
+    Of each file the first bytes are read; that a large one begins rightly is found where it is cut.
+    """
+    files = _files(spark, path)
+    if any(f.getLen() > LARGE_FILE for f in files):
+        return True
+    for f in files:
+        stream = f.getPath().getFileSystem(spark._jsc.hadoopConfiguration()).open(f.getPath())
+        try:
+            c = stream.read()
+            while c in (0x20, 0x09, 0x0A, 0x0D, 0xEF, 0xBB, 0xBF):
+                c = stream.read()
+        finally:
+            stream.close()
+        if c >= 0 and chr(c) != first:
+            raise ValueError(f"{f.getPath().toString()}: {what} is expected")
+    return False
+
+
+def _elements(spark: SparkSession, path: str, schema: str, key: str | None = None, strict: bool = True) -> DataFrame:
+    """file, pos and the fields of each element of the files' arrays."""
+    return array_elements(spark, path, key, strict).select("file", F.col("pos").cast("int").alias("pos"), F.from_json("value", schema).alias("r")).select("file", "pos", "r.*")
 
 
 def read_notes(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of notes, a row each. A missing file raises FileNotFoundError, a file whose top level is no array ValueError."""
-    _expect(spark, path, "[", "an array of notes")
+    """A JSON array of notes, a row each. A missing file raises FileNotFoundError, a file whose top level is no array ValueError.
+
+    Files of over LARGE_FILE bytes are cut into their elements by many tasks, others are read by one task each.
+    """
+    if _expect(spark, path, "[", "an array of notes"):
+        return _elements(spark, path, NOTE).drop("file", "pos")
     return spark.read.schema(NOTE).option("multiLine", True).json(path)
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """file, pos (from 0) and the fields of each review."""
+    """file, pos (from 0) and the fields of each review; a file that is no object has none."""
+    if any(f.getLen() > LARGE_FILE for f in _files(spark, path)):
+        return _elements(spark, path, f"struct<{_REVIEW}>", "reviews", strict=False)
     return spark.read.schema(REVIEW_FILE).option("multiLine", True).json(path).select(F.input_file_name().alias("file"), F.posexplode("reviews").alias("pos", "r")).select("file", "pos", "r.*")
 
 
 def read_videos(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(danmaku, comments), each with file and pos. A missing file raises FileNotFoundError, a file whose top level is no object ValueError."""
-    _expect(spark, path, "{", "an object with the lists of a video file")
+    if _expect(spark, path, "{", "an object with the lists of a video file"):
+        return _elements(spark, path, f"struct<{_MARK}>", "all_danmaku"), _elements(spark, path, f"struct<{_MARK}, like_count: bigint>", "all_comments")
     files = spark.read.schema(VIDEO_FILE).option("multiLine", True).json(path).withColumn("file", F.input_file_name())
     return tuple(files.select("file", F.posexplode(c).alias("pos", "r")).select("file", "pos", "r.*") for c in ("all_danmaku", "all_comments"))
 
