@@ -12,7 +12,7 @@ from skein.functions.lexicon import DESIGN_MAPPING, LATIN, ONTOLOGY_NAMES, Lexic
 from skein.functions.text import clean_text, with_clean_text
 from skein.operators import images, labels, near_duplicates, payloads, reviews
 from skein.operators import text_features as X
-from skein.plans import image_gate, record_queries
+from skein.plans import curation_queries, image_gate, record_queries
 from skein.plans.record_queries import table
 from skein.sources import readers
 
@@ -527,8 +527,8 @@ def queries() -> dict[str, Query]:
         average_hash, near_duplicate_pairs, near_duplicate_gate, gate_images, landscape_rules, image_gate_rules, gate_log, normalize_labels, resume_pending, resume_skipped, curation_breakdown, review_filter, brand_counts, review_composition, pain_top_liked,
         first_non_empty_merge, url_normalize, filename_sanitize, publish_time_resolve, deep_json_walk, danmaku_xml,
     )
-    return {f.__name__: f for f in found} | {"curation_log": runs_with_labels} | record_queries.queries()
+    return {f.__name__: f for f in found} | {"curation_log": runs_with_labels} | record_queries.queries() | curation_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLE | record_queries.ORACLE | {"analysis_features": FEATURES_SQL, "analysis_report": REPORT_SQL}
+    return ORACLE | record_queries.ORACLE | curation_queries.oracle_sql() | {"analysis_features": FEATURES_SQL, "analysis_report": REPORT_SQL}
