@@ -49,6 +49,11 @@ def clean_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(out, REPEATED_MARK, "$1"))
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with more columns, each computed once a row: out of a generator, so that the optimizer doesn't copy them into what is built on them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def with_clean_text(texts: DataFrame, text_col: str, out: str) -> DataFrame:
     """texts with their cleaned text in `out`, those without any left out.
 

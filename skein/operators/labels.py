@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions.text import strip
+from skein.functions.text import computed, strip
 from skein.sources.readers import exists
 from skein.sources.stage import discard, fresh_path, staged
 
@@ -39,11 +39,6 @@ WAVE_ROWS = 10_000
 ANSWER = "Image_ID string, attempt int, raw_model_output string, error_type string, error_message string"
 
 
-def _text(raw: Column, name: str) -> Column:
-    """A field as text; null if it is missing, null or no text can be made of it."""
-    return F.try_variant_get(raw, f"$.{name}", "string")
-
-
 def normalize_enum(value: Column, allowed: Sequence[str], default: Column | str) -> Column:
     """The stripped value if it is one of those allowed, case counts, else the default."""
     v = strip(value)
@@ -65,10 +60,10 @@ def clamp(value: Column, default: float = 0.0) -> Column:
     return F.when(F.isnan(n), n).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), n)))
 
 
-def normalize_clues(raw: Column, name: str = "Material_Clue") -> Column:
-    """Up to four stripped, non-blank strings of a list, or a single string; ["unclear"] if there are none."""
-    listed = F.try_variant_get(raw, f"$.{name}", "array<string>")
-    single = F.when(F.schema_of_variant(F.try_variant_get(raw, f"$.{name}", "variant")) == "STRING", F.array(_text(raw, name)))
+def normalize_clues(clue: Column) -> Column:
+    """Up to four stripped, non-blank strings of a list, or a single string, given as a variant; ["unclear"] if there are none."""
+    listed = F.try_variant_get(clue, "$", "array<string>")
+    single = F.when(F.schema_of_variant(clue) == "STRING", F.array(clue.cast("string")))
     cleaned = F.filter(F.transform(F.coalesce(listed, single, F.array().cast("array<string>")), lambda x: strip(F.coalesce(x, F.lit("None")))), lambda x: x != "")
     return F.when(F.size(cleaned) > 0, F.slice(cleaned, 1, MOST_CLUES)).otherwise(F.array(F.lit("unclear")))
 
@@ -79,24 +74,30 @@ def normalize_labels(labels: DataFrame, raw_col: str = "raw_model_output", keep:
     A missing zipper type becomes "None", one of its allowed values, as text made of nothing reads so; a null color takes the
     default. A rejected image without a reason is too unclear.
     """
-    parsed = labels.withColumn("_raw", F.try_parse_json(raw_col))
-    raw = F.col("_raw")
-    status = normalize_enum(_text(raw, "Curation_Status"), *ENUMS["Curation_Status"])
-    reason = normalize_enum(_text(raw, "Reject_Reason"), ENUMS["Reject_Reason"][0], F.when(status == "use", "none").otherwise("too_unclear"))
-    plain = {c: normalize_enum(_text(raw, c), *ENUMS[c]).alias(c) for c in ENUMS}
-    plain["Zipper_Type"] = normalize_enum(F.coalesce(_text(raw, "Zipper_Type"), F.lit("None")), *ENUMS["Zipper_Type"]).alias("Zipper_Type")
+    texts = (*ENUMS, "Outfit_Count", "Pockets", "Reflective", "Primary_Color", "Secondary_Color", relevance, "Confidence")
+    parsed = computed(labels, _raw=F.try_parse_json(raw_col))
+    read = {"_said": F.try_variant_get("_raw", "$", f"struct<{', '.join(f'`{c}`: string' for c in texts)}>"), "_clue": F.try_variant_get("_raw", "$.Material_Clue", "variant")}
+    parsed = computed(parsed, **read, **{f"_{c}": F.try_variant_get("_raw", f"$.{c}", "long") for c in ("Outfit_Count", "Pockets")})
+
+    def text(name: str) -> Column:
+        return F.col("_said")[name]
+
+    status = normalize_enum(text("Curation_Status"), *ENUMS["Curation_Status"])
+    reason = normalize_enum(text("Reject_Reason"), ENUMS["Reject_Reason"][0], F.when(status == "use", "none").otherwise("too_unclear"))
+    plain = {c: normalize_enum(text(c), *ENUMS[c]).alias(c) for c in ENUMS}
+    plain["Zipper_Type"] = normalize_enum(F.coalesce(text("Zipper_Type"), F.lit("None")), *ENUMS["Zipper_Type"]).alias("Zipper_Type")
 
     def color(name: str, default: str) -> Column:
-        return F.coalesce(F.nullif(strip(_text(raw, name)), F.lit("")), F.lit(default)).alias(name)
+        return F.coalesce(F.nullif(strip(text(name)), F.lit("")), F.lit(default)).alias(name)
 
     def whole(name: str) -> Column:
-        return normalize_int(F.coalesce(F.try_variant_get(raw, f"$.{name}", "long").cast("string"), _text(raw, name))).alias(name)
+        return normalize_int(F.coalesce(F.col(f"_{name}").cast("string"), text(name))).alias(name)
 
     return parsed.select(
         *keep, status.alias("Curation_Status"), plain["Image_Category"], F.when((status == "reject") & (reason == "none"), "too_unclear").otherwise(reason).alias("Reject_Reason"),
         plain["Body_Coverage"], plain["Text_Overlay_Level"], whole("Outfit_Count"), plain["Main_Subject_Visibility"], whole("Pockets"), plain["Zipper_Type"], plain["Fit"],
-        normalize_bool(_text(raw, "Reflective")).alias("Reflective"), color("Primary_Color", "unclear"), color("Secondary_Color", "none"), normalize_clues(raw).alias("Material_Clue"),
-        plain["Scenario"], plain["Visual_Weight"], clamp(_text(raw, relevance)).alias(relevance), clamp(_text(raw, "Confidence")).alias("Confidence"), F.col(raw_col),
+        normalize_bool(text("Reflective")).alias("Reflective"), color("Primary_Color", "unclear"), color("Secondary_Color", "none"), normalize_clues(F.col("_clue")).alias("Material_Clue"),
+        plain["Scenario"], plain["Visual_Weight"], clamp(text(relevance)).alias(relevance), clamp(text("Confidence")).alias("Confidence"), F.col(raw_col),
     )
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.text import first_nonblank
+from skein.functions.text import computed, first_nonblank
 from skein.functions.times import normalize_timestamp, publish_epoch, publish_resolved
 from skein.functions.urls import accessible_url, is_note_url, is_preview_image, looks_like_image, normalize_url, note_url, share_url
 
@@ -65,14 +65,20 @@ def script_json(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"(?s)\{.*\}|\[.*\]", 0), F.lit(""))
 
 
-def _string(item: Column, names: Sequence[str], under: str = "$") -> Column:
+def _fields(item: Column, path: str = "$") -> Column:
+    """The fields of a JSON object by name; null for anything else."""
+    return F.try_variant_get(item, path, "map<string,variant>")
+
+
+def _string(fields: Column, names: Sequence[str]) -> Column:
     """The first field that is a string with more than white space."""
-    return first_nonblank(*[F.when(F.schema_of_variant(F.try_variant_get(item, f"{under}.{n}", "variant")) == "STRING", F.try_variant_get(item, f"{under}.{n}", "string")) for n in names])
+    found = [F.try_element_at(fields, F.lit(n)) for n in names]
+    return first_nonblank(*[F.when(F.schema_of_variant(x) == "STRING", x.cast("string")) for x in found])
 
 
-def _value(item: Column, names: Sequence[str], under: str = "$") -> Column:
+def _value(fields: Column, names: Sequence[str]) -> Column:
     """The first field that is neither null nor an empty string, as text; null without one."""
-    return F.coalesce(*[F.nullif(F.try_variant_get(item, f"{under}.{n}", "string"), F.lit("")) for n in names])
+    return F.coalesce(*[F.nullif(F.try_variant_get(F.try_element_at(fields, F.lit(n)), "$", "string"), F.lit("")) for n in names])
 
 
 INFO = "array<struct<info_list:array<struct<url:string,image_scene:string>>>>"
@@ -111,36 +117,34 @@ def note_records(items: DataFrame, site: str, now: Column, value_col: str = "val
     A note needs an id and an address, and a text, an image or a time. A body equal to the placeholder is empty. The text is
     the body, else the title, and text_source says which.
     """
-    v = F.col("_v")
-    parsed = items.withColumn("_v", F.try_parse_json(value_col)).filter(F.col("_v").isNotNull())
-    card = F.coalesce(F.startswith(F.schema_of_variant(F.try_variant_get(v, "$.note_card", "variant")), F.lit("OBJECT")), F.lit(False))
+    parsed = computed(items, _v=F.try_parse_json(value_col)).filter(F.col("_v").isNotNull())
+    looked = computed(parsed, _own=_fields(F.col("_v")), _in_card=_fields(F.col("_v"), "$.note_card"))
+    v, own, card, has_card = F.col("_v"), F.col("_own"), F.col("_in_card"), F.col("_in_card").isNotNull()
 
     def of(get, names: Sequence[str]) -> Column:
-        return F.when(F.col("_card"), get(v, names, "$.note_card")).otherwise(get(v, names))
-
-    looked = parsed.withColumn("_card", card)
-    own_id = _string(v, ID_KEYS)
-    fields = looked.withColumns(
-        {
-            "_id": own_id, "note_id": first_nonblank(own_id, _string(v, ID_KEYS, "$.note_card")),
-            "_direct": _string(v, URL_KEYS), "_direct_card": _string(v, URL_KEYS, "$.note_card"),
-            "xsec_token": F.nullif(first_nonblank(_string(v, ("xsec_token",)), _string(v, ("xsec_token",), "$.note_card")), F.lit("")),
-            "title_text": F.nullif(of(_string, TITLE_KEYS), F.lit("")), "_body": of(_string, BODY_KEYS), "_time": of(_value, TIME_KEYS), "_own_time": _value(v, TIME_KEYS), "_own_text": _string(v, (*BODY_KEYS, *TITLE_KEYS)),
-            "_tag": F.when(F.col("_card"), F.filter(F.try_variant_get(v, "$.note_card.corner_tag_info", "array<struct<type:string,text:string>>"), lambda t: (t["type"] == "publish_time") & (F.trim(t["text"]) != ""))[0]["text"]).otherwise(F.filter(F.try_variant_get(v, "$.corner_tag_info", "array<struct<type:string,text:string>>"), lambda t: (t["type"] == "publish_time") & (F.trim(t["text"]) != ""))[0]["text"]),
-            "_time_text": of(_string, TIME_TEXT_KEYS), "_own_images": note_images(v, site, hosts=hosts), "_card_images": note_images(v, site, "$.note_card", hosts),
-        }
-    )
+        return get(F.when(has_card, card).otherwise(own), names)
+
+    def tag(path: str) -> Column:
+        tags = F.try_variant_get(v, f"{path}.corner_tag_info", "array<struct<type:string,text:string>>")
+        return F.filter(tags, lambda t: (t["type"] == "publish_time") & (F.trim(t["text"]) != ""))[0]["text"]
+
+    fields = computed(
+        looked,
+        _id=_string(own, ID_KEYS), _card_id=_string(card, ID_KEYS), _direct=_string(own, URL_KEYS), _direct_card=_string(card, URL_KEYS),
+        xsec_token=F.nullif(first_nonblank(_string(own, ("xsec_token",)), _string(card, ("xsec_token",))), F.lit("")),
+        title_text=F.nullif(of(_string, TITLE_KEYS), F.lit("")), _body=of(_string, BODY_KEYS), _time=of(_value, TIME_KEYS), _own_time=_value(own, TIME_KEYS), _own_text=_string(own, (*BODY_KEYS, *TITLE_KEYS)),
+        _tag=F.when(has_card, tag("$.note_card")).otherwise(tag("$")), _time_text=of(_string, TIME_TEXT_KEYS), _own_images=note_images(v, site, hosts=hosts), _card_images=note_images(v, site, "$.note_card", hosts), _card=has_card,
+    ).withColumn("note_id", first_nonblank(F.col("_id"), F.col("_card_id")))
     likely = (F.col("_id") != "") & ((F.col("_own_text") != "") | F.col("_own_time").isNotNull() | (F.size("_own_images") > 0) | F.col("_card"))
     url = first_nonblank(note_url(F.col("_direct"), F.col("_id"), site), note_url(F.col("_direct_card"), F.col("note_id"), site))
     share = share_url(F.col("note_id"), F.col("xsec_token"), site)
     body = F.when(F.col("_body") != "", F.col("_body")).otherwise(F.coalesce("title_text", F.lit("")))
-    built = fields.filter(likely).withColumns(
-        {
-            "share_url": share, "_url": url, "raw_text": F.when(body == EMPTY_BODY, "").otherwise(body), "publish_time_text": F.nullif(first_nonblank(F.col("_tag"), F.col("_time_text")), F.lit("")),
-            "image_urls": F.when(F.col("_card") & (F.size("_card_images") > 0), F.col("_card_images")).otherwise(F.col("_own_images")),
-        }
+    built = computed(
+        fields.filter(likely),
+        share_url=share, _url=url, raw_text=F.when(body == EMPTY_BODY, "").otherwise(body), publish_time_text=F.nullif(first_nonblank(F.col("_tag"), F.col("_time_text")), F.lit("")),
+        image_urls=F.when(F.col("_card") & (F.size("_card_images") > 0), F.col("_card_images")).otherwise(F.col("_own_images")),
     )
-    timed = built.withColumn("publish_timestamp", F.coalesce(normalize_timestamp(F.col("_time")), publish_epoch(F.col("publish_time_text"), now).cast("string")))
+    timed = computed(built, publish_timestamp=F.coalesce(normalize_timestamp(F.col("_time")), publish_epoch(F.col("publish_time_text"), now).cast("string")))
     timed = timed.withColumn("publish_time_resolved", publish_resolved(F.col("publish_time_text"), F.col("publish_timestamp").try_cast("long")))
     useful = (F.col("note_id") != "") & (F.col("_url") != "") & ((F.col("raw_text") != "") | (F.size("image_urls") > 0) | F.col("publish_timestamp").isNotNull())
     source = F.when((F.col("raw_text") != "") & (F.col("raw_text") != F.coalesce("title_text", F.lit(""))), "search_body").otherwise("search_title")
@@ -225,10 +229,13 @@ def wants_detail(title: Column, text: Column, share: Column, can_open: Column) -
 
 def first_detail(walked: DataFrame, site: str, key: Sequence[str], hosts: tuple[str, ...] = ()) -> DataFrame:
     """Of the walked objects of each key, the first with a text, a media or a time field that yields any of them."""
-    v = F.col("_v")
-    parsed = walked.filter("kind = 'object'").withColumn("_v", F.try_parse_json("value"))
+    parsed = computed(walked.filter("kind = 'object'"), _v=F.try_parse_json("value"))
+    parsed, v = computed(parsed, _own=_fields(F.col("_v"))), F.col("_own")
     urls = F.regexp_extract_all(F.col("value"), F.lit(r'"((?:https?:)?//[^"]*)"'), 1)
-    fields = parsed.select(*key, "pos", _string(v, (*BODY_KEYS, *TITLE_KEYS)).alias("raw_text"), F.array_distinct(F.filter(F.transform(urls, lambda u: normalize_url(u, site)), lambda u: looks_like_image(u, hosts))).alias("image_urls"), normalize_timestamp(_value(v, TIME_KEYS)).alias("publish_timestamp"), F.exists(F.json_object_keys("value"), lambda k: k.isin(*BODY_KEYS, *TITLE_KEYS, *DETAIL_MEDIA_KEYS, *TIME_KEYS)).alias("_any"))
+    fields = computed(
+        parsed.select(*key, "pos", "value", "_own"), raw_text=_string(v, (*BODY_KEYS, *TITLE_KEYS)), image_urls=F.array_distinct(F.filter(F.transform(urls, lambda u: normalize_url(u, site)), lambda u: looks_like_image(u, hosts))),
+        publish_timestamp=normalize_timestamp(_value(v, TIME_KEYS)), _any=F.exists(F.json_object_keys("value"), lambda k: k.isin(*BODY_KEYS, *TITLE_KEYS, *DETAIL_MEDIA_KEYS, *TIME_KEYS)),
+    ).drop("value", "_own")
     useful = fields.filter(F.col("_any") & ((F.col("raw_text") != "") | (F.size("image_urls") > 0) | F.col("publish_timestamp").isNotNull())).drop("_any")
     at = F.struct("pos", "raw_text", "image_urls", "publish_timestamp")
     return useful.groupBy(*key).agg(F.min_by(at, "pos").alias("d")).select(*key, "d.*")

@@ -29,6 +29,13 @@ def test_query_equals_its_sql(spark, sf, db, name):
     assert a.equals(b)
 
 
+@pytest.mark.parametrize("name", ["note_records", "detail_fields", "normalize_labels"])
+def test_payload_fields_are_read_once(spark, sf, name):
+    """The optimizer doesn't copy a field's reading into all that is built on it."""
+    plan = queries.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get") <= 60 and len(plan) < 60_000
+
+
 def test_danmaku_query(spark, sf):
     lines = sum(1 for r in spark.read.parquet(f"{sf}/documents.parquet").collect() for x in (r.text or "").split("\n") if x.strip())
     assert queries.danmaku_xml(spark, sf).count() == lines
