@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skein.operators.images import METRICS, average_hash, gate_log, person_metrics, pixel_metrics, quality
 from skein.operators.near_duplicates import gate
-from skein.sources import sinks
+from skein.sources import files, sinks
 from skein.sources.stage import staged
 
 
@@ -50,5 +50,5 @@ def measure(records: DataFrame, files: DataFrame, decode: Callable[[bytes], np.n
 
 
 def write(results: DataFrame, path: str) -> None:
-    sinks.write_csv(results, f"{path}/quality_filtered_images", sinks.QUALITY)
+    sinks.write_csv(results, f"{path}/quality_filtered_images", sinks.QUALITY, mark=files.reachable(path))
     sinks.write_json_row(gate_log(results), f"{path}/quality_filter_log.json")

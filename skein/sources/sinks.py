@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.sources import files
+from skein.sources.stage import discard
+
 # Column orders of the written tables.
 IMAGE_INDEX = ("Image_ID", "note_id", "keyword", "note_url", "title_text", "raw_text", "text_source", "publish_time_resolved", "relative_image_path", "image_path")
 QUALITY = ("Image_ID", "note_id", "image_path", "passed", "image_type", "reject_reason", "confidence", "width", "height", "aspect_ratio", "duplicate_of")
@@ -21,8 +24,15 @@ SENTIMENT = ("Source_ID", "Sentiment", "Sentiment_Score", "Reason")
 SMALL_ROWS = 100_000
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
-    """A directory of CSV parts with header, quotes doubled; an empty table still has its header."""
+def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mark: bool = False) -> None:
+    """A directory of CSV parts with header, quotes doubled; an empty table still has its header. With `mark` each part begins with a byte order mark.
+
+    Parts with marks are written by a data source of this library, where tasks can reach the path by themselves, and replace what is at the path.
+    """
+    if mark:
+        discard(df.sparkSession, path)
+        files.write_csv_parts(df.select(*(columns or df.columns)), path)
+        return
     df.select(*(columns or df.columns)).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
@@ -67,10 +77,13 @@ def write_image_index(index: DataFrame, path: str) -> None:
 
 
 def write_label_files(labels: DataFrame, path: str, key: str = "Image_ID") -> int:
-    """One JSON file per label, named by its key, for people and tools that want files; rows pass the driver one partition at a time. Returns their number.
+    """One JSON file per label, named by its key, for people and tools that want files. Returns their number.
 
-    Tables of labels that jobs read again are better written with write_json.
+    The executors write them, and they come into place together. Only where tasks can't reach the path by themselves rows pass the driver, one partition at a
+    time. Tables of labels that jobs read again are better written with write_json.
     """
+    if files.reachable(path):
+        return files.write_row_files(labels, path, key)
     n = 0
     for row in labels.select(F.col(key).cast("string"), F.to_json(F.struct(*labels.columns), {"ignoreNullFields": "false"})).toLocalIterator():
         put(labels.sparkSession, f"{path}/{row[0]}.json", json.dumps(json.loads(row[1]), ensure_ascii=False, indent=2).encode())

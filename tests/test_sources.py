@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from skein.sources import readers, sinks
+from skein.sources import files, readers, sinks
 
 NOTES = [
     {"note_id": "n1", "title_text": "T", "raw_text": "T", "downloaded_image_paths": ["a\\b.jpg", "", None, "c.png"], "publish_time_text": "3天前", "publish_timestamp": 17},
@@ -96,3 +96,29 @@ def test_passed_images_and_labels(spark, tmp_path):
     labels = readers.read_labels(spark, f"file://{tmp_path}/l*.json").collect()
     assert [(r.Image_ID, r.Curation_Status, r.Confidence) for r in labels] == [("a", None, 0.5)]
     assert {r.image_path for r in readers.image_files(spark, f"file://{tmp_path}").collect()} >= {f"{tmp_path}/q.csv"}
+
+
+def test_executors_write_label_files(spark, tmp_path):
+    """4,000 files of one job; a second job adds to them; a job whose task fails, after others have written, leaves nothing."""
+    rows = spark.range(0, 4_000, 1, 8).select(F.format_string("i%05d", "id").alias("Image_ID"), F.col("id").alias("n"), F.lit('é "x"').alias("t"))
+    path = tmp_path / "labels"
+    assert sinks.write_label_files(rows, f"file://{path}") == 4_000
+    assert len(list(path.iterdir())) == 4_000 and json.loads((path / "i00007.json").read_text()) == {"Image_ID": "i00007", "n": 7, "t": 'é "x"'}
+    assert sinks.write_label_files(rows.limit(1).withColumn("Image_ID", F.lit("more")), f"file://{path}") == 1
+    assert len(list(path.iterdir())) == 4_001
+    bad = rows.filter("n % 500 < 20").withColumn("Image_ID", F.when(F.col("n") == 3_510, "a/b").otherwise(F.concat(F.lit("z"), "n")))
+    for target in (path, tmp_path / "fresh"):
+        with pytest.raises(Exception, match="no file name"):
+            sinks.write_label_files(bad, f"file://{target}")
+    assert len(list(path.iterdir())) == 4_001 and sorted(p.name for p in tmp_path.iterdir()) == ["labels"]
+
+
+def test_marked_csv_parts(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 'say "x",\n y', None, True), ("b", "é", "", False), ("c", None, "z", None)], "Image_ID string, b string, `odd c` string, passed boolean").repartition(2)
+    sinks.write_csv(rows, f"file://{tmp_path}/q", mark=True)
+    parts = list((tmp_path / "q").iterdir())
+    assert all(p.read_bytes().startswith(b"\xef\xbb\xbfImage_ID,b,odd c,passed\n") for p in parts)
+    assert sorted(map(tuple, readers.read_csv(spark, f"file://{tmp_path}/q").collect())) == [("a", 'say "x",\n y', None, "true"), ("b", "é", None, "false"), ("c", None, "z", None)]
+    sinks.write_csv(rows.limit(0), f"file://{tmp_path}/q", mark=True)
+    assert [p.read_bytes() for p in (tmp_path / "q").iterdir()] == [b"\xef\xbb\xbfImage_ID,b,odd c,passed\n"]
+    assert not files.reachable("viewfs://store/x") and files.reachable(f"file://{tmp_path}")
