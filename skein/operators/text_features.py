@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -145,16 +146,44 @@ def feature_rows(features: DataFrame) -> DataFrame:
     return features.select(*[joined(F.col(c)).alias(c) if c in lists else F.col(c) for c in order])
 
 
-def word_frequency(texts: DataFrame, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",)) -> DataFrame:
-    """Word and Frequency, most frequent first; among equals the word that appears first in the given order of texts."""
+def _first_at(texts: DataFrame, order: Sequence[str]) -> Column:
+    """The place of a word: its text's, and `pos` in it."""
     if len(order) == 1 and texts.schema[order[0]].dataType.typeName() in ("byte", "short", "integer", "long"):
         # One number for text and place: minima of numbers are hashed where those of structs would be sorted.
-        at = F.coalesce(F.col(order[0]).cast("decimal(19,0)"), F.lit(-(1 << 63)).cast("decimal(19,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
-    else:
-        at = F.struct(*[F.col(c) for c in order], F.col("pos"))
+        return F.coalesce(F.col(order[0]).cast("decimal(19,0)"), F.lit(-(1 << 63)).cast("decimal(19,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    return F.struct(*[F.col(c) for c in order], F.col("pos"))
+
+
+def word_frequency(texts: DataFrame, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",)) -> DataFrame:
+    """Word and Frequency, most frequent first; among equals the word that appears first in the given order of texts."""
     # The outer form spares a filter that would build the tokens once more.
     each = texts.select(*order, F.posexplode_outer(tokens_col).alias("pos", "Word")).filter("Word IS NOT NULL")
-    return each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(at).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
+    return each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(_first_at(texts, order)).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
+
+
+def top_words(texts: DataFrame, k: int = 20, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",), tracked: int = 65_536, most_tracked: int = 1_000_000) -> DataFrame:
+    """The first k rows of word_frequency, exactly, without shuffling the vocabulary.
+
+    A sketch of frequent items, merged from all tasks, names candidates; a second pass counts only these, a broadcast of at most 50 k words. That no other word
+    belongs to the result follows from the sketch's bound: a word it doesn't name has at most the least named estimate, or twice the sketch's error
+    of 3.5 / map size of all words. Where the k-th count doesn't exceed that, as when many words are about as frequent, the sketch is
+    taken anew, eight times as large, and beyond most_tracked all words are counted.
+    """
+    names = max(50 * k, 100)
+    words = texts.select(F.explode(tokens_col).alias("Word")).filter("Word IS NOT NULL")
+    tracked = max(tracked, names)
+    while tracked <= most_tracked:
+        sketch = words.agg(F.expr(f"approx_top_k(Word, {names}, {tracked})").alias("top"), F.count("*").alias("n")).first()
+        error = math.ceil(3.5 * sketch.n / (1 << (math.ceil(tracked / 0.75) - 1).bit_length()))
+        bound = max(2 * error if sketch.n > tracked // 2 else 0, min((t["count"] for t in sketch.top), default=0) if len(sketch.top) == names else 0)
+        named = texts.sparkSession.createDataFrame([(t["item"],) for t in sketch.top], "Word string")
+        each = texts.select(*order, F.posexplode_outer(tokens_col).alias("pos", "Word")).join(F.broadcast(named), "Word")
+        found = each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(_first_at(texts, order)).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").limit(k)
+        rows = found.select("Word", "Frequency").collect()
+        if bound == 0 or len(rows) == k and rows[-1].Frequency > bound:
+            return texts.sparkSession.createDataFrame(rows, "Word string, Frequency long")
+        tracked *= 8
+    return word_frequency(texts, tokens_col, order).limit(k)
 
 
 def ontology(spark, lexicon: Lexicon = DEFAULT) -> DataFrame:

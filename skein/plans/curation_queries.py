@@ -112,6 +112,21 @@ def cut_word_frequency_sql() -> str:
 SELECT word, count(*) AS frequency FROM (SELECT unnest(regexp_extract_all(t, '[A-Za-z0-9]+(?:[.%_+#&-][A-Za-z0-9]+)*')) AS word FROM clean) GROUP BY 1"""
 
 
+def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty most frequent words of a report, by a sketch and an exact second pass."""
+    from skein.plans.queries import clean
+
+    return X.top_words(clean(spark, sf_dir), 20, "tokens", ("doc_id",)).select(F.col("Word").alias("word"), F.col("Frequency").alias("frequency"))
+
+
+def top_words_sql() -> str:
+    from skein.plans.queries import clean_sql
+
+    return f"""WITH clean AS (SELECT doc_id, {clean_sql('text')} AS t FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, regexp_extract_all(t, '[\u4E00-\u9FFF]+|[A-Za-z0-9]+') AS ws FROM clean))
+SELECT word, count(*) AS frequency FROM words GROUP BY 1 ORDER BY frequency DESC, min((doc_id, i)) LIMIT 20"""
+
+
 def hidden_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the words of the documents say about places of letters in words: the counts that the hidden model is fitted on."""
     tokens = table(spark, sf_dir, "documents").select(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[a-z]+|[^\sa-z]+"), 0).alias("Tokens"))
@@ -179,7 +194,7 @@ def json_array_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (annotation_run, gate_totals, term_matches, cut_word_frequency, hidden_word_counts, video_parts, script_states, keyword_union, json_array_notes)
+    found = (annotation_run, gate_totals, term_matches, cut_word_frequency, top_words, hidden_word_counts, video_parts, script_states, keyword_union, json_array_notes)
     return {f.__name__: f for f in found}
 
 
@@ -189,6 +204,7 @@ def oracle_sql() -> dict[str, str]:
         "gate_totals": gate_totals_sql(),
         "term_matches": TERMS_SQL,
         "cut_word_frequency": cut_word_frequency_sql(),
+        "top_words": top_words_sql(),
         "hidden_word_counts": HIDDEN_SQL,
         "video_parts": VIDEO_PARTS_SQL,
         "script_states": SCRIPT_SQL,

@@ -52,7 +52,7 @@ def test_entry_without_training_data_operators():
 
         sys.meta_path.insert(0, Gone())
         import __spark_entry__ as e
-        assert len(e.queries()) == 67 and "pipeline" not in e.queries() and not any(q.startswith("op") for q in e.queries())
+        assert len(e.queries()) == 68 and "pipeline" not in e.queries() and not any(q.startswith("op") for q in e.queries())
         assert set(e.oracle_sql()) == set(e.queries())
     """
     subprocess.run([sys.executable, "-c", textwrap.dedent(code)], check=True, timeout=120)

@@ -219,3 +219,14 @@ def test_words_outside_the_list(spark):
     assert "".join(hidden("任何字都留下，一个不少。")) == "任何字都留下，一个不少。"
     cut = X.cut_tokens(spark.createDataFrame([("轻便防风",)], "t string"), "t", "Tokens", hidden).first().Tokens
     assert cut == ["轻便", "防风"]
+
+
+@pytest.mark.parametrize(("kind", "tracked"), [("skewed", 1024), ("level", 1024), ("few", 65_536)])
+def test_top_words_equal_the_full_count(spark, kind, tracked):
+    """With a clear top, with words that are all about as frequent, so that no sketch is enough, and with few words."""
+    draw = random.Random(3)
+    word = {"skewed": lambda: int(draw.random() ** 4 * 3000), "level": lambda: draw.randrange(3000), "few": lambda: draw.randrange(7)}[kind]
+    texts = spark.createDataFrame([(i, [f"w{word()}" for _ in range(50)] if i % 9 else None) for i in range(400)], "Source_ID int, Tokens array<string>").repartition(3)
+    want = [tuple(r) for r in X.word_frequency(texts).limit(10).collect()]
+    assert [tuple(r) for r in X.top_words(texts, 10, tracked=tracked, most_tracked=10_000).collect()] == want
+    assert X.top_words(texts.limit(0), 10).count() == 0
