@@ -10,6 +10,8 @@ from __future__ import annotations
 import itertools
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from skein.operators.images import hamming
 from skein.sources.stage import staged
 
 #: Hashes in a block, at most, where all have to be compared with all; fewer hashes are in up to FEW_BLOCKS blocks of FEW_ROWS, to be compared side by side.
-BLOCK_ROWS, FEW_BLOCKS, FEW_ROWS = 20_000, 8, 500
+BLOCK_ROWS, FEW_BLOCKS, FEW_ROWS = 5_000, 8, 500
+#: Pairs of hashes that are compared at once.
+STEP_PAIRS = 1 << 21
 #: Forms of a band that a hash is looked up under, at most, and bits that a band has, at least.
 MOST_FORMS, MIN_BAND = 100, 12
 
@@ -59,14 +63,46 @@ def bands(h: Column, n: int, flips: int = 0) -> Column:
     return F.concat(*[forms(i, a, b) for i, (a, b) in enumerate(_edges(n))])
 
 
+def _near(distance: int):
+    """(a, b, distance) of the near pairs of two blocks, or of one block, which has no other side."""
+
+    def side(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        p, h = (block.column(k).to_numpy() for k in (2, 3))
+        ones = np.bitwise_count(h.view(np.uint64)).astype(np.int64)
+        order = np.argsort(ones, kind="stable")
+        return p[order], h.view(np.uint64)[order], ones[order]
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        same = bool(left.num_rows) and left["i"][0].as_py() == left["j"][0].as_py()
+        if not left.num_rows or not same and not right.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32())], ["a", "b", "distance"])
+        p, h, ones = side(left)
+        q, g, twos = (p, h, ones) if same else side(right)
+        found = []
+        step = max(1, STEP_PAIRS // max(1, len(q)))
+        for at in range(0, len(p), step):
+            part = slice(at, at + step)
+            low, high = np.searchsorted(twos, ones[part][0] - distance, "left"), np.searchsorted(twos, ones[part][-1] + distance, "right")
+            away = np.bitwise_count(h[part, None] ^ g[None, low:high])
+            i, j = np.nonzero(away <= distance)
+            found.append(np.stack([p[part][i], q[low:high][j], away[i, j].astype(np.int64)]))
+        a, b, d = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+        keep = a < b if same else np.ones(len(a), bool)
+        a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
+        return pa.table({"a": a, "b": b, "distance": d[keep].astype(np.int32)})
+
+    return compare
+
+
 def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str = "hash") -> DataFrame:
     """(a, b, distance) of all pairs of positions a < b within the distance.
 
     Meant for distinct hashes: of equal ones every pair is a row. By the pigeonhole principle a pair within the distance nearly agrees
     in some band of bits; one side is looked up under all nearly equal forms of its bands, an equi-join that Spark splits where a
     band is hot (distance 4: 3 bands of 21 bits and more, 69 forms). A pair found in several bands counts in the first. Distances over
-    14 leave bands that don't select: there all are compared with all, in blocks of BLOCK_ROWS that no task holds more than two of,
-    at the cost of the square of their number.
+    14 leave bands that don't select: there blocks of BLOCK_ROWS meet in pairs, two a task, and each pair of blocks is compared as arrays, in steps of
+    STEP_PAIRS pairs. Hashes whose numbers of set bits differ by more than the distance can't be near, so each hash of a block meets a run of the other, sorted
+    by that number. The cost still grows with the square, at about a nanosecond a pair; only near pairs become rows.
     """
     x = items.select(F.col(pos).cast("long").alias("p"), F.col(hash_col).cast("long").alias("h"))
     plan = band_plan(distance)
@@ -80,10 +116,14 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
     else:
         rows = x.count()
         k = max(1, -(-rows // BLOCK_ROWS), min(FEW_BLOCKS, rows // FEW_ROWS))
-        own, other = F.pmod(F.xxhash64("p"), F.lit(k)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
-        left = x.select(F.col("p").alias("a"), F.col("h").alias("ha"), own.alias("i"), other.alias("j"))
-        right = x.select(F.col("p").alias("b"), F.col("h").alias("hb"), own.alias("j"), other.alias("i"))
-        found = left.hint("merge").join(right, ["i", "j"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance))
+        own, every = F.pmod(F.xxhash64("p"), F.lit(k)), F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
+        placed = x.filter("h IS NOT NULL").select("p", "h", own.alias("own"), F.explode(every).alias("other"))
+        # Each two blocks meet once, and each block itself.
+        sides = placed.select("p", "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
+        left = sides.filter("first").select("i", "j", "p", "h")
+        # Columns of its own: of two sides with the same ones the optimizer would drop what the function alone reads.
+        right = sides.filter("NOT first").select(*[F.col(c).alias(f"{c}2") for c in ("i", "j", "p", "h")])
+        return left.groupBy("i", "j").cogroup(right.groupBy("i2", "j2")).applyInArrow(_near(distance), "a long, b long, distance int")
     return found.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
 
 

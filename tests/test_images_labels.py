@@ -211,6 +211,7 @@ def test_far_pairs_beyond_one_block(spark, monkeypatch):
     got = sorted(tuple(r) for r in near_duplicates.near_pairs(items, 16).collect())
     want = [(i, j, (values[i] ^ values[j]).bit_count()) for i in range(len(values)) for j in range(i + 1, len(values)) if (values[i] ^ values[j]).bit_count() <= 16]
     assert len(values) > 50 and got == want
+    assert near_duplicates.near_pairs(items, 16).count() == len(want) == near_duplicates.near_pairs(items, 16).select("a").distinct().join(items, F.col("a") == F.col("pos")).count() + len(want) - len({a for a, _, _ in want})
 
 
 @pytest.mark.parametrize("distance", [0, 1, 3, 4, 5, 7, 9, 14, 15])
