@@ -135,16 +135,20 @@ class DictionaryCutter:
         own = {w: 100 for terms in lists for w in terms}
         return cls(own | (dict(more) if isinstance(more, Mapping) else dict.fromkeys(more, 100)), hidden)
 
+    @cached_property
+    def _costs(self) -> dict[str, float]:
+        total = sum(self.counts.values()) or 1
+        return {w: math.log(total / n) for w, n in self.counts.items()}
+
     @cached_property
     def _trie(self) -> dict:
         """A node for each beginning of a word; a node's cost under the empty string, where a word ends."""
-        total = sum(self.counts.values()) or 1
         root: dict = {}
-        for word, n in self.counts.items():
+        for word, cost in self._costs.items():
             node = root
             for c in word:
                 node = node.setdefault(c, {})
-            node[""] = math.log(total / n)
+            node[""] = cost
         return root
 
     @cached_property
