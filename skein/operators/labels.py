@@ -41,7 +41,10 @@ ANSWER = "Image_ID string, attempt int, raw_model_output string, error_type stri
 
 def normalize_enum(value: Column, allowed: Sequence[str], default: Column | str) -> Column:
     """The stripped value if it is one of those allowed, case counts, else the default."""
-    v = strip(value)
+    return _allowed(strip(value), allowed, default)
+
+
+def _allowed(v: Column, allowed: Sequence[str], default: Column | str) -> Column:
     return F.when(v.isin(*allowed), v).otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
@@ -79,16 +82,20 @@ def normalize_labels(labels: DataFrame, raw_col: str = "raw_model_output", keep:
     read = {"_said": F.try_variant_get("_raw", "$", f"struct<{', '.join(f'`{c}`: string' for c in texts)}>"), "_clue": F.try_variant_get("_raw", "$.Material_Clue", "variant")}
     parsed = computed(parsed, **read, **{f"_{c}": F.try_variant_get("_raw", f"$.{c}", "long") for c in ("Outfit_Count", "Pockets")})
 
+    # Each text is stripped once.
+    stripped = (*ENUMS, "Primary_Color", "Secondary_Color")
+    parsed = computed(parsed, _bare=F.struct(*[strip(F.col("_said")[c]).alias(c) for c in stripped]))
+
     def text(name: str) -> Column:
-        return F.col("_said")[name]
+        return F.col("_bare" if name in stripped else "_said")[name]
 
-    status = normalize_enum(text("Curation_Status"), *ENUMS["Curation_Status"])
-    reason = normalize_enum(text("Reject_Reason"), ENUMS["Reject_Reason"][0], F.when(status == "use", "none").otherwise("too_unclear"))
-    plain = {c: normalize_enum(text(c), *ENUMS[c]).alias(c) for c in ENUMS}
-    plain["Zipper_Type"] = normalize_enum(F.coalesce(text("Zipper_Type"), F.lit("None")), *ENUMS["Zipper_Type"]).alias("Zipper_Type")
+    status = _allowed(text("Curation_Status"), *ENUMS["Curation_Status"])
+    reason = _allowed(text("Reject_Reason"), ENUMS["Reject_Reason"][0], F.when(status == "use", "none").otherwise("too_unclear"))
+    plain = {c: _allowed(text(c), *ENUMS[c]).alias(c) for c in ENUMS}
+    plain["Zipper_Type"] = _allowed(F.coalesce(text("Zipper_Type"), F.lit("None")), *ENUMS["Zipper_Type"]).alias("Zipper_Type")
 
     def color(name: str, default: str) -> Column:
-        return F.coalesce(F.nullif(strip(text(name)), F.lit("")), F.lit(default)).alias(name)
+        return F.coalesce(F.nullif(text(name), F.lit("")), F.lit(default)).alias(name)
 
     def whole(name: str) -> Column:
         return normalize_int(F.coalesce(F.col(f"_{name}").cast("string"), text(name))).alias(name)
