@@ -94,15 +94,27 @@ def _near(distance: int):
     return compare
 
 
+def _far_pairs(x: DataFrame, k: int, distance: int) -> DataFrame:
+    """Near pairs of (p, h) in k blocks, compared as arrays."""
+    own, every = F.pmod(F.xxhash64("p"), F.lit(k)), F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
+    placed = x.filter("h IS NOT NULL").select("p", "h", own.alias("own"), F.explode(every).alias("other"))
+    # Each two blocks meet once, and each block itself.
+    sides = placed.select("p", "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
+    left = sides.filter("first").select("i", "j", "p", "h")
+    # Columns of its own: of two sides with the same ones the optimizer would drop what the function alone reads.
+    right = sides.filter("NOT first").select(*[F.col(c).alias(f"{c}2") for c in ("i", "j", "p", "h")])
+    return left.groupBy("i", "j").cogroup(right.groupBy("i2", "j2")).applyInArrow(_near(distance), "a long, b long, distance int")
+
+
 def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str = "hash") -> DataFrame:
     """(a, b, distance) of all pairs of positions a < b within the distance.
 
     Meant for distinct hashes: of equal ones every pair is a row. By the pigeonhole principle a pair within the distance nearly agrees
     in some band of bits; one side is looked up under all nearly equal forms of its bands, an equi-join that Spark splits where a
     band is hot (distance 4: 3 bands of 21 bits and more, 69 forms). A pair found in several bands counts in the first. Distances over
-    14 leave bands that don't select: there blocks of BLOCK_ROWS meet in pairs, two a task, and each pair of blocks is compared as arrays, in steps of
+    14 leave bands that don't select: there up to BLOCK_ROWS hashes are joined, and more meet in pairs of blocks of that size, a pair a task, and are compared as arrays, in steps of
     STEP_PAIRS pairs. Hashes whose numbers of set bits differ by more than the distance can't be near, so each hash of a block meets a run of the other, sorted
-    by that number. The cost still grows with the square, at about a nanosecond a pair; only near pairs become rows.
+    by that number. The cost still grows with the square, at some nanoseconds a pair; only near pairs become rows.
     """
     x = items.select(F.col(pos).cast("long").alias("p"), F.col(hash_col).cast("long").alias("h"))
     plan = band_plan(distance)
@@ -115,15 +127,14 @@ def near_pairs(items: DataFrame, distance: int, pos: str = "pos", hash_col: str
         found = left.join(right, ["band", "value"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance) & (first == F.col("band")))
     else:
         rows = x.count()
-        k = max(1, -(-rows // BLOCK_ROWS), min(FEW_BLOCKS, rows // FEW_ROWS))
-        own, every = F.pmod(F.xxhash64("p"), F.lit(k)), F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
-        placed = x.filter("h IS NOT NULL").select("p", "h", own.alias("own"), F.explode(every).alias("other"))
-        # Each two blocks meet once, and each block itself.
-        sides = placed.select("p", "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
-        left = sides.filter("first").select("i", "j", "p", "h")
-        # Columns of its own: of two sides with the same ones the optimizer would drop what the function alone reads.
-        right = sides.filter("NOT first").select(*[F.col(c).alias(f"{c}2") for c in ("i", "j", "p", "h")])
-        return left.groupBy("i", "j").cogroup(right.groupBy("i2", "j2")).applyInArrow(_near(distance), "a long, b long, distance int")
+        if rows > BLOCK_ROWS:
+            return _far_pairs(x, -(-rows // BLOCK_ROWS), distance)
+        # So few that rows of pairs cost less than starting Python.
+        k = max(1, min(FEW_BLOCKS, rows // FEW_ROWS))
+        own, other = F.pmod(F.xxhash64("p"), F.lit(k)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+        left = x.select(F.col("p").alias("a"), F.col("h").alias("ha"), own.alias("i"), other.alias("j"))
+        right = x.select(F.col("p").alias("b"), F.col("h").alias("hb"), own.alias("j"), other.alias("i"))
+        found = left.hint("merge").join(right, ["i", "j"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance))
     return found.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
 
 
