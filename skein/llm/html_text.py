@@ -352,7 +352,9 @@ def main_text(html: str | None) -> str:
 def extract_main_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
     """pages without the html column, with the main text in `out`, empty where there is none; null and empty html give "".
 
-    Elements nested over DEEPEST deep share a path, and what keeps text out is told apart up to that depth.
+    Headers and footers go, those inside an article with their headings too, as does a list whose text is mostly links. Formulas, labels and the
+    like stay in their paragraph. Elements nested over DEEPEST deep share a path, and what keeps text out is told apart up to that depth. Time is in
+    proportion to a page's length, however broken it is.
     Other columns pass as they are, but for one named like `out`, which is replaced. Rows are judged one by one: repeated
     rows give equal texts, an empty table an empty one, and nothing is shuffled.
     """
