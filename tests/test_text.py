@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import lexicon as L
+from skein.functions import segment
 from skein.functions import terms as T
 from skein.functions.segment import FOLLOW, STATES, DictionaryCutter, HiddenWords, fit_hidden_words
 from skein.functions.text import clean_text, first_nonblank, first_present, first_truthy, safe_text, strip
@@ -230,3 +231,24 @@ def test_top_words_equal_the_full_count(spark, kind, tracked):
     want = [tuple(r) for r in X.word_frequency(texts).limit(10).collect()]
     assert [tuple(r) for r in X.top_words(texts, 10, tracked=tracked, most_tracked=10_000).collect()] == want
     assert X.top_words(texts.limit(0), 10).count() == 0
+
+
+def test_places_in_words_are_counted_without_a_row_a_letter(spark):
+    """The counts equal a plain reading, in pieces of any size, and the plan makes no row for a letter or a pair."""
+    texts = [["冲锋", "衣", None, "", "x", "不透气"], None, [], ["。"], ["透气", "冲锋衣服"], ["𠀀", "衣"]] * 3
+    want: dict = {}
+    for words in texts:
+        last = "|"
+        for w in [w for w in words or [] if w]:
+            states = "|" if not all("一" <= c <= "鿿" for c in w) else "S" if len(w) == 1 else "B" + "M" * (len(w) - 2) + "E"
+            for s, c in zip(states, w, strict=False):
+                for key in ([("emit", s + c)] if s != "|" else []) + ([("start" if last == "|" else "move", last.strip("|") + s)] if s != "|" else []):
+                    want[key] = want.get(key, 0) + 1
+                last = s
+    df = spark.createDataFrame([(t,) for t in texts], "Tokens array<string>").repartition(2)
+    counts = segment.hidden_counts(df)
+    assert {(r.kind, r.key): r.n for r in counts.collect()} == want
+    assert "Generate" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    lists = pa.array([t for t in texts if t])
+    whole = segment._place_counts(lists.flatten(), lists.flatten().is_valid().to_numpy(zero_copy_only=False).cumsum() * 0, "[a-z]+")
+    assert whole.to_pylist() == [{"kind": "emit", "key": "Sx", "n": 3}, {"kind": "start", "key": "S", "n": 3}]
