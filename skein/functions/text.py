@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,8 @@ TAGS = r"<[^>]+>"
 EMOJI = r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}"
 GARBLED = r"\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFD}"
 BLANK = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-REPEATED_MARK = r"([，。！？、；：,.!?;:'\"])\1+"
+MARKS = "，。！？、；：,.!?;:'\""
+REPEATED_MARK = rf"([{MARKS}])\1+"
 EDGES = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 
 
@@ -43,10 +45,17 @@ def first_nonblank(*columns: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Tags, emoji and control characters become blanks, white space shrinks to one blank, runs of one mark to the mark. Null becomes empty."""
-    out = F.regexp_replace(F.coalesce(c, F.lit("")), rf"{TAGS}|[{EMOJI}{GARBLED}]+", " ")
+    # Printable ASCII fails the first range of a class, so that most characters are not tested against all ranges.
+    blank, other = rf"[[^!-~]&&[ \t-\r{BLANK}]]", rf"[[^ -~]&&[\t-\r{BLANK}]]"
+    out = F.regexp_replace(F.coalesce(c, F.lit("")), rf"{TAGS}|[[^ -~]&&[{EMOJI}{GARBLED}]]+", " ")
     # A single blank, which most white space is, needs no replacement.
-    out = F.trim(F.regexp_replace(out, rf"[ \t-\r{BLANK}]{{2,}}|[\t-\r{BLANK}]", " "))
-    return F.trim(F.regexp_replace(out, REPEATED_MARK, "$1"))
+    out = F.trim(F.regexp_replace(out, rf" {blank}+|{other}{blank}*", " "))
+
+    def single(t: Column) -> Column:
+        doubled = functools.reduce(Column.__or__, [F.contains(t, F.lit(m * 2)) for m in MARKS])
+        return F.when(doubled, F.trim(F.regexp_replace(t, REPEATED_MARK, "$1"))).otherwise(t)
+
+    return F.transform(F.array(out), single)[0]  # a variable, so that the text is computed once
 
 
 def computed(df: DataFrame, **columns: Column) -> DataFrame:

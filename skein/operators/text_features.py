@@ -69,7 +69,10 @@ def explode_pain_points(texts: DataFrame, text_col: str = "Cleaned_Text", lexico
 
 
 def _singles(tokens: Column, words: Sequence[str]) -> Column:
-    return F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.array_contains(tokens, w)) if words else F.array().cast("array<string>")
+    if not words:
+        return F.array().cast("array<string>")
+    # A variable holds the tokens, which would be cut anew for each word.
+    return F.transform(F.array(tokens), lambda ts: F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.array_contains(ts, w)))[0]
 
 
 def positive_hits(c: Column, tokens: Column, lexicon: Lexicon = DEFAULT) -> Column:
@@ -146,29 +149,45 @@ def feature_rows(features: DataFrame) -> DataFrame:
     return features.select(*[joined(F.col(c)).alias(c) if c in lists else F.col(c) for c in order])
 
 
-def _first_at(texts: DataFrame, order: Sequence[str]) -> Column:
+def _first_at(order: Sequence[str]) -> Column:
     """The place of a word: its text's, and `pos` in it."""
-    if len(order) == 1 and texts.schema[order[0]].dataType.typeName() in ("byte", "short", "integer", "long"):
-        # One number for text and place: minima of numbers are hashed where those of structs would be sorted.
-        return F.coalesce(F.col(order[0]).cast("decimal(19,0)"), F.lit(-(1 << 63)).cast("decimal(19,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
     return F.struct(*[F.col(c) for c in order], F.col("pos"))
 
 
+def _counted(each: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Word, Frequency and first_at, the first place of each word. each: the columns of order, pos, Word."""
+    if len(order) > 1 or each.schema[order[0]].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(_first_at(order)).alias("first_at"))
+    # One number for text and place: minima of numbers are hashed where those of structs would be sorted. Where both fit into a long, no decimal is made for a word.
+    n, pos, bits = F.col(order[0]).cast("long"), F.col("pos").cast("long"), 20
+
+    def wide(n: Column, pos: Column) -> Column:
+        return F.coalesce(n.cast("decimal(19,0)"), F.lit(-(1 << 63)).cast("decimal(19,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + pos
+
+    fits = n.isNotNull() & (n >= 0) & (n < 1 << (63 - bits)) & (pos < 1 << bits)
+    low, high = F.min(F.when(fits, F.shiftleft(n, bits) + pos)).alias("low"), F.min(F.when(~fits, wide(n, pos))).alias("high")
+    found = each.groupBy("Word").agg(F.count("*").alias("Frequency"), low, high)
+    packed = wide(F.shiftright("low", bits), F.col("low").bitwiseAND((1 << bits) - 1))
+    return found.select("Word", "Frequency", F.least(F.when(F.col("low").isNotNull(), packed), "high").alias("first_at"))
+
+
 def word_frequency(texts: DataFrame, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",)) -> DataFrame:
     """Word and Frequency, most frequent first; among equals the word that appears first in the given order of texts."""
     # The outer form spares a filter that would build the tokens once more.
     each = texts.select(*order, F.posexplode_outer(tokens_col).alias("pos", "Word")).filter("Word IS NOT NULL")
-    return each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(_first_at(texts, order)).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
+    return _counted(each, order).orderBy(F.desc("Frequency"), "first_at").drop("first_at")
 
 
-def top_words(texts: DataFrame, k: int = 20, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",), tracked: int = 65_536, most_tracked: int = 1_000_000) -> DataFrame:
-    """The first k rows of word_frequency, exactly, without shuffling the vocabulary.
+def top_words(texts: DataFrame, k: int = 20, tokens_col: str = "Tokens", order: Sequence[str] = ("Source_ID",), tracked: int | None = None, most_tracked: int = 1_000_000) -> DataFrame:
+    """The first k rows of word_frequency, exactly. All words are counted, in one pass over the texts, unless `tracked` is given.
 
-    A sketch of frequent items, merged from all tasks, names candidates; a second pass counts only these, a broadcast of at most 50 k words. That no other word
+    Then the vocabulary is not shuffled, at the cost of a second pass: a sketch of frequent items, merged from all tasks, names candidates; a second pass counts only these, a broadcast of at most 50 k words. That no other word
     belongs to the result follows from the sketch's bound: a word it doesn't name has at most the least named estimate, or twice the sketch's error
     of 3.5 / map size of all words. Where the k-th count doesn't exceed that, as when many words are about as frequent, the sketch is
     taken anew, eight times as large, and beyond most_tracked all words are counted.
     """
+    if tracked is None:
+        return word_frequency(texts, tokens_col, order).limit(k)
     names = max(50 * k, 100)
     words = texts.select(F.explode(tokens_col).alias("Word")).filter("Word IS NOT NULL")
     tracked = max(tracked, names)
@@ -178,7 +197,7 @@ def top_words(texts: DataFrame, k: int = 20, tokens_col: str = "Tokens", order:
         bound = max(2 * error if sketch.n > tracked // 2 else 0, min((t["count"] for t in sketch.top), default=0) if len(sketch.top) == names else 0)
         named = texts.sparkSession.createDataFrame([(t["item"],) for t in sketch.top], "Word string")
         each = texts.select(*order, F.posexplode_outer(tokens_col).alias("pos", "Word")).join(F.broadcast(named), "Word")
-        found = each.groupBy("Word").agg(F.count("*").alias("Frequency"), F.min(_first_at(texts, order)).alias("first_at")).orderBy(F.desc("Frequency"), "first_at").limit(k)
+        found = _counted(each, order).orderBy(F.desc("Frequency"), "first_at").limit(k)
         rows = found.select("Word", "Frequency").collect()
         if bound == 0 or len(rows) == k and rows[-1].Frequency > bound:
             return texts.sparkSession.createDataFrame(rows, "Word string, Frequency long")

@@ -113,7 +113,7 @@ SELECT word, count(*) AS frequency FROM (SELECT unnest(regexp_extract_all(t, '[A
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The twenty most frequent words of a report, by a sketch and an exact second pass."""
+    """The twenty most frequent words of a report."""
     from skein.plans.queries import clean
 
     return X.top_words(clean(spark, sf_dir), 20, "tokens", ("doc_id",)).select(F.col("Word").alias("word"), F.col("Frequency").alias("frequency"))

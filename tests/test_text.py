@@ -252,3 +252,27 @@ def test_places_in_words_are_counted_without_a_row_a_letter(spark):
     lists = pa.array([t for t in texts if t])
     whole = segment._place_counts(lists.flatten(), lists.flatten().is_valid().to_numpy(zero_copy_only=False).cumsum() * 0, "[a-z]+")
     assert whole.to_pylist() == [{"kind": "emit", "key": "Sx", "n": 3}, {"kind": "start", "key": "S", "n": 3}]
+
+
+def test_tokens_are_cut_once_for_all_single_words(spark, sf):
+    for name in ("sentiment", "feature_vectors"):
+        assert "array_contains(regexp_extract_all(" not in queries.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_marks_are_replaced_only_where_one_is_doubled(spark, sf):
+    plan = queries.clean_documents(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan and ", !!)" in plan
+    assert [one(spark, clean_text(F.col("c")), x) for x in ("。。a", "a!!  ''", "!?", "\x85　a b\x7f", "é\n\nß")] == ["。a", "a! '", "!?", "a b\x7f", "é ß"]
+
+
+def test_places_of_words_with_ids_of_any_size(spark):
+    rows = [(None, ["n"]), (-(1 << 62), ["a"]), (5, ["b", "c"]), ((1 << 43) - 1, ["d"]), (1 << 43, ["e"]), ((1 << 63) - 1, ["f", "b"])]
+    got = X.word_frequency(spark.createDataFrame(rows[::-1], "Source_ID long, Tokens array<string>"))
+    assert [r.Word for r in got.collect()] == ["b", "n", "a", "c", "d", "e", "f"]
+    assert "CASE WHEN" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_words_take_one_pass(spark):
+    texts = spark.createDataFrame([(1, ["a", "b", "a"])], "Source_ID long, Tokens array<string>")
+    top = X.top_words(texts, 1)
+    assert [tuple(r) for r in top.collect()] == [("a", 2)] and "LocalRelation" not in top._jdf.queryExecution().logical().toString()
