@@ -26,8 +26,8 @@ from skein.llm.words import SPACED, blocks, mix, span_hashes, window_hashes
 RADIUS = 3
 #: Distinct fingerprints of a bucket that one task searches; larger buckets are dealt out by finer masks.
 BUCKET_ROWS = 20_000
-#: Bands of minima over a text's shingles and minima in each: a pair of similarity 0.8 shares no band with a chance of 3 in 100,000.
-BANDS, BAND_ROWS = 20, 4
+#: Groups of minima over a text's shingles, and the differing minima of a group that its covering masks allow: a pair of similarity 0.8 shares no masked group with a chance of 4 in a million.
+GROUPS, GROUP_RADIUS = 6, 2
 #: Members of a bucket that is too large for one task which are tried as its star.
 STARS = 8
 #: Shingles up to which a text may be such a star while shorter ones are there.
@@ -39,7 +39,7 @@ SLACK = 1e-9
 #: 64-bit parts of the fingerprint of five-word shingles by which likeness is judged.
 SKETCH_PARTS = 8
 
-_ODD = np.random.default_rng(8).integers(0, 1 << 64, (BANDS, BAND_ROWS), dtype=np.uint64) | np.uint64(1)
+_ODD = np.random.default_rng(8).integers(0, 1 << 64, (GROUPS, (2 << GROUP_RADIUS) - 1), dtype=np.uint64) | np.uint64(1)
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").astype(np.int64)
 
 
@@ -484,17 +484,26 @@ def likeness_bits(similarity: float, parts: int = SKETCH_PARTS, deviations: floa
     return int(np.floor(n * p + deviations * np.sqrt(n * p * (1 - p))))
 
 
-def band_keys(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(n, BANDS) keys, each of BAND_ROWS minima over the shingles first[i]:first[i + 1] of a row; of none, zeros."""
-    out = np.zeros((len(first) - 1, BANDS), np.uint64)
+def covering_keys(fps: np.ndarray, shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(n, keys) of rows with SimHashes fps and sets shingles[first[i]:first[i + 1]]; of empty sets, equal ones.
+
+    A key for each covering mask of the SimHash at RADIUS, and, as a similarity of 0.8 lies beyond that, for each covering mask of GROUPS groups of minima
+    at GROUP_RADIUS: the places of a group are masked as the bits of a fingerprint are, and rows that differ in up to GROUP_RADIUS minima of a group share a key for certain.
+    """
+    out = [mix(mix(fps & np.uint64(mask)) ^ mix(np.array([-1 - v], np.int64).view(np.uint64))) for v, mask in enumerate(covering_masks((1 << 64) - 1))]
     some = np.flatnonzero(np.diff(first))
-    if len(some):
-        for i in range(BANDS):
-            key = np.full(len(some), i + 1, np.uint64)
-            for odd in _ODD[i]:
-                key = mix(key ^ mix(np.minimum.reduceat(shingles * odd, first[some])))
-            out[some, i] = key
-    return out
+    places = _ODD.shape[1]
+    masks = covering_masks((1 << places) - 1, GROUP_RADIUS)
+    for i, odds in enumerate(_ODD):
+        least = [mix(np.minimum.reduceat(shingles * odd, first[some])) for odd in odds] if len(some) else []
+        for v, mask in enumerate(masks):
+            key = np.full(len(some), 1 + i * len(masks) + v, np.uint64)
+            for p in range(places):
+                if len(some) and mask >> p & 1:
+                    key = mix(key ^ least[p])
+            out.append(np.zeros(len(first) - 1, np.uint64))
+            out[-1][some] = key
+    return np.stack(out, axis=1)
 
 
 def _shingles(block, words: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
@@ -515,11 +524,11 @@ def _shingles(block, words: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarr
 
 
 def near_duplicate_sketches(texts: pa.Array, words: int = 5, parts: int = SKETCH_PARTS) -> Iterator[tuple[np.ndarray, ...]]:
-    """By block: two hashes of the word sequence, (n, BANDS) keys of minima over the set of shingles, (n, parts) fingerprints of it."""
+    """By block: two hashes of the word sequence, (n, keys) covering keys of its set of shingles, (n, parts) fingerprints of it."""
     for block in blocks(texts, SPACED, lower=True):
         shingles, first, whole = _shingles(block, words)
         sketch = np.stack([simhash(mix(shingles ^ mix(np.array([s + 101], np.uint64))), first) for s in range(parts)], axis=1)
-        yield *whole, band_keys(shingles, first), sketch
+        yield *whole, covering_keys(sketch[:, 0], shingles, first), sketch
 
 
 def shingle_sets(texts: pa.Array, words: int = 5) -> Iterator[pa.Array]:
@@ -534,7 +543,7 @@ def shingle_sets(texts: pa.Array, words: int = 5) -> Iterator[pa.Array]:
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS, values: int = SET_VALUES) -> DataFrame:
     """The rows of docs, all columns, of which one stays for each group of near copies: the one with the smallest id.
 
-    Candidates are texts that share one of BANDS bands of minima over their shingles, which misses one in about 40,000
+    Candidates are texts that share a bucket of the covering masks of their SimHash or of their minima (see covering_keys), which misses four in a million
     pairs at a similarity of 0.8 and fewer above, wherever the texts differ, and whose SimHashes are as close as those of texts of the
     given similarity (see likeness_bits). Texts that candidates connect are then compared by their whole sets of shingles:
     a link needs that Jaccard similarity exactly, and groups are the components of links. Texts with the same words are

@@ -510,6 +510,25 @@ def test_near_copies_cut_continued_or_rewritten_share_a_band():
     assert len(pairs) > 1000 and shared.all()
 
 
+def test_covering_masks_give_the_candidates_of_near_copies():
+    """SimHashes within RADIUS bits share a masked key for certain, and so do sets that differ in GROUP_RADIUS minima of a group."""
+    rng = np.random.default_rng(5)
+    fps = rng.integers(0, 1 << 64, 500, dtype=np.uint64)
+    near = fps.copy()
+    for _ in range(covering_dedup.RADIUS):
+        near ^= np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)
+    shingles, first = rng.integers(0, 1 << 64, 10_000, dtype=np.uint64), np.arange(0, 10_001, 20)
+    other = rng.integers(0, 1 << 64, 10_000, dtype=np.uint64)
+    a, b = covering_dedup.covering_keys(fps, shingles, first), covering_dedup.covering_keys(near, other, first)
+    assert (a == b).any(axis=1).all() and (a[:-1] == b[1:]).sum() == 0
+    sets = [np.append(shingles[20 * i : 20 * i + 20], other[i]) for i in range(500)]
+    c = covering_dedup.covering_keys(other[:500], np.concatenate(sets), np.arange(0, 10_501, 21))
+    minima = [[int(np.argmin(s * odd)) == 20 for s in sets] for odd in covering_dedup._ODD[0]]
+    few = np.sum(minima, axis=0) <= covering_dedup.GROUP_RADIUS
+    n = len(covering_dedup.covering_masks((1 << len(minima)) - 1, covering_dedup.GROUP_RADIUS))
+    assert few.sum() > 300 and (a == c)[few][:, 15 : 15 + n].any(axis=1).all()
+
+
 def test_near_copies_cut_continued_or_rewritten_go(spark):
     texts = [" ".join(w) for pair in edited_copies(random.Random(3), 150) for w in pair]
     kept = {r.doc_id for r in covering_dedup.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
