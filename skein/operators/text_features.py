@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from skein.functions.text import by_length, joined, matched
 
 #: Facet terms from which on one automaton looks for all of them, in place of a test a term.
 MANY_TERMS = 500
+#: Bytes of text that are cut before their tokens are handed on.
+CUT_BYTES = 1 << 20
 #: A run of Chinese characters, or of ASCII letters and digits, is a token.
 TOKEN = r"[\x{4E00}-\x{9FFF}]+|[A-Za-z0-9]+"
 
@@ -25,6 +29,16 @@ def regex_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(TOKEN), 0)
 
 
+def _pieces(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of at most CUT_BYTES of text, or of one row: the tokens of a text take many times its size."""
+    size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(size, size[start] + CUT_BYTES, "right")) - 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def cut_tokens(docs: DataFrame, text_col: str, out: str, cut: Callable[[str], Sequence[str]]) -> DataFrame:
     """docs with tokens from a segmenter that the caller gives, such as a dictionary cutter; blanks and lone marks are left out."""
     kept = [c for c in docs.columns if c != out]
@@ -34,7 +48,7 @@ def cut_tokens(docs: DataFrame, text_col: str, out: str, cut: Callable[[str], Se
         return len(word) == 1 and not ("一" <= word <= "鿿" or word.isascii() and word.isalnum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in _pieces(whole, at)):
             tokens = [[w for t in cut(x or "") if (w := t.strip()) and not lone_mark(w)] for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.list_(pa.string()))], [*kept, out])
 

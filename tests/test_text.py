@@ -276,3 +276,9 @@ def test_top_words_take_one_pass(spark):
     texts = spark.createDataFrame([(1, ["a", "b", "a"])], "Source_ID long, Tokens array<string>")
     top = X.top_words(texts, 1)
     assert [tuple(r) for r in top.collect()] == [("a", 2)] and "LocalRelation" not in top._jdf.queryExecution().logical().toString()
+
+
+def test_texts_are_cut_in_pieces_of_bounded_size():
+    batch = pa.RecordBatch.from_pydict({"k": list(range(6)), "t": ["a" * (X.CUT_BYTES // 2), "b" * (X.CUT_BYTES // 2), None, "c", "d" * (2 * X.CUT_BYTES), ""]})
+    pieces = list(X._pieces(batch, 1))
+    assert pa.Table.from_batches(pieces) == pa.Table.from_batches([batch]) and [p.num_rows for p in pieces] == [3, 1, 1, 1] and not list(X._pieces(batch.slice(0, 0), 1))
