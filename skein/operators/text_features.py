@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -20,8 +21,9 @@ from skein.functions.text import by_length, joined, matched
 MANY_TERMS = 500
 #: Bytes of text that are cut before their tokens are handed on.
 CUT_BYTES = 1 << 20
-#: A run of Chinese characters, or of ASCII letters and digits, is a token.
-TOKEN = r"[\x{4E00}-\x{9FFF}]+|[A-Za-z0-9]+"
+#: A run of characters of one of these classes, Chinese ones or ASCII letters and digits, is a token.
+RUNS = (r"[\x{4E00}-\x{9FFF}]", "[A-Za-z0-9]")
+TOKEN = "|".join(f"{r}+" for r in RUNS)
 
 
 def regex_tokens(c: Column) -> Column:
@@ -29,6 +31,14 @@ def regex_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(TOKEN), 0)
 
 
+def is_regex_token(c: Column, word: str) -> Column:
+    """Whether the word is among the regex_tokens of the text, which is not cut: the word stands somewhere without a neighbour of its own class."""
+    run = next((r for r, whole in zip(RUNS, (r"[\u4e00-\u9fff]+", "[A-Za-z0-9]+"), strict=True) if re.fullmatch(whole, word)), None)
+    if run is None:
+        return F.lit(False)
+    return F.contains(c, F.lit(word)) & c.rlike(f"{word}(?!{run})(?<!{run}{word})")
+
+
 def _pieces(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of at most CUT_BYTES of text, or of one row: the tokens of a text take many times its size."""
     size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
@@ -82,25 +92,27 @@ def explode_pain_points(texts: DataFrame, text_col: str = "Cleaned_Text", lexico
     return texts.select(*keep, F.inline(pain_points(F.col(text_col), lexicon)))
 
 
-def _singles(tokens: Column, words: Sequence[str]) -> Column:
+def _singles(c: Column, tokens: Column | None, words: Sequence[str]) -> Column:
     if not words:
         return F.array().cast("array<string>")
+    if tokens is None:
+        return F.array_compact(F.array(*[F.when(is_regex_token(c, w), F.lit(w)) for w in words]))
     # A variable holds the tokens, which would be cut anew for each word.
     return F.transform(F.array(tokens), lambda ts: F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.array_contains(ts, w)))[0]
 
 
-def positive_hits(c: Column, tokens: Column, lexicon: Lexicon = DEFAULT) -> Column:
-    """Sorted distinct positive words: of one character as a token only, longer ones anywhere."""
+def positive_hits(c: Column, tokens: Column | None, lexicon: Lexicon = DEFAULT) -> Column:
+    """Sorted distinct positive words: of one character as a token only, longer ones anywhere. Without tokens those of regex_tokens count, and no text is cut."""
     long = [w for w in lexicon.positive if len(w) > 1]
-    return F.array_sort(F.array_distinct(F.concat(matched(c, long), _singles(tokens, [w for w in lexicon.positive if len(w) == 1]))))
+    return F.array_sort(F.array_distinct(F.concat(matched(c, long), _singles(c, tokens, [w for w in lexicon.positive if len(w) == 1]))))
 
 
-def negative_hits(c: Column, tokens: Column, lexicon: Lexicon = DEFAULT) -> Column:
-    """Sorted distinct negative phrases anywhere, and single words as tokens."""
-    return F.array_sort(F.array_distinct(F.concat(matched(c, (*lexicon.negative, *lexicon.weight_negative)), _singles(tokens, (*lexicon.negative_single, *lexicon.weight_negative_single)))))
+def negative_hits(c: Column, tokens: Column | None, lexicon: Lexicon = DEFAULT) -> Column:
+    """Sorted distinct negative phrases anywhere, and single words as tokens; without tokens as above."""
+    return F.array_sort(F.array_distinct(F.concat(matched(c, (*lexicon.negative, *lexicon.weight_negative)), _singles(c, tokens, (*lexicon.negative_single, *lexicon.weight_negative_single)))))
 
 
-def sentiment(c: Column, tokens: Column, lexicon: Lexicon = DEFAULT) -> Column:
+def sentiment(c: Column, tokens: Column | None, lexicon: Lexicon = DEFAULT) -> Column:
     """struct<Sentiment, Sentiment_Score, Reason>. Negation is not looked at: a word inside its own negation counts."""
     return sentiment_of_hits(positive_hits(c, tokens, lexicon), negative_hits(c, tokens, lexicon))
 
@@ -137,9 +149,12 @@ def implications(pains: Column, label: Column, functions: Column, scenarios: Col
     return F.when(F.size(found) > 0, F.concat_ws("；", found)).otherwise(F.lit(L.NO_IMPLICATION))
 
 
-def feature_columns(texts: DataFrame, lexicon: Lexicon = DEFAULT, text_col: str = "Cleaned_Text", tokens_col: str = "Tokens") -> DataFrame:
-    """texts with one column for each operator's result, arrays kept as arrays. Three projections, as later ones build on earlier ones."""
-    c, tokens = F.col(text_col), F.col(tokens_col)
+def feature_columns(texts: DataFrame, lexicon: Lexicon = DEFAULT, text_col: str = "Cleaned_Text", tokens_col: str | None = "Tokens") -> DataFrame:
+    """texts with one column for each operator's result, arrays kept as arrays. Three projections, as later ones build on earlier ones.
+
+    tokens_col None stands for the regex_tokens of the text, which then need not be cut.
+    """
+    c, tokens = F.col(text_col), F.col(tokens_col) if tokens_col else None
     names = {"Color_Terms": lexicon.color, "Material_Terms": lexicon.material, "Fit_Terms": lexicon.fit, "Function_Terms": lexicon.function, "Scenario_Terms": lexicon.scenario, "General_Terms": lexicon.general}
     if sum(map(len, names.values())) > MANY_TERMS:
         found = find_terms(texts, names, text_col).withColumns({k: by_length(F.col(k)) for k in names})

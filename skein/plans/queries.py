@@ -147,7 +147,7 @@ def pain_point_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.feature_columns(clean(spark, sf_dir), L, "t", "tokens")
+    return X.feature_columns(clean(spark, sf_dir), L, "t", tokens_col=None)
 
 
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:

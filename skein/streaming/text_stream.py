@@ -16,7 +16,7 @@ from skein.plans.text_analysis import cleaned_records
 def features(records: DataFrame, lexicon: Lexicon = DEFAULT) -> DataFrame:
     """Feature columns of a batch or a stream; stateless."""
     texts = cleaned_records(records)
-    return X.feature_columns(texts.withColumn("Tokens", X.regex_tokens(F.col("Cleaned_Text"))), lexicon)
+    return X.feature_columns(texts.withColumn("Tokens", X.regex_tokens(F.col("Cleaned_Text"))), lexicon, tokens_col=None)
 
 
 def windowed_words(records: DataFrame, time_col: str, window: str = "1 hour", late: str = "1 hour") -> DataFrame:

@@ -282,3 +282,18 @@ def test_texts_are_cut_in_pieces_of_bounded_size():
     batch = pa.RecordBatch.from_pydict({"k": list(range(6)), "t": ["a" * (X.CUT_BYTES // 2), "b" * (X.CUT_BYTES // 2), None, "c", "d" * (2 * X.CUT_BYTES), ""]})
     pieces = list(X._pieces(batch, 1))
     assert pa.Table.from_batches(pieces) == pa.Table.from_batches([batch]) and [p.num_rows for p in pieces] == [3, 1, 1, 1] and not list(X._pieces(batch.slice(0, 0), 1))
+
+
+def test_words_are_found_as_tokens_without_cutting(spark, sf):
+    """As in the tokens, for words and neighbours of both classes and of none; the queries that need no tokens cut none."""
+    draw = random.Random(4)
+    texts = [None, "", "好", "no", "nono no", "no好no", "好a好好", "noé", "éno", "no_bad", "bad-no1", "\n好\n", "𠀀好𠀀", "1no 2", "NO"] + ["".join(draw.choice("no好沉 -é𠀀1") for _ in range(draw.randrange(12))) for _ in range(300)]
+    words = ("no", "n", "o", "1", "NO", "bad", "好", "沉", "好好", "no好", "é", "o-", "", "n o", "no\n", ".", "𠀀")
+    df = spark.createDataFrame([(t,) for t in texts], "c string").withColumn("t", X.regex_tokens(F.col("c")))
+    for r in df.select("c", "t", F.array(*[F.coalesce(X.is_regex_token(F.col("c"), w), F.lit(False)) for w in words]).alias("found")).collect():
+        assert r.found == [w in (r.t or []) for w in words], r.c
+    lexicon = L.Lexicon(positive=("n", "好", "no好"), negative_single=("o", "no", "沉", "é"))
+    both = df.select(X.sentiment(F.col("c"), F.col("t"), lexicon).alias("cut"), X.sentiment(F.col("c"), None, lexicon).alias("found")).collect()
+    assert [r.cut for r in both] == [r.found for r in both] and len({r.cut for r in both}) > 5
+    for name in ("sentiment", "sentiment_distribution", "design_implications", "feature_vectors"):
+        assert "regexp_extract_all(" not in queries.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString(), name
